@@ -28,13 +28,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_repeats(prints).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.warc import archive_round_trip
+
+    captures = archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return captures.selectExpr("page_id", "response.payload_bytes AS payload_bytes", "response.payload_digest AS payload_digest", "response.type AS record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_url_rules, op6_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op4_source_mix, op5_url_rules, op6_exact_dedup, op10_warc)}
 
 SQL = {
     "op5_url_rules": r"""
@@ -55,4 +62,10 @@ WITH keyed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesc
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, text_sha256
 FROM keyed""",
+    "op10_warc": """
+WITH full_pages AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+ranked AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM full_pages)
+SELECT page_id, payload_bytes, sha256(h) AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM ranked""",
 }
