@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from heronlake.llm.support import table, written
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.simhash import simhash_groups
+
+    groups = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.selectExpr("id AS doc_id", "fingerprint", "component_id")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.mixing import mix_sources
 
@@ -41,7 +48,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_url_rules, op6_exact_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_source_mix, op5_url_rules, op6_exact_dedup, op10_warc)}
 
 SQL = {
     "op5_url_rules": r"""
