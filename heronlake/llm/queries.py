@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from heronlake.llm.support import table, written
@@ -14,6 +15,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.selectExpr("id AS doc_id", "fingerprint", "component_id")
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.token_store import token_round_trip
+
+    stored = token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return stored.selectExpr("id AS doc_id", "start", "n_tokens", "crc32(ids) AS ids_crc32")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.mixing import mix_sources
 
@@ -35,6 +43,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_repeats(prints).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.bpe import encode_texts
+
+    coded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.selectExpr("doc_id", "cast(octet_length(ids) div 4 as bigint) AS n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(cast(decoded as binary), 256) AS decoded_sha256")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.warc import archive_round_trip
 
@@ -48,7 +63,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_source_mix, op5_url_rules, op6_exact_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op8_bpe, op10_warc)}
 
 SQL = {
     "op5_url_rules": r"""
