@@ -43,6 +43,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_repeats(prints).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.toxicity import held_out, score_texts, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = train(docs, table(spark, sf_dir, "labels"))
+    return score_texts(docs, scorer, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score").selectExpr("*", "cast(score >= 0.7 as int) AS predicted")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.bpe import encode_texts
 
@@ -63,7 +71,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op8_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op10_warc)}
 
 SQL = {
     "op5_url_rules": r"""
