@@ -50,9 +50,8 @@ def _bit(bitmap: str, at: str) -> Column:
     return F.coalesce(F.expr(f"(shiftright({byte}, cast({at} % 8 as int)) & 1) = 1"), F.lit(False))
 
 
-def mark_repeats(rows: DataFrame, digest: str = "text_sha256", id_column: str = "doc_id", bits_per_row: int = 16, max_bits: int = 1 << 29, probes: int = 2) -> DataFrame:
-    """rows with keep_id, group_size and kept; rows with equal digests form a group and its largest id stays."""
-    rows = rows.drop("keep_id", "group_size", "kept")
+def flag_suspects(rows: DataFrame, digest: str, bits_per_row: int = 16, max_bits: int = 1 << 29, probes: int = 2) -> DataFrame:
+    """rows with __maybe: false only where no other row has the digest. Nothing but positions shuffles."""
     columns = rows.columns
     bits = filter_bits(rows.count(), bits_per_row, max_bits)
     bitmaps = repeated_bitmaps(rows, digest, bits, probes)
@@ -64,9 +63,16 @@ def mark_repeats(rows: DataFrame, digest: str = "text_sha256", id_column: str =
     maybe = F.lit(True)
     for k in range(probes):
         maybe = maybe & _bit(f"__m{k}", f"__p{k}")
+    return tested.select(*columns, maybe.alias("__maybe"))
+
 
-    alone = tested.filter(~maybe).select(*columns, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    suspects = tested.filter(maybe).select(*columns)
+def mark_repeats(rows: DataFrame, digest: str = "text_sha256", id_column: str = "doc_id", **options) -> DataFrame:
+    """rows with keep_id, group_size and kept; rows with equal digests form a group and its largest id stays."""
+    rows = rows.drop("keep_id", "group_size", "kept")
+    columns = rows.columns
+    tested = flag_suspects(rows, digest, **options)
+    alone = tested.filter("not __maybe").select(*columns, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
+    suspects = tested.filter("__maybe").select(*columns)
     groups = (
         suspects.groupBy(digest, id_column).agg(F.count("*").alias("__m"))
         .groupBy(digest).agg(F.max(id_column).alias("keep_id"), F.sum("__m").alias("group_size"), F.max_by("__m", id_column).alias("__same"))

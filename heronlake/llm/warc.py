@@ -6,8 +6,8 @@ gives one row per record; `assemble` joins requests and metadata to their respon
 emits one nested row per capture, wherever the records stand in the archives.
 
 Payloads of `min_revisit` bytes or more that occur again are stored once: the record with the smallest id is the
-response, the others are revisits without a payload that refer to it. The groups shuffle as digests and ids; the
-rows join them by digest, where Spark splits a hot digest among tasks.
+response, the others are revisits without a payload that refer to it. A Bloom filter of repeated digests lets unique
+pages through without a shuffle; the others join their group by digest, where Spark splits a hot digest among tasks.
 
 Archives are written by tasks under names of their own attempt, and only files in the manifest count, so a task may
 fail, run twice or be lost with its executor.
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from heronlake.llm.exact_dedup import flag_suspects
 from heronlake.llm.support import file_system, scratch_path, written
 
 MIN_REVISIT = 100
@@ -45,25 +46,23 @@ def plan_records(pages: DataFrame, id_column: str, payload: str, min_revisit: in
     """pages with digest, record_type and refers_to (the id of the response that a revisit points at)."""
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = pages.withColumn("digest", F.sha2(body.cast("binary"), 256)).withColumn("n_bytes", F.octet_length(body).cast("long"))
-    large = rows.filter(F.col("n_bytes") >= min_revisit)
+    # Only rows whose payload is large, and may occur again, shuffle.
+    flagged = flag_suspects(rows, "digest").withColumn("__maybe", F.col("__maybe") & (F.col("n_bytes") >= min_revisit))
+    columns = [*pages.columns, "digest", "n_bytes"]
+    alone = flagged.filter("not __maybe").select(*columns, F.lit("response").alias("record_type"), F.lit(None).cast(pages.schema[id_column].dataType).alias("refers_to"), F.lit(False).alias("shared"))
+    large = flagged.filter("__maybe").select(*columns)
     groups = (
         large.groupBy("digest", id_column).agg(F.count("*").alias("m"))
         .groupBy("digest").agg(F.min(id_column).alias("first"), F.sum("m").alias("n"), F.min_by("m", id_column).alias("ties"))
-        .filter("n > 1")
     )
-    groups = groups.select(F.concat("digest", F.lit("")).alias("__digest"), "first", F.coalesce("ties", "n").alias("ties"))
-    # Small payloads get a key of their own: they have no group, and a common one would only be dealt to one task.
-    key = F.when(F.col("n_bytes") >= min_revisit, F.col("digest")).otherwise(F.concat(F.lit("small-"), F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.col("digest")))
-    rows = rows.withColumn("__key", key).join(groups, F.col("__key") == F.col("__digest"), "left")
-    is_first = F.col("__digest").isNull() | F.col(id_column).eqNullSafe(F.col("first"))
-    plain = rows.filter(~is_first | F.coalesce(F.col("ties"), F.lit(1)).eqNullSafe(F.lit(1))).withColumn("__lead", is_first)
+    # The key is rewritten so that both sides are dealt anew and Spark can split a common payload among tasks.
+    groups = groups.select(F.concat("digest", F.lit("")).alias("__digest"), "first", F.coalesce("ties", "n").alias("ties"), (F.col("n") > 1).alias("shared"))
+    joined = large.join(groups, F.col("digest") == F.col("__digest")).withColumn("__lead", F.col(id_column).eqNullSafe(F.col("first")))
     order = Window.partitionBy("digest", id_column).orderBy(F.xxhash64(*pages.columns))
-    tied = rows.filter(is_first & (F.coalesce(F.col("ties"), F.lit(1)) > 1)).withColumn("__lead", F.row_number().over(order) == 1)
-    rows = plain.unionByName(tied)
-    return rows.select(
-        *pages.columns, "digest", "n_bytes", F.when(F.col("__lead"), "response").otherwise("revisit").alias("record_type"),
-        F.when(~F.col("__lead"), F.col("first")).alias("refers_to"), F.col("__digest").isNotNull().alias("shared"),
-    )
+    tied = joined.filter("__lead and ties > 1").withColumn("__lead", F.row_number().over(order) == 1)
+    settled = joined.filter("not __lead or ties = 1").unionByName(tied)
+    kind = F.when(F.col("__lead"), "response").otherwise("revisit")
+    return alone.unionByName(settled.select(*columns, kind.alias("record_type"), F.when(~F.col("__lead"), F.col("first")).alias("refers_to"), "shared"))
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
