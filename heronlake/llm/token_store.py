@@ -200,7 +200,8 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, uri: str, wanted: list
                     if rows:
                         yield _rows(rows)
 
-    return placed.repartition(F.col("path")).mapInArrow(read, "id bigint, start bigint, n_tokens bigint, ids binary")
+    # A number of its own keeps Spark from reading all shards in one task because the manifest is short.
+    return placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(read, "id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

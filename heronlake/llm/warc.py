@@ -194,7 +194,8 @@ def read_warc(spark: SparkSession, manifest: DataFrame, uri: str, blocks: bool =
                 if rows:
                     yield _batch(rows)
 
-    files = manifest.select("path").repartition(F.col("path"))
+    # A number of its own keeps Spark from reading all archives in one task because their names are short.
+    files = manifest.select("path").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return files.mapInArrow(read, RECORD)
 
 
