@@ -40,6 +40,8 @@ MAX_TRAIN = 24_000
 MAX_ENTRIES = 5_000
 WORD = re.compile(r"[^\W_]+")
 STEM = range(4, 10)
+#: Entries of less weight are matched as they are spelled only.
+STRONG = 3.0
 MEMO = 400_000
 WINDOW = 8
 N_FEATURES = 5
@@ -63,7 +65,7 @@ class Lexicon:
                 node = node.setdefault(c, {})
             node[""] = (term, stem, weight, len(term))
             half = len(term) // 2
-            if len(term) >= 5:
+            if len(term) >= 5 and weight >= STRONG:
                 self.halves_front.add(term[:half])
                 # A stem's second half stands half, or one off, from the word's start.
                 self.halves_back.add(term[half:])
@@ -110,7 +112,7 @@ class Lexicon:
             for c, below in node.items():
                 if c == "":
                     _, stem, weight, length = below
-                    if length >= 5:
+                    if length >= 5 and weight >= STRONG:
                         hit = one >> max(1, length - 1) if stem else one >> len(word) & 1
                         if hit and (best is None or weight > best[1]):
                             best = (1, weight)
@@ -129,7 +131,7 @@ class Scorer:
         self.memo: dict[str, tuple[int, float] | None] = {}
 
     def features(self, text: str | None) -> list[float]:
-        """Unquoted exact, quoted exact, fuzzy, best exact weight, share of hits among words."""
+        """Exact hits by context, misspelled hits by context, best exact weight, shares of both among the words."""
         text = (text or "").lower()
         words = WORD.findall(text)
         memo = self.memo
@@ -149,7 +151,7 @@ class Scorer:
 
     def _context(self, text: str, words: list[str], hits: dict) -> list[float]:
         marks = [m.start() for m in QUOTES.finditer(text)]
-        plain = quoted = fuzzy = best = 0.0
+        plain = fuzzy = best = 0.0
         last_plain = -WINDOW - 1
         reported = -WINDOW - 1
         seen_marks = 0
@@ -172,13 +174,12 @@ class Scorer:
                 score *= 0.7
             if edits:
                 fuzzy += score
-            elif inside:
-                quoted += score
             else:
                 plain += score
                 best = max(best, weight * min(score, 1.0))
-                last_plain = i
-        return [math.log1p(plain), math.log1p(quoted), math.log1p(fuzzy), best, math.sqrt((plain + quoted) / max(len(words), 1))]
+                if not inside:
+                    last_plain = i
+        return [math.log1p(plain), math.log1p(fuzzy), best, math.sqrt(plain / len(words)), math.sqrt(fuzzy / len(words))]
 
     def score(self, text: str | None) -> float:
         if self.weights is None:
@@ -187,7 +188,7 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: int, least: int = 5, lift: float = 8.0) -> dict[str, tuple[bool, float]]:
+def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: int, least: int = 5, lift: float = 20.0, stem_lift: float = 8.0) -> dict[str, tuple[bool, float]]:
     """Words and stems of high lift, from word -> (toxic rows, other rows)."""
 
     def weight(toxic: float, other: float) -> float:
@@ -203,7 +204,7 @@ def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: in
                 s[2] += toxic > 0
     chosen: dict[str, tuple[bool, float]] = {}
     for stem, (toxic, other, words) in sorted(stems.items(), key=lambda x: (len(x[0]), x[0])):
-        if words < 4 or toxic < 2 * least or weight(toxic, other) < math.log(lift) or any(stem[:n] in chosen for n in STEM if n < len(stem)):
+        if words < 4 or toxic < 2 * least or weight(toxic, other) < math.log(stem_lift) or any(stem[:n] in chosen for n in STEM if n < len(stem)):
             continue
         # Go on to the longest beginning that still covers nearly all of it.
         while len(stem) < STEM[-1]:
@@ -222,7 +223,17 @@ def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: in
     return chosen
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> list[float]:
+def with_misspelled(x: np.ndarray, y: np.ndarray, share: float = 0.3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and row weights, with each toxic row also as it were if all its hits were misspelled.
+
+    Labelled rows hold few misspellings; without these rows nothing would say what they are worth.
+    """
+    extra = x[(y > 0) & (x[:, 0] > 0)]
+    made = np.stack([0 * extra[:, 0], extra[:, 0], 0 * extra[:, 0], 0 * extra[:, 0], extra[:, 3]], axis=1)
+    return np.vstack([x, made]), np.concatenate([y, np.ones(len(made))]), np.concatenate([np.ones(len(x)), np.full(len(made), share)])
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> list[float]:
     """Newton's method; intercept first."""
     x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
@@ -230,7 +241,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
     penalty[0, 0] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weights * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -287,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
 
     fitted = rows.mapInArrow(measure, "y int, x array<double>").toPandas()
     x, y = np.array(fitted["x"].tolist(), dtype=float).reshape(-1, N_FEATURES), (fitted["y"].to_numpy() > 0).astype(float)
-    return Scorer(lexicon, fit_logistic(x, y))
+    return Scorer(lexicon, fit_logistic(*with_misspelled(x, y)))
 
 
 _scorers: dict[str, Scorer] = {}
