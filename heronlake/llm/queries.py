@@ -15,6 +15,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.selectExpr("id AS doc_id", "fingerprint", "component_id")
 
 
+def op2_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.embed_dedup import embedding_groups
+
+    return embedding_groups(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.token_store import token_round_trip
 
@@ -71,9 +77,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op10_warc)}
 
 SQL = {
+    "op2_embedding_groups": """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+deg AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(d.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM comp c LEFT JOIN deg d USING (vec_id)""",
     "op5_url_rules": r"""
 WITH split AS (
   SELECT page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
