@@ -64,6 +64,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.selectExpr("doc_id", "cast(octet_length(ids) div 4 as bigint) AS n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(cast(decoded as binary), 256) AS decoded_sha256")
 
 
+def op9_long_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.long_matches import long_matches
+
+    cut = long_matches(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = "aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"
+    return cut.selectExpr("id AS doc_id", "n_bytes", f"{removed} AS n_removed", "cast(size(spans) as bigint) AS n_spans", "sha2(kept, 256) AS kept_sha256")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.warc import archive_round_trip
 
@@ -77,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op9_long_matches, op10_warc)}
 
 SQL = {
     "op2_embedding_groups": """
