@@ -85,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op9_long_matches, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op9_long_matches, op10_warc, pipeline)}
 
 SQL = {
     "op2_embedding_groups": """
