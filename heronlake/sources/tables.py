@@ -35,7 +35,8 @@ def count_broken(spark: SparkSession, paths: str | list[str], schema: T.StructTy
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     rows = spark.read.schema(wide).option("mode", "PERMISSIVE").json(paths)
     # The column of broken records can't be read alone, so another is read with it.
-    return rows.filter(F.col("_corrupt_record").isNotNull()).select(schema.fields[0].name, "_corrupt_record").count()
+    both = rows.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("broken"), F.count(schema.fields[0].name))
+    return both.first()["broken"]
 
 
 def with_sequence(rows: DataFrame, rank: int | Column = 0) -> DataFrame:
