@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO = 500_000
+MEMO = 1_000_000
 LEAF = 8192
 LONG_CHUNK = 512
 #: U+001C to U+001F are white space to Python but not to the library.
 ODD = re.compile("[\x1c-\x1f]")
-
-
+#: White space beyond U+0020 and U+0009 to U+000D.
+RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 class ChunkEncoder:
     """Ids of chunks, as little-endian unsigned 32-bit integers; repeated chunks come from a memo.
 
@@ -53,6 +53,11 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.find = re.compile(r"\s*\S+|\s+\Z").findall if lead else re.compile(r"[^ \t\n\r\v\f]+").findall
         self.lead, self.memo, self.most = lead, {}, memo
+        # New chunks are encoded many at once, with a separator between whose one token no such chunk can hold.
+        self.glue = "\n" if lead else " \0 "
+        glue_ids = self.tokenizer.encode(self.glue, add_special_tokens=False).ids
+        self.glue_id = glue_ids[0] if len(glue_ids) == 1 else None
+        self.gluable = re.compile(r" ?[^\s<\0]+\Z" if lead else r"[^\s<\0]+\Z").match
         added = self.tokenizer.get_added_tokens_decoder()
         #: Ids of added tokens by their text; the library cuts these out before anything else.
         self.added = {t.content: i for i, t in added.items()}
@@ -60,7 +65,9 @@ class ChunkEncoder:
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
 
     def chunks(self, text: str) -> list[str]:
-        return [text] if self.lead and ODD.search(text) else self.find(text)
+        if not self.lead:
+            return self.find(text) if RARE.search(text) else text.split()
+        return [text] if ODD.search(text) else self.find(text)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The library's ids, on one thread: Spark's tasks already use the cores."""
@@ -71,20 +78,37 @@ class ChunkEncoder:
         finally:
             os.environ.pop("TOKENIZERS_PARALLELISM") if before is None else os.environ.update(TOKENIZERS_PARALLELISM=before)
 
-    def learn(self, chunks) -> None:
-        """Have all of the chunks in the memo."""
-        new = [c for c in set(chunks) if c not in self.memo]
+    def glued(self, chunks: list[str]) -> list[bytes]:
+        """The same as batch, in one call, for chunks that the separator keeps apart."""
+        (found,) = self.tokenizer.encode_batch_fast([self.glue.join(chunks)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        cuts = np.flatnonzero(ids == self.glue_id)
+        if len(cuts) != len(chunks) - 1:
+            return self.batch(chunks)
+        raw = ids.tobytes()
+        starts, ends = [0, *(cuts * 4 + 4).tolist()], [*(cuts * 4).tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+
+    def learn(self, lists: list[list[str]], longest: int | None = None) -> None:
+        """Have all chunks of the lists in the memo, but those over the longest."""
+        new = set().union(*lists).difference(self.memo)
+        if longest is not None:
+            new = {c for c in new if len(c) <= longest}
         if len(self.memo) + len(new) > self.most:
             self.memo.clear()
-            new = list(set(chunks))
-        for at in range(0, len(new), 4096):
-            self.memo.update(zip(new[at : at + 4096], self.batch(new[at : at + 4096]), strict=True))
+            new = {c for c in set().union(*lists) if longest is None or len(c) <= longest}
+        plain = [c for c in new if self.gluable(c)] if self.glue_id is not None else []
+        for at in range(0, len(plain), 4096):
+            self.memo.update(zip(plain[at : at + 4096], self.glued(plain[at : at + 4096]), strict=True))
+        rest = [c for c in new if c not in self.memo]
+        for at in range(0, len(rest), 4096):
+            self.memo.update(zip(rest[at : at + 4096], self.batch(rest[at : at + 4096]), strict=True))
 
     def parts(self, chunks: list[str]) -> list[bytes]:
         try:
             return list(map(self.memo.__getitem__, chunks))
         except KeyError:
-            self.learn(chunks)
+            self.learn([chunks])
             return list(map(self.memo.__getitem__, chunks))
 
 
@@ -229,7 +253,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", lead: bool = Fa
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
-                of.learn(c for t in texts for c in of.chunks(t) if len(c) <= tree.long)
+                of.learn([of.chunks(t) for t in texts], tree.long)
                 ids = [tree.encode(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array([back.decode(x) for x in ids], pa.string())], names=[*kept, "ids", "decoded"])
 

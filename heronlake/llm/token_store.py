@@ -160,7 +160,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, id_
             ids = batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 256):
                 texts = [of.chunks(t) for t in batch.column(1).slice(at, 256).to_pylist()]
-                of.learn(c for t in texts for c in t)
+                of.learn(texts)
                 for doc_id, chunks in zip(ids[at : at + 256], texts, strict=True):
                     data = b"".join(of.parts(chunks)) + struct.pack("<I", end_id)
                     writer.add(doc_id, np.frombuffer(data, dtype="<u4"))
