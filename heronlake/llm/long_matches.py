@@ -1,24 +1,28 @@
-"""Removal of long byte strings that occur in an earlier document.
+"""Removal of long byte strings that occur in an earlier document, by a run-length compressed index.
 
 A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id. Texts are UTF-8
 bytes, read whole; matches stay within documents.
 
-Method. The hashes of all `gram`-byte strings decide, by content alone, which of them are anchors: the smallest in
-some window of `length` bytes. So equal windows hold equal anchors at equal places, and every window holds one.
-Around an anchor lies its context, the bytes of all windows that hold it.
+An index of all earlier documents can't stand in one task, and streaming every document through the index of every
+block of documents takes quadratic time. So content decides first which places meet in which index. The hashes of all
+`gram`-byte strings choose anchors: the smallest in some window of `length` bytes. Equal windows hold equal anchors at
+equal places, and every window holds one. Around an anchor lies its context, the bytes of all windows that hold it.
 
 1. Of texts that are equal as a whole only the smallest id goes on; the others go entirely.
 2. Every anchor travels once, as (anchor hash, context hash, document, place), to the bucket of its hash. Anchors of
    one document only are done. Of equal contexts all but those of the smallest document lose all their windows. Where
    an anchor has several contexts, those of the smallest documents stay open: their windows may match in part.
-3. The windows of open anchors travel as hashes; of equal ones all but those of the smallest document go.
+3. Open contexts travel to their bucket. There, run-length compressed Burrows-Wheeler transforms with sampled run ends
+   (`run_index`) are built of contexts of earlier documents, and the matching statistics of later ones are streamed:
+   a place where `length` or more bytes match starts a window to remove. The documents of an anchor are numbered in
+   order; for each bit of the number, those with 0 are indexed and those with 1 streamed, where the higher bits agree,
+   so each pair meets once, always the earlier as the index. The symbol at the anchor is replaced by one of its own
+   for each such group, which keeps groups apart within one index.
 4. Documents gather what buckets found and drop the bytes.
 
 Tasks send a bucket's anchors as packed columns in a row, so the shuffle moves a few rows per task and bucket. A
 Bloom filter of the documents that something was found for, of bounded size, lets the others pass without a shuffle.
 
-This is not the run-length compressed Burrows-Wheeler index that the operator was asked for; see the README.
-
 Defined cases: null counts as empty; texts shorter than `length` lose nothing; rows that repeat an id and a text are
 documents of the same id, and none removes the other; a null id ranks above all others; an empty table gives an empty
 result.
@@ -36,9 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.llm.exact_dedup import flag_suspects
+from heronlake.llm.run_index import NONE, RunIndex
 from heronlake.llm.support import written
 
 LENGTH, GRAM = 50, 24
+#: Contexts of one index, and of one stream of patterns.
+PIECE = 20_000
 NULL_ID = (1 << 63) - 1
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 U = np.uint64
@@ -120,11 +127,13 @@ class Texts:
             h[i] = xxhash.xxh64_intdigest(s, int(left[i]) * 128 + int(right[i]))
         return _mix(h)
 
-    def window_hashes(self, places: np.ndarray) -> np.ndarray:
-        h = np.full(len(places), C)
-        for at in range(0, self.length, 8):
-            h = _mix(h) + self.words[places + min(at, self.length - 8)] * A
-        return _mix(h)
+    def context_bytes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, left, right): a row of bytes for each anchor, and how far to either side they are the document's."""
+        own = self.owner(places)
+        side = self.length - self.gram
+        left = np.minimum(places - self.starts[own], side)
+        right = np.minimum(self.starts[own] + self.sizes[own] - places, self.length)
+        return self.data[(places - side)[:, None] + np.arange(side + self.length)], left.astype(np.uint8), right.astype(np.uint8)
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -277,37 +286,101 @@ def solve_anchors(h, ids, places, ctx):
     yield from _answers(ids[picked], places[picked], np.where(full[picked], FULL, OPEN))
 
 
-def solve_windows(h, ids, places):
-    order = np.lexsort((ids, h))
-    h, ids, places = h[order], ids[order], places[order]
-    new = _starts(h)
-    gone = ids > ids[new][np.cumsum(new) - 1]
-    yield from _answers(ids[gone], places[gone], np.zeros(int(gone.sum()), dtype=np.int8))
+def _flags(symbols: np.ndarray, group: np.ndarray, rank: np.ndarray, length: int, side: int, piece: int) -> np.ndarray:
+    """(context, place) -> whether a window starts there that a context of the group with a smaller rank holds."""
+    found = np.zeros((len(symbols), side + 1), dtype=bool)
+    for bit in range(int(rank.max(initial=0)).bit_length()):
+        later = (rank >> bit & 1).astype(bool)
+        block = np.unique(np.stack([group, rank >> bit + 1]), axis=1, return_inverse=True)[1].ravel()
+        needed = np.zeros(int(block.max()) + 1, dtype=bool)
+        needed[block[later]] = True
+        known = np.flatnonzero(~later & needed[block])
+        known = known[np.argsort(block[known], kind="stable")]
+        asked = np.flatnonzero(later)
+        asked = asked[np.argsort(block[asked], kind="stable")]
+        marked = symbols.copy()
+        marked[:, side] = 256 + block
+        # Pieces bound the memory; a group that spans several is streamed against each.
+        for at in range(0, len(known), piece):
+            part = known[at : at + piece]
+            low, high = np.searchsorted(block[asked], [block[part[0]], block[part[-1]] + 1])
+            index = RunIndex(marked[part])
+            for start in range(int(low), int(high), piece):
+                patterns = asked[start : min(start + piece, int(high))]
+                found[patterns] |= index.matching_statistics(marked[patterns])[:, : side + 1] >= length
+    return found
+
+
+def solve_contexts(length: int, gram: int, piece: int):
+    """Over rows (bucket, data) sorted by bucket: the windows of open contexts that an earlier document holds."""
+    side = length - gram
+
+    def solve(h, ids, places, left, right, data):
+        order = np.lexsort((ids, h))
+        h, ids, places, left, right = h[order], ids[order], places[order], left[order], right[order]
+        columns = np.arange(side + length)
+        outside = (columns < (side - left.astype(np.int64))[:, None]) | (columns >= (side + right.astype(np.int64))[:, None])
+        symbols = np.where(outside, NONE, data[order].astype(np.int64))
+        new_group, new_doc = _starts(h), _starts(h, ids)
+        group, doc = np.cumsum(new_group) - 1, np.cumsum(new_doc) - 1
+        rank = doc - doc[new_group][group]
+        contexts, at = np.nonzero(_flags(symbols, group, rank, length, side, piece))
+        if len(contexts):
+            hits = np.unique(np.stack([ids[contexts], places[contexts].astype(np.int64) - side + at]), axis=1)
+            yield from _answers(hits[0], hits[1], np.zeros(hits.shape[1], dtype=np.int8))
+
+    def run(batches):
+        held, now = [], None
+        for batch in batches:
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if held and bucket != now:
+                    yield from solve(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                    held.clear()
+                now = bucket
+                held.append(_unpack_contexts(data, side + length))
+        if held:
+            yield from solve(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    return run
+
+
+#: The columns of contexts beside their bytes.
+CONTEXT = (("h", "<u8"), ("ids", "<i8"), ("places", "<i4"), ("left", "u1"), ("right", "u1"))
+
+
+def _pack_contexts(h, ids, places, left, right, data) -> bytes:
+    columns = (c.astype(kind).tobytes() for c, (_, kind) in zip((h, ids, places, left, right), CONTEXT, strict=True))
+    return struct.pack("<I", len(h)) + zlib.compress(b"".join(columns) + data.tobytes(), 1)
+
+
+def _unpack_contexts(packed: bytes, width: int) -> list[np.ndarray]:
+    (n,) = struct.unpack_from("<I", packed)
+    body, out, at = zlib.decompress(packed[4:]), [], 0
+    for _, kind in CONTEXT:
+        out.append(np.frombuffer(body, dtype=kind, count=n, offset=at))
+        at += out[-1].nbytes
+    return [*out, np.frombuffer(body, dtype=np.uint8, offset=at).reshape(n, width)]
 
 
-def send_windows(buckets: int, length: int, gram: int):
-    """Windows of open anchors, from rows (id, text, answers)."""
+def send_contexts(buckets: int, length: int, gram: int):
+    """Open contexts, from rows (id, text, answers)."""
 
     def run(batches):
         for batch in batches:
             answers = batch.column(2).to_pylist()
             for at, end, ids, texts in _rows(batch):
                 t = Texts(texts, length, gram)
-                chosen, names = [], []
-                for k in range(end - at):
-                    places, kinds = _found(answers[at + k])
-                    open_ = np.unique(places[kinds == OPEN]) + t.starts[k]
-                    if not len(open_):
-                        continue
-                    mark = np.zeros(int(t.sizes[k]) + 1, dtype=np.int32)
-                    low = np.maximum(open_ - (length - gram), t.starts[k]) - t.starts[k]
-                    high = np.minimum(open_ - t.starts[k], t.sizes[k] - length) + 1
-                    np.add.at(mark, low, 1), np.add.at(mark, high, -1)
-                    windows = np.flatnonzero(np.cumsum(mark) > 0)
-                    chosen.append(windows + t.starts[k]), names.append(np.full(len(windows), k))
-                if chosen:
-                    windows, own = np.concatenate(chosen), np.concatenate(names)
-                    yield _packed(list(_send(buckets, t.window_hashes(windows), ids[own], (windows - t.starts[own]).astype(np.int32))))
+                opened = [(np.unique(p[k == OPEN]) + t.starts[i]) for i in range(end - at) for p, k in [_found(answers[at + i])]]
+                places = np.concatenate(opened)
+                if not len(places):
+                    continue
+                own, h = t.owner(places), t.grams()[places]
+                data, left, right = t.context_bytes(places)
+                to = (h % U(buckets)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                parts = np.split(order, np.flatnonzero(np.diff(to[order])) + 1)
+                columns = (h, ids[own], places - t.starts[own], left, right, data)
+                yield _packed([(int(to[p[0]]), _pack_contexts(*(c[p] for c in columns))) for p in parts])
 
     return run
 
@@ -363,7 +436,7 @@ def _maybe_in(rows: DataFrame, members: DataFrame, key: str = "id") -> DataFrame
     return tested.select(*columns, both.alias("__in"))
 
 
-def long_matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def long_matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
     """(id, n_bytes, spans, kept): for each document its removed runs (byte offsets) and its remaining bytes."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -393,8 +466,8 @@ def long_matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     answers = found.groupBy("id").agg(F.collect_list("data").alias("answers"))
     open_docs = _maybe_in(sole, open_ids).filter("__in").select("id", "text")
     asked = open_docs.join(answers.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id")).select("id", "text", "answers")
-    windows = asked.mapInArrow(send_windows(buckets, length, gram), PACKED)
-    more = windows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket(solve_windows), FOUND)
+    contexts = asked.mapInArrow(send_contexts(buckets, length, gram), PACKED)
+    more = contexts.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(solve_contexts(length, gram, piece), FOUND)
     more = written(more, "match-windows")
 
     marks = written(found.select("id", "data", F.lit(0).alias("step")).union(more.select("id", "data", F.lit(1).alias("step"))).groupBy("id").agg(

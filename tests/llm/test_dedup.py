@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from heronlake.llm import embed_dedup, exact_dedup, long_matches, simhash
+from heronlake.llm import embed_dedup, exact_dedup, long_matches, run_index, simhash
 from heronlake.llm.components import connected_components
 
 DOC = "doc_id long, text string"
@@ -163,9 +163,36 @@ def brute_matches(rows, length=50):
     return out
 
 
-def test_long_matches(spark):
+def test_run_index_gives_longest_matches():
+    for _ in range(150):
+        letters, width = random.choice([2, 3, 5]), random.choice([1, 5, 12])
+        strings = np.array([[random.randrange(letters) for _ in range(width)] for _ in range(random.randint(0, 6))], dtype=np.int64).reshape(-1, width)
+        patterns = np.array([[random.randrange(letters + 1) for _ in range(width)] for _ in range(4)] + strings[:2].tolist(), dtype=np.int64)
+        for row in (*strings, *patterns):
+            if random.random() < 0.3:
+                row[: random.randint(0, width)] = run_index.NONE
+            if random.random() < 0.3:
+                row[random.randint(0, width) :] = run_index.NONE
+        held = [tuple(x for x in row if x != run_index.NONE) for row in strings]
+        parts = {s[i:j] for s in held for i in range(len(s)) for j in range(i, len(s) + 1)}
+        for row, got in zip(patterns, run_index.RunIndex(strings).matching_statistics(patterns), strict=True):
+            for i in range(width):
+                n = 0
+                while i + n < width and row[i + n] != run_index.NONE and tuple(row[i : i + n + 1]) in parts:
+                    n += 1
+                assert n == got[i]
+
+
+def test_repetitive_strings_make_few_runs():
+    one = np.array([random.randrange(20) for _ in range(70)], dtype=np.int64)
+    index = run_index.RunIndex(np.stack([one] * 50))
+    assert len(index.first) < 3 * 70 + 51 and len(index.text) == 50 * 71 + 1
+
+
+@pytest.mark.parametrize("piece", [long_matches.PIECE, 5])
+def test_long_matches(spark, piece):
     rows = corpus()
-    made = long_matches.long_matches(spark.createDataFrame(rows, DOC).repartition(5)).collect()
+    made = long_matches.long_matches(spark.createDataFrame(rows, DOC).repartition(5), piece=piece).collect()
     expected = brute_matches(rows)
     assert len(made) == len(rows)
     for r in made:
