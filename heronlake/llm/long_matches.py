@@ -14,8 +14,8 @@ equal places, and every window holds one. Around an anchor lies its context, the
    an anchor has several contexts, those of the smallest documents stay open: their windows may match in part.
 3. Open contexts travel to their bucket. There, run-length compressed Burrows-Wheeler transforms with sampled run ends
    (`run_index`) are built of contexts of earlier documents, and the matching statistics of later ones are streamed:
-   a place where `length` or more bytes match starts a window to remove. The documents of an anchor are numbered in
-   order; for each bit of the number, those with 0 are indexed and those with 1 streamed, where the higher bits agree,
+   a place where `length` or more bytes match starts a window to remove. Only contexts that also agree in the bytes
+   before the anchor, or in those behind it, can share a window. The documents of such a group are numbered in order; for each bit of the number, those with 0 are indexed and those with 1 streamed, where the higher bits agree,
    so each pair meets once, always the earlier as the index. The symbol at the anchor is replaced by one of its own
    for each such group, which keeps groups apart within one index.
 4. Documents gather what buckets found and drop the bytes.
@@ -311,6 +311,13 @@ def _flags(symbols: np.ndarray, group: np.ndarray, rank: np.ndarray, length: int
     return found
 
 
+def _row_hashes(rows: np.ndarray) -> np.ndarray:
+    h = np.full(len(rows), C)
+    for column in rows.T:
+        h = _mix(h) + (column + 2).astype(np.uint64) * A
+    return _mix(h)
+
+
 def solve_contexts(length: int, gram: int, piece: int):
     """Over rows (bucket, data) sorted by bucket: the windows of open contexts that an earlier document holds."""
     side = length - gram
@@ -321,10 +328,20 @@ def solve_contexts(length: int, gram: int, piece: int):
         columns = np.arange(side + length)
         outside = (columns < (side - left.astype(np.int64))[:, None]) | (columns >= (side + right.astype(np.int64))[:, None])
         symbols = np.where(outside, NONE, data[order].astype(np.int64))
-        new_group, new_doc = _starts(h), _starts(h, ids)
-        group, doc = np.cumsum(new_group) - 1, np.cumsum(new_doc) - 1
-        rank = doc - doc[new_group][group]
-        contexts, at = np.nonzero(_flags(symbols, group, rank, length, side, piece))
+        found = np.zeros((len(symbols), side + 1), dtype=bool)
+        # A window holds half of `side` or more to the left of the anchor, or to its right. So it can only be found
+        # among contexts of the anchor that agree there.
+        half = (side + 1) // 2
+        for begin in (side - half, side + gram):
+            near = _row_hashes(symbols[:, begin : begin + half])
+            order = np.lexsort((ids, near, h))
+            new_group, new_doc = _starts(h[order], near[order]), _starts(h[order], near[order], ids[order])
+            group, doc = np.cumsum(new_group) - 1, np.cumsum(new_doc) - 1
+            rank = doc - doc[new_group][group]
+            several = np.bincount(group, weights=new_doc)[group] > 1
+            kept = order[several]
+            found[kept] |= _flags(symbols[kept], group[several], rank[several], length, side, piece)
+        contexts, at = np.nonzero(found)
         if len(contexts):
             hits = np.unique(np.stack([ids[contexts], places[contexts].astype(np.int64) - side + at]), axis=1)
             yield from _answers(hits[0], hits[1], np.zeros(hits.shape[1], dtype=np.int8))
