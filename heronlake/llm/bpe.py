@@ -31,13 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO = 1_000_000
+MEMO = 1_200_000
 LEAF = 8192
 LONG_CHUNK = 512
 #: U+001C to U+001F are white space to Python but not to the library.
 ODD = re.compile("[\x1c-\x1f]")
 #: White space beyond U+0020 and U+0009 to U+000D.
 RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Where one of these occurs, white space isn't single spaces and line ends.
+UNEVEN = ["  ", "\n\n", " \n", "\n ", *"\t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+
+
 class ChunkEncoder:
     """Ids of chunks, as little-endian unsigned 32-bit integers; repeated chunks come from a memo.
 
@@ -67,7 +71,10 @@ class ChunkEncoder:
     def chunks(self, text: str) -> list[str]:
         if not self.lead:
             return self.find(text) if RARE.search(text) else text.split()
-        return [text] if ODD.search(text) else self.find(text)
+        if any(map(text.__contains__, UNEVEN)) or text[:1].isspace() or text[-1:].isspace():
+            return [text] if ODD.search(text) else self.find(text)
+        # Single spaces and line ends only: cutting before each gives the same chunks, faster.
+        return text.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f") if text else []
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The library's ids, on one thread: Spark's tasks already use the cores."""
