@@ -289,25 +289,29 @@ def solve_anchors(h, ids, places, ctx):
 def _flags(symbols: np.ndarray, group: np.ndarray, rank: np.ndarray, length: int, side: int, piece: int) -> np.ndarray:
     """(context, place) -> whether a window starts there that a context of the group with a smaller rank holds."""
     found = np.zeros((len(symbols), side + 1), dtype=bool)
+
+    def marked(chosen: np.ndarray) -> np.ndarray:
+        rows = symbols[chosen].astype(np.int64)
+        rows[:, side] = 256 + block[chosen]
+        return rows
+
     for bit in range(int(rank.max(initial=0)).bit_length()):
         later = (rank >> bit & 1).astype(bool)
-        block = np.unique(np.stack([group, rank >> bit + 1]), axis=1, return_inverse=True)[1].ravel()
+        block = np.unique(group * (int(rank.max()) + 1) + (rank >> bit + 1), return_inverse=True)[1]
         needed = np.zeros(int(block.max()) + 1, dtype=bool)
         needed[block[later]] = True
         known = np.flatnonzero(~later & needed[block])
         known = known[np.argsort(block[known], kind="stable")]
         asked = np.flatnonzero(later)
         asked = asked[np.argsort(block[asked], kind="stable")]
-        marked = symbols.copy()
-        marked[:, side] = 256 + block
         # Pieces bound the memory; a group that spans several is streamed against each.
         for at in range(0, len(known), piece):
             part = known[at : at + piece]
             low, high = np.searchsorted(block[asked], [block[part[0]], block[part[-1]] + 1])
-            index = RunIndex(marked[part])
+            index = RunIndex(marked(part))
             for start in range(int(low), int(high), piece):
                 patterns = asked[start : min(start + piece, int(high))]
-                found[patterns] |= index.matching_statistics(marked[patterns])[:, : side + 1] >= length
+                found[patterns] |= index.matching_statistics(marked(patterns))[:, : side + 1] >= length
     return found
 
 
@@ -327,7 +331,7 @@ def solve_contexts(length: int, gram: int, piece: int):
         h, ids, places, left, right = h[order], ids[order], places[order], left[order], right[order]
         columns = np.arange(side + length)
         outside = (columns < (side - left.astype(np.int64))[:, None]) | (columns >= (side + right.astype(np.int64))[:, None])
-        symbols = np.where(outside, NONE, data[order].astype(np.int64))
+        symbols = np.where(outside, NONE, data[order].astype(np.int16))
         found = np.zeros((len(symbols), side + 1), dtype=bool)
         # A window holds half of `side` or more to the left of the anchor, or to its right. So it can only be found
         # among contexts of the anchor that agree there.
