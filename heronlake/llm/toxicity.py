@@ -42,7 +42,7 @@ WORD = re.compile(r"[^\W_]+")
 STEM = range(4, 10)
 #: Entries of less weight are matched as they are spelled only.
 STRONG = 3.0
-MEMO = 400_000
+MEMO = 1_000_000
 WINDOW = 8
 N_FEATURES = 5
 # Quotation marks, and words that report what somebody said.
@@ -58,19 +58,27 @@ class Lexicon:
     trie: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        self.halves_front, self.halves_back = set(), set()
+        #: Halves of the entries that may be misspelled, each with the lengths of the words that it may stand in.
+        self.front: dict[str, list[tuple[int, int]]] = {}
+        self.back: dict[str, list[tuple[int, int]]] = {}
+        self.inner: dict[tuple[int, int], set[str]] = {}
         for term, (stem, weight) in self.entries.items():
             node = self.trie
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = (term, stem, weight, len(term))
             half = len(term) // 2
-            if len(term) >= 5 and weight >= STRONG:
-                self.halves_front.add(term[:half])
-                # A stem's second half stands half, or one off, from the word's start.
-                self.halves_back.add(term[half:])
-        self.fronts = sorted({len(x) for x in self.halves_front})
-        self.backs = sorted({len(x) for x in self.halves_back})
+            if len(term) < 5 or weight < STRONG:
+                continue
+            lengths = (len(term) - 1, 1 << 30 if stem else len(term) + 1)
+            self.front.setdefault(term[:half], []).append(lengths)
+            if stem:
+                # A stem's second half stands where it belongs in a word, or one off.
+                for at in (half - 1, half, half + 1):
+                    self.inner.setdefault((at, at + len(term) - half), set()).add(term[half:])
+            else:
+                self.back.setdefault(term[half:], []).append(lengths)
+        self.fronts, self.backs = sorted({len(x) for x in self.front}), sorted({len(x) for x in self.back})
         self.stems = sorted({len(t) for t, (s, _) in self.entries.items() if s})
 
     def exact(self, word: str):
@@ -90,15 +98,16 @@ class Lexicon:
         return self._intersect(word)
 
     def _plausible(self, word: str) -> bool:
-        if any(word[:n] in self.halves_front for n in self.fronts):
-            return True
+        size = len(word)
+        for n in self.fronts:
+            for least, most in self.front.get(word[:n], ()):
+                if least <= size <= most:
+                    return True
         for n in self.backs:
-            if word[-n:] in self.halves_back:
-                return True
-            for at in (n - 2, n - 1, n, n + 1):
-                if 0 <= at and word[at : at + n] in self.halves_back:
+            for least, most in self.back.get(word[-n:], ()):
+                if least <= size <= most:
                     return True
-        return False
+        return any(word[a:b] in halves for (a, b), halves in self.inner.items())
 
     def _intersect(self, word: str):
         """Walk the trie with the automaton; bit i of a state: the word's first i characters are matched."""
