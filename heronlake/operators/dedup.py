@@ -32,19 +32,34 @@ def last_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def merge_fold(rows: DataFrame, key: str, order: list[str], content: str = "content", keywords: str = "keywords") -> DataFrame:
     """One row for each key: copies are folded in order, the strictly longer content wins, keywords are united with the
-    winner's first, and the lengths are computed again."""
-    fields = F.struct(*order, *(c for c in rows.columns if c not in order))
-    copies = rows.groupBy(F.col(key).alias("__key")).agg(F.array_sort(F.collect_list(fields)).alias("copies"))
+    winner's first, and the lengths are computed again.
 
-    def step(base: Column, other: Column) -> Column:
-        longer = F.coalesce(F.length(other[content]), F.lit(0)) > F.coalesce(F.length(base[content]), F.lit(0))
-        winner, loser = F.when(longer, other).otherwise(base), F.when(longer, base).otherwise(other)
-        return winner.withField(keywords, union_keywords(winner[keywords], loser[keywords]))
-
-    folded = F.aggregate(F.slice(F.col("copies"), 2, 1_000_000), F.col("copies")[0], step)
-    merged = copies.select(folded.alias("row")).select("row.*").select(*rows.columns)
+    Aggregates with partial results do the fold, so no group is gathered, however many copies a key has. A copy that
+    is longer than all before it goes before what is folded so far, every other copy goes after it; so keywords are in the
+    order of these record copies, longest first, and then of their first place among the others. The records follow
+    from the first copy of each length.
+    """
+    size = F.coalesce(F.length(content), F.lit(0))
+    place = F.struct(*order, *(c for c in rows.columns if c not in order and c != content))
+    keyed = rows.withColumns({"__key": F.col(key), "__less": -size, "__place": place})
+    best = keyed.groupBy("__key").agg(F.min(F.struct("__less", "__place", content)).alias("best"))
+    won = best.select("__key", *(F.col("best")[c].alias(c) if c == content else F.col("best.__place")[c].alias(c) for c in rows.columns))
+
+    first = keyed.groupBy("__key", "__less").agg(F.min("__place").alias("__place"))
+    longer = Window.partitionBy("__key").orderBy("__less").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("__before", F.min("__place").over(longer))
+    records = first.filter(F.col("__before").isNull() | (F.col("__place") < F.col("__before")))
+    of_records = records.select("__key", "__less", F.posexplode(F.col("__place")[keywords]).alias("__i", "__word"))
+    of_records = of_records.select("__key", "__word", F.struct("__less", "__i").alias("__record"))
+    of_all = keyed.select("__key", F.struct(*order).alias("__at"), F.posexplode(keywords).alias("__i", "__word"))
+    of_all = of_all.select("__key", "__word", F.struct("__at", "__i").alias("__first"))
+    both = of_records.unionByName(of_all, allowMissingColumns=True).groupBy("__key", "__word").agg(F.min("__record").alias("__record"), F.min("__first").alias("__first"))
+    ranked = F.array_sort(F.collect_list(F.struct(F.col("__record").isNull().alias("late"), "__record", "__first", F.col("__word").alias("word"))))
+    words = both.groupBy(F.col("__key").alias("__k")).agg(F.transform(ranked, lambda x: x["word"]).alias("__words"))
+
+    merged = won.join(words, F.col("__key").eqNullSafe(F.col("__k")), "left").withColumn(keywords, union_keywords(F.col("__words"), F.lit(None).cast("array<string>"))).select(*rows.columns)
     length = F.coalesce(F.length(content), F.lit(0))
-    return merged.withColumn(keywords, union_keywords(F.col(keywords), F.lit(None).cast("array<string>"))).withColumn("content_length", length).withColumn("has_full_content", length >= FULL_LENGTH)
+    return merged.withColumn("content_length", length).withColumn("has_full_content", length >= FULL_LENGTH)
 
 
 def append_if_absent(stored: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
