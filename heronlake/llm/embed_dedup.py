@@ -3,9 +3,10 @@
 Each pass hashes a vector by the signs of random projections; the signs, concatenated, order the vectors of a label
 lexicographically. Every vector is compared with the next `window` ones in that order, pairs whose cosine reaches the
 threshold are links, and the links of all passes are united. Positions in the order are global ones, and the blocks
-that tasks work on overlap by a window, so the comparisons don't depend on how rows are partitioned. The number of
-passes follows from the largest label's size, so that a pair at the threshold is missed with a chance under `miss`
-for any input size.
+that tasks work on overlap by a window, so the comparisons don't depend on how rows are partitioned. The length of a label's codes follows from its size and from the angles within a sample of it: tight labels split less by a
+sign and get longer codes. Its number of passes follows from that length, so that a pair at the threshold is missed with
+a chance under `miss`, if the sample shows how crowded the surroundings of its vectors are. A crowd of under about one in
+SAMPLE of its label may escape the sample.
 
 Windows are bounded, and a dense group holds more neighbours than a window. So the passes only have to connect the
 group: within every component all links are then counted exactly, in pairs of blocks that are dealt to tasks.
@@ -32,6 +33,8 @@ from heronlake.llm.support import written
 SIGNS = 32
 WINDOW = 64
 BLOCK = 4096
+#: Vectors of a label whose angles are measured.
+SAMPLE = 1000
 #: Vectors of a block when a component's links are counted.
 PART = 2048
 
@@ -65,11 +68,41 @@ def read_vectors(rows: DataFrame, id_column: str, vector: str, label: str) -> Da
     return chosen.mapInArrow(run, "id bigint, space string, node bigint, vec binary")
 
 
-def n_passes(largest: int, threshold: float, window: int, miss: float) -> int:
-    """Enough passes to miss a pair at the threshold with a chance under `miss`, if the order is as random signs are."""
-    differ = math.acos(threshold) / math.pi
-    meet = (1 - differ) ** max(1.0, math.log2(max(2.0, 2 * largest / window)))
-    return max(4, math.ceil(math.log(miss) / math.log(1 - meet)))
+def n_passes(signs: float, threshold: float, miss: float) -> int:
+    """Enough passes to miss a pair at the threshold with a chance under `miss`, if so many signs narrow the order to a window."""
+    meet = (1 - math.acos(threshold) / math.pi) ** max(1.0, signs)
+    return max(4, math.ceil(math.log(miss) / math.log1p(-meet)))
+
+
+def signs_needed(x: np.ndarray, size: int, threshold: float, window: int) -> float:
+    """Signs after which at most half a window of a label's `size` vectors is expected beside any of the sample x of unit
+    vectors, besides those that link with it."""
+    cosines = np.clip(x @ x.T, -1, 1)
+    same, far = 1 - np.arccos(cosines) / math.pi, cosines < threshold
+
+    def crowd(n: float) -> float:
+        return size * float((same**n * far).mean(axis=1).max())
+
+    low, high = 0.0, 1.0
+    while crowd(high) > window / 2:
+        low, high = high, 2 * high
+    while high - low > 0.01:
+        middle = (low + high) / 2
+        low, high = (middle, high) if crowd(middle) > window / 2 else (low, middle)
+    return high
+
+
+def plans(classes: DataFrame, threshold: float, window: int, miss: float) -> DataFrame:
+    """(space, passes, signs) for each space of (space, node, vec)."""
+    sizes = classes.groupBy("space").count().select((F.concat("space", F.lit(""))).alias("__space"), F.col("count").alias("size"))
+    chosen = classes.join(F.broadcast(sizes), F.col("space") == F.col("__space")).filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) * F.col("size") <= F.lit(SAMPLE << 30))
+
+    def plan(part):
+        size = part.column("size")[0].as_py()
+        signs = signs_needed(_matrix(part.column("vec").to_pylist()), size, threshold, window)
+        return pa.table({"space": [part.column("space")[0].as_py()], "passes": pa.array([n_passes(signs, threshold, miss)], pa.int32()), "signs": pa.array([max(SIGNS, math.ceil(signs) + 8)], pa.int32())})
+
+    return chosen.select("space", "size", "vec").groupBy("space").applyInArrow(plan, "space string, passes int, signs int")
 
 
 def _matrix(data: list[bytes]) -> np.ndarray:
@@ -101,29 +134,29 @@ def window_links(spaces: list, passes: list, data: list[bytes], threshold: float
     return links
 
 
-def pass_links(classes: DataFrame, passes: int, threshold: float, window: int, block: int, seed: int) -> DataFrame:
+def pass_links(classes: DataFrame, planned: DataFrame, threshold: float, window: int, block: int, seed: int) -> DataFrame:
     """(a, b) between nodes that some pass brings within a window of each other."""
 
     def hash_all(batches):
-        made: dict[int, np.ndarray] = {}
-        weights = 1 << np.arange(SIGNS - 1, -1, -1, dtype=np.int64)
+        made: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            nodes, spaces, data = (c.to_pylist() for c in batch.columns)
+            nodes, spaces, data, passes, signs = (c.to_pylist() for c in batch.columns)
             out = []
-            for node, space, raw in zip(nodes, spaces, data, strict=True):
+            for node, space, raw, n, length in zip(nodes, spaces, data, passes, signs, strict=True):
                 v = np.frombuffer(raw, dtype="<f8")
-                if len(v) not in made:
-                    made[len(v)] = planes(len(v), passes * SIGNS, seed)
-                signs = (v @ made[len(v)] > 0).reshape(passes, SIGNS) @ weights
-                out += [(p, space, int(c), node, raw) for p, c in enumerate(signs)]
+                if (kind := (len(v), n * length)) not in made:
+                    made[kind] = planes(*kind, seed)
+                codes = np.packbits((v @ made[kind] > 0).reshape(n, length), axis=1)
+                out += [(p, space, c.tobytes(), node, raw) for p, c in enumerate(codes)]
                 if len(out) > 20_000:
                     yield _batch(out, names, kinds)
                     out = []
             if out:
                 yield _batch(out, names, kinds)
 
-    names, kinds = ["pass", "space", "code", "node", "vec"], [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-    coded = classes.select("node", "space", "vec").mapInArrow(hash_all, "pass int, space string, code bigint, node bigint, vec binary")
+    names, kinds = ["pass", "space", "code", "node", "vec"], [pa.int32(), pa.string(), pa.binary(), pa.int64(), pa.binary()]
+    with_plan = classes.join(F.broadcast(planned.withColumnRenamed("space", "__space")), F.col("space") == F.col("__space"))
+    coded = with_plan.select("node", "space", "vec", "passes", "signs").mapInArrow(hash_all, "pass int, space string, code binary, node bigint, vec binary")
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["pass", "space", "code", "node"]
 
@@ -137,7 +170,7 @@ def pass_links(classes: DataFrame, passes: int, threshold: float, window: int, b
             at += m
 
     coded = written(coded, "vector-codes")
-    ranged = written(coded.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(number, "pass int, space string, code bigint, node bigint, vec binary, task int, at bigint"), "vector-order")
+    ranged = written(coded.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(number, "pass int, space string, code binary, node bigint, vec binary, task int, at bigint"), "vector-order")
     # One row for each task.
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = ranged.groupBy("task").count().select("task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
@@ -217,8 +250,8 @@ def embedding_groups(rows: DataFrame, id_column: str = "vec_id", vector: str = "
     vectors = written(read_vectors(rows, id_column, vector, label), "vectors")
     usable = vectors.filter("node is not null")
     classes = written(usable.groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.first("space").alias("space"), F.first("vec").alias("vec")), "vector-classes")
-    largest = classes.groupBy("space").count().agg(F.max("count")).first()[0] or 0
-    links = pass_links(classes, n_passes(largest, threshold, window, miss), threshold, window, block, seed)
+    planned = written(plans(classes, threshold, window, miss), "vector-plans")
+    links = pass_links(classes, planned, threshold, window, block, seed)
     parts = written(connected_components(links), "vector-components")
     members = parts.join(classes, "node").select("component", "node", "first", "n", "vec")
     counted = count_links(members.drop("first"), threshold, part)
