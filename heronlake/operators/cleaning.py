@@ -75,12 +75,13 @@ def gazetteer_tagger(names: dict[str, str]) -> Tagger:
     return tag
 
 
-def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | None = None, id_column: str = "id", title_only: bool = False) -> DataFrame:
-    """articles with entities of their title and of the first 5000 characters of their content; ids in done are left
-    out. A text that the tagger fails on has none. Only the texts go through Python."""
+def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | None = None, id_column: str = "id", title_only: bool = False, chars: int | None = V.NER_CHARS) -> DataFrame:
+    """articles with entities of their title and of the first `chars` characters of their content (None: all of it; the
+    default is the reference's limit); ids in done are left out. A text that the tagger fails on has none. Only the texts go through Python."""
     rows = articles if done is None else not_yet_done(articles, done, id_column)
     kept = [c for c in rows.columns if c != "entities"]
-    cut = rows.select(F.struct(*kept).alias("row"), F.coalesce("title", F.lit("")).alias("t"), (F.lit("") if title_only else F.coalesce(F.substring("content", 1, V.NER_CHARS), F.lit(""))).alias("c"))
+    content = F.col("content") if chars is None else F.substring("content", 1, chars)
+    cut = rows.select(F.struct(*kept).alias("row"), F.coalesce("title", F.lit("")).alias("t"), (F.lit("") if title_only else F.coalesce(content, F.lit(""))).alias("c"))
     kind = pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())]))
 
     def safely(text: str) -> list[dict]:

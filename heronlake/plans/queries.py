@@ -318,7 +318,7 @@ def fn31_entity_events(s: SparkSession, d: str) -> DataFrame:
 @query
 def ner_recognise(s: SparkSession, d: str) -> DataFrame:
     tagger = cleaning.gazetteer_tagger({"The": "PER", "der": "LOC", "la": "LOC", "de la": "ORG"})
-    found = cleaning.recognise_entities(A.articles(s, d), tagger, A.table(s, d, "labels").select(F.col("doc_id").alias("id")))
+    found = cleaning.recognise_entities(A.articles(s, d), tagger, A.table(s, d, "labels").select(F.col("doc_id").alias("id")), chars=None)
     return found.select("id", _joined(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))).alias("entities"))
 
 
