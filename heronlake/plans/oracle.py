@@ -99,7 +99,7 @@ WHERE replace(lower(regexp_extract(whole, '^[a-z]+://([^/?#]*)', 1)), 'www.', ''
     "fn14_reject_flags": FLAGS,
     "fn15_clean_entities": CLEAN,
     "fn16_clean_keywords": f"SELECT id, form, text AS keyword FROM ({FLAGS}) WHERE length(text) BETWEEN 2 AND 50 AND NOT date_like AND NOT numeric AND NOT money AND NOT common AND lower(text) <> 'thế giới'",
-    "fn17_ordered_dedup": f"""WITH w AS (SELECT id, string_split(title, ' ') AS words FROM ({ART})), n AS (SELECT id, words[i] AS word, i, row_number() OVER (PARTITION BY id, lower(words[i]) ORDER BY i) AS k FROM w, range(1, 5000) r(i) WHERE i <= len(words))
+    "fn17_ordered_dedup": f"""WITH w AS (SELECT id, string_split(title, ' ') AS words FROM ({ART})), n AS (SELECT id, words[i] AS word, i, row_number() OVER (PARTITION BY id, lower(words[i]) ORDER BY i) AS k FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS i FROM w))
 SELECT id, string_agg(word, '|' ORDER BY i) AS words FROM n WHERE k = 1 GROUP BY 1""",
     "fn19_person_name": rf"""SELECT id, len(ws) BETWEEN 2 AND 5 AND len(list_filter(ws, lambda w: NOT regexp_matches(w, '^\p{{Lu}}') OR regexp_matches(w, '[0-9/@#_]'))) = 0 AS is_name
 FROM (SELECT id, list_filter(string_split(title, ' ')[1:(id % 6 + 1)], lambda w: w <> '') AS ws FROM ({ART}))""",
