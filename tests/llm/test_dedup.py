@@ -163,42 +163,70 @@ def brute_matches(rows, length=50):
     return out
 
 
-def test_run_index_gives_longest_matches():
+def as_rows(strings, width):
+    rows = np.full((len(strings), width), run_index.END, dtype=np.uint8)
+    for row, s in zip(rows, strings, strict=True):
+        row[: len(s)] = np.frombuffer(s, dtype=np.uint8)
+    return rows, np.array([len(s) for s in strings], dtype=np.int64)
+
+
+def test_run_index_gives_longest_matches_and_smallest_documents():
     for _ in range(150):
-        letters, width = random.choice([2, 3, 5]), random.choice([1, 5, 12])
-        strings = np.array([[random.randrange(letters) for _ in range(width)] for _ in range(random.randint(0, 6))], dtype=np.int64).reshape(-1, width)
-        patterns = np.array([[random.randrange(letters + 1) for _ in range(width)] for _ in range(4)] + strings[:2].tolist(), dtype=np.int64)
-        for row in (*strings, *patterns):
-            if random.random() < 0.3:
-                row[: random.randint(0, width)] = run_index.NONE
-            if random.random() < 0.3:
-                row[random.randint(0, width) :] = run_index.NONE
-        held = [tuple(x for x in row if x != run_index.NONE) for row in strings]
-        parts = {s[i:j] for s in held for i in range(len(s)) for j in range(i, len(s) + 1)}
-        for row, got in zip(patterns, run_index.RunIndex(strings).matching_statistics(patterns), strict=True):
-            for i in range(width):
+        letters, width, length = random.choice([2, 3, 5]), random.choice([9, 12, 30]), random.choice([8, 9, 12])
+        base = [bytes(97 + random.randrange(letters) for _ in range(width)) for _ in range(2)]
+        strings = []
+        for _ in range(random.randint(1, 8)):
+            s = bytearray(random.choice(base))
+            s[random.randrange(width)] = 97 + random.randrange(letters)
+            strings.append(bytes(s[random.randrange(3) : random.randint(4, width)]))
+        docs = np.array([random.randrange(5) for _ in strings])
+        patterns = sorted([*strings, *base], key=len, reverse=True)
+        index = run_index.RunIndex(*as_rows(strings, width), docs, length)
+        for i, k, lengths, places, runs in index.matching_statistics(*as_rows(patterns, width)):
+            assert k == sum(len(p) > i for p in patterns)
+            for p, got, place, run in zip(patterns[:k], lengths, places, runs, strict=True):
                 n = 0
-                while i + n < width and row[i + n] != run_index.NONE and tuple(row[i : i + n + 1]) in parts:
+                while i + n < len(p) and any(p[i : i + n + 1] in s for s in strings):
                     n += 1
-                assert n == got[i]
+                assert n == got
+                if n >= length:
+                    assert index.least_document(place[None], run[None])[0] == min(d for s, d in zip(strings, docs, strict=True) if p[i : i + length] in s)
 
 
 def test_repetitive_strings_make_few_runs():
-    one = np.array([random.randrange(20) for _ in range(70)], dtype=np.int64)
-    index = run_index.RunIndex(np.stack([one] * 50))
-    assert len(index.first) < 3 * 70 + 51 and len(index.text) == 50 * 71 + 1
+    one = np.array([[random.randrange(97, 117) for _ in range(70)]] * 50, dtype=np.uint8)
+    index = run_index.RunIndex(one, np.full(50, 70), np.arange(50), 50)
+    assert len(index.symbol) < 3 * 70 + 51 and len(index.text) == 50 * 71
+
+
+#: As in production; anchors that are cut in two, with buckets, blocks and pieces of a few; hot anchors in one bucket.
+SMALL = {"piece": 5, "hot": 1, "block_bytes": 2000, "bucket_bytes": 5000, "bucket_contexts": 50}
+MATCH_OPTIONS = [{}, SMALL, {"hot": 2, "block_bytes": 1500}, {"gram": 16, "block_bytes": 1500, "piece": 40}]
 
 
-@pytest.mark.parametrize("piece", [long_matches.PIECE, 5])
-def test_long_matches(spark, piece):
+@pytest.mark.parametrize("options", MATCH_OPTIONS)
+def test_long_matches(spark, options):
     rows = corpus()
-    made = long_matches.long_matches(spark.createDataFrame(rows, DOC).repartition(5), piece=piece).collect()
+    made = long_matches.long_matches(spark.createDataFrame(rows, DOC).repartition(5), **options).collect()
     expected = brute_matches(rows)
     assert len(made) == len(rows)
     for r in made:
         assert ([tuple(s) for s in r["spans"]], bytes(r["kept"])) == expected[r["id"]], r["id"]
 
 
+@pytest.mark.parametrize("options", [SMALL, {"hot": 4, "block_bytes": 1000}])
+def test_long_matches_of_a_hot_passage(spark, options):
+    """One passage stands in every document, whole or cut, between words of their own; some documents are copies."""
+    passage = prose(60)
+    rows = [(i, prose(12) + " " + passage[i % 7 * 5 : 150 + i % 11 * 9] + " " + prose(8)) for i in range(120)]
+    rows += [(200 + i, rows[i % 3][1]) for i in range(30)] + [(300, passage * 40)]
+    random.shuffle(rows)
+    frame = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], "doc_id long, text string, block long, data string")
+    expected = brute_matches(rows)
+    for r in long_matches.long_matches(frame.repartition(4), **options).collect():
+        assert ([tuple(s) for s in r["spans"]], bytes(r["kept"])) == expected[r["id"]], r["id"]
+
+
 def test_long_matches_of_null_ids_and_nothing(spark):
     text = prose(40)
     rows = spark.createDataFrame([(None, text), (4, text), (4, text)], DOC)
