@@ -137,8 +137,8 @@ def test_embedding_groups(spark):
             if a < b and label[a] == label[b] and len(ok[a]) == len(ok[b]) and ok[a] @ ok[b] / np.sqrt((ok[a] @ ok[a]) * (ok[b] @ ok[b])) >= 0.98:
                 linked.append((a, b))
     groups = find_groups([r[0] for r in rows], linked)
-    for part in (2048, 7):
-        made = embed_dedup.embedding_groups(frame, block=128, window=16, part=part).collect()
+    for part, space_bytes in ((2048, 1 << 20), (7, 1 << 20), (2048, 0), (7, 0)):
+        made = embed_dedup.embedding_groups(frame, block=128, window=16, part=part, space_bytes=space_bytes).collect()
         assert {r["id"]: r["component_id"] for r in made} == groups
         assert {r["id"]: r["n_links"] for r in made} == {i: sum(i in p for p in linked) for i in groups}
         assert all(r["kept"] == (r["id"] == r["component_id"]) for r in made)
