@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heronlake.functions.text import tokens
 from heronlake.operators.access import visible
+from heronlake.sources.tables import SEARCH_FIELDS
 
 K1, B = 1.2, 0.75
 BOOSTS = {"title": 3.0, "content": 1.0}
@@ -33,6 +34,11 @@ def has_entity(text: str, kind: str | None = None, column: str = "entities") ->
     return F.exists(column, lambda e: (e["text"] == text) & (F.lit(True) if kind is None else e["type"] == kind))
 
 
+def has_field(column: str) -> Column:
+    """Whether a field is there at all; an empty string or list counts."""
+    return F.col(column).isNotNull()
+
+
 def restrict(rows: DataFrame, category: str | None = None, source: str | None = None, date_from=None, date_to=None) -> DataFrame:
     for column, value in (("category", category), ("source", source)):
         rows = rows if value is None else rows.filter(F.col(column) == value)
@@ -40,8 +46,12 @@ def restrict(rows: DataFrame, category: str | None = None, source: str | None =
     return rows if date_to is None else rows.filter(F.col("publish_date") <= F.lit(date_to))
 
 
+#: Folders that the tokens of an index are dealt to by their hash.
+TOKEN_FOLDERS = 64
+
+
 def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool = False) -> DataFrame:
-    """(field, token, id, tf, len): write it sorted by token and a query reads only its tokens' row groups."""
+    """(field, token, id, tf, len): how often a token stands in a field of an article, and how many tokens that has."""
     parts = None
     for field in fields:
         own = articles.select(F.lit(field).alias("field"), "id", tokens(F.col(field), folded).alias("t"))
@@ -50,6 +60,66 @@ def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content")
     return parts.groupBy("field", "token", "id").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
 
 
+def _folder(token: Column, folders: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(folders)).cast("int")
+
+
+class SearchIndex:
+    """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, and one row
+    of statistics for each field. A query reads the folders of its tokens and, in them, the row groups of its tokens."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.postings = spark.read.parquet(f"{path}/postings")
+        options = spark.read.json(f"{path}/options").first()
+        self.folded, self.folders = options["folded"], options["folders"]
+        # One row for each field.
+        self.statistics = {r["field"]: (r["docs"], r["mean"]) for r in spark.read.parquet(f"{path}/fields").collect()}
+
+    @classmethod
+    def write(cls, articles: DataFrame, path: str, folded: bool = False, boosts: dict[str, float] | None = None, folders: int = TOKEN_FOLDERS) -> SearchIndex:
+        """Index the fields of articles under path, which must not exist, and open the index."""
+        spark, fields = articles.sparkSession, tuple(boosts or BOOSTS)
+        rows = postings(articles, fields, folded).withColumn("folder", _folder(F.col("token"), folders))
+        # A frequent token may spread over several files of its folder.
+        rows.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "id").write.partitionBy("folder").parquet(f"{path}/postings")
+        lengths = spark.read.parquet(f"{path}/postings").groupBy("field", "id").agg(F.first("len").alias("len"))
+        lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("mean")).write.parquet(f"{path}/fields")
+        spark.range(1).select(F.lit(folded).alias("folded"), F.lit(folders).alias("folders")).write.json(f"{path}/options")
+        return cls(spark, path)
+
+    def query_tokens(self, query: str) -> list[str]:
+        return sorted(set(_query_tokens(self.postings, query, self.folded)))
+
+    def matches(self, wanted: list[str]) -> DataFrame:
+        """The postings of these tokens."""
+        spark = self.postings.sparkSession
+        hashed = spark.createDataFrame([(t,) for t in wanted], "token string").select(_folder(F.col("token"), self.folders).alias("f"))
+        folders = sorted({r["f"] for r in hashed.collect()}) if wanted else []
+        return self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
+
+    def all_tokens(self, query: str, fields: tuple[str, ...] = ("title", "content")) -> DataFrame:
+        """(id) of the articles whose fields together hold every token of the query; none for a query without tokens."""
+        wanted = self.query_tokens(query)
+        held = self.matches(wanted).filter(F.col("field").isin(list(fields))).groupBy("id").agg(F.count_distinct("token").alias("n"))
+        return held.filter(F.col("n") == len(wanted)).select("id")
+
+    def bm25(self, query: str, boosts: dict[str, float] | None = None) -> DataFrame:
+        """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted."""
+        boosts = boosts or BOOSTS
+        hits = self.matches(self.query_tokens(query)).filter(F.col("field").isin(list(boosts)))
+        # One row for each field and token of the query.
+        df = hits.groupBy("field", "token").agg(F.count("*").alias("df"))
+        docs, mean, boost = (F.lit(0.0) for _ in range(3))
+        for f, by in boosts.items():
+            n, m = self.statistics.get(f, (0, 1.0))
+            own = F.col("field") == f
+            docs, mean, boost = F.when(own, F.lit(float(n))).otherwise(docs), F.when(own, F.lit(float(m))).otherwise(mean), F.when(own, F.lit(by)).otherwise(boost)
+        idf = F.log1p((docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        part = boost * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
+        by_field = hits.join(F.broadcast(df), ["field", "token"]).groupBy("id", "field").agg(F.sum(part).alias("score"))
+        return by_field.groupBy("id").agg(F.max("score").alias("score"))
+
+
 def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS) -> DataFrame:
     """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted.
 
@@ -111,16 +181,36 @@ def _quoted(token: str) -> str:
     return r"\Q" + token.replace(r"\E", "") + r"\E"
 
 
-def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20, folded: bool = False, **filters) -> DataFrame:
-    """The best `size` articles for a query, with score and highlight."""
+#: Results that one search may ask for, at most.
+MAX_SIZE = 100
+
+
+def _checked(query: str | None, size: int) -> None:
+    if query is not None and not query.strip():
+        raise ValueError("the query is empty")
+    if not 1 <= size <= MAX_SIZE:
+        raise ValueError(f"size must be from 1 to {MAX_SIZE}, not {size}")
+
+
+def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20, folded: bool = False, index: SearchIndex | None = None, **filters) -> DataFrame:
+    """The best `size` articles for a query, with score and highlight.
+
+    Scores come from the index if there is one, else from a scan of the articles. Ranks are settled on ids and scores;
+    only the chosen articles' texts are fetched. Statistics are those of all articles that the role sees, whatever the
+    filters; an index has those of the articles that it was made of.
+    """
+    _checked(query, size)
     rows = visible(articles, role)
-    chosen = restrict(rows, **filters)
-    scored = bm25(rows, query, folded).join(chosen, "id")
-    top = scored.orderBy(F.col("score").desc(), "id").limit(size)
-    return top.withColumn("highlight", highlight(F.col("title"), F.col("content"), query))
+    scored = bm25(rows, query, folded) if index is None else index.bm25(query)
+    chosen = restrict(rows, **filters).select("id")
+    top = scored.join(chosen, "id").orderBy(F.col("score").desc(), "id").limit(size)
+    # `size` rows.
+    found = rows.join(F.broadcast(top), "id")
+    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), query)).orderBy(F.col("score").desc(), "id")
 
 
 def search_by_entity(articles: DataFrame, text: str, kind: str | None = None, category: str | None = None, role: str = "guest", size: int = 20) -> DataFrame:
+    _checked(text, size)
     rows = restrict(visible(articles, role), category=category).filter(has_entity(text, kind))
     return rows.orderBy(F.col("publish_date").desc(), "id").limit(size)
 
@@ -130,6 +220,11 @@ def search_entity_and_text(articles: DataFrame, text: str, kind: str, query: str
     return visible(articles, role).filter(has_entity(text, kind) & F.arrays_overlap(tokens(F.lit(query)), tokens(F.col("content"))))
 
 
+def search_documents(articles: DataFrame) -> DataFrame:
+    """articles with the fields that search keeps, and no others; a field that articles lack is null."""
+    return articles.select(*(F.col(c) if c in articles.columns else F.lit(None).cast("string").alias(c) for c in SEARCH_FIELDS))
+
+
 def article(articles: DataFrame, article_id, role: str = "guest") -> DataFrame:
     """One article by id; no row where it doesn't exist or the role doesn't see it."""
     return visible(articles, role).filter(F.col("id") == article_id)
