@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The fields of articles and of search documents, as stored files have them.
 ENTITY = T.StructType([T.StructField("text", T.StringType()), T.StructField("type", T.StringType())])
 ARTICLE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("id", "url", "title", "content", "published_at", "crawled_at", "source", "source_domain", "source_type", "category_raw", "category_normalized", "author", "language")]
@@ -25,6 +27,18 @@ SEARCH_FIELDS = [
 ]
 
 
+def expand_inputs(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The files that glob patterns name: patterns in their order, files of one by `partition_order`, each file once."""
+    names: list[str] = []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for pattern in patterns:
+        where = hadoop.Path(pattern)
+        found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+        paths = [str(f.getPath()) for f in found]
+        names += sorted(paths, key=lambda p: (not _PART.search(p), p.rpartition("/")[2]))
+    return list(dict.fromkeys(names))
+
+
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType = ARTICLE) -> DataFrame:
     """Lines of JSON with a fixed schema; broken and blank lines are skipped, unknown fields dropped; .gz is read too."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths)
@@ -48,6 +62,10 @@ def with_sequence(rows: DataFrame, rank: int | Column = 0) -> DataFrame:
     return rows.select("*", F.struct(rank.alias("rank"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("_seq"))
 
 
+#: The name of a part of a set that isn't its current file.
+_PART = re.compile(r"_\d{4}-\d{2}(_\d+)?\.jsonl")
+
+
 def partition_order(path: Column) -> Column:
     """Orders a partition set as base_2024-01.jsonl, base_2024-02.jsonl, ..., base.jsonl: the current file last."""
     name = F.regexp_extract(path, r"([^/]+)$", 1)
