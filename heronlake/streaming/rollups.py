@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from heronlake.operators.dedup import first_wins
 from heronlake.operators.rollups import rollup
 
 
@@ -28,8 +29,19 @@ def read_rollup(spark, path: str, keys: list[str]) -> DataFrame:
 
 
 def compact(spark, path: str, to: str, keys: list[str]) -> None:
-    """Write the sums of all batches as one."""
-    read_rollup(spark, path, keys).write.mode("overwrite").parquet(f"{to}/batch=-1")
+    """Write the sums of all batches at path as one batch of a new rollup at `to`.
+
+    `to` must be another place: a rollup that held both its batches and their sum would count twice. Readers go over to
+    the new rollup once it is written, and the stream that maintains it starts there with a checkpoint of its own.
+    """
+    if _same_place(path, to):
+        raise ValueError("a rollup can't be compacted in its own place")
+    read_rollup(spark, path, keys).write.mode("errorifexists").parquet(f"{to}/batch=-1")
+
+
+def _same_place(a: str, b: str) -> bool:
+    a, b = (x.removeprefix("file://").removeprefix("file:").rstrip("/") + "/" for x in (a, b))
+    return a.startswith(b) or b.startswith(a)
 
 
 def buckets(events: DataFrame, time: str = "event_time", hours: int = 4, lateness: str = "1 hour") -> DataFrame:
@@ -45,25 +57,45 @@ def first_seen(events: DataFrame, key: str, time: str = "event_time", within: st
     return rows.dropDuplicatesWithinWatermark([key]).drop("__t")
 
 
-def append_new(events: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the rows of a stream whose key isn't at path yet; a batch replaces what an earlier try of it wrote."""
+#: Folders that the keys of appended rows are dealt to by their hash.
+KEY_FOLDERS = 64
+
+
+def append_new(events: DataFrame, key: str, order: list[str], path: str, checkpoint: str, folders: int = KEY_FOLDERS, available_now: bool = True) -> StreamingQuery:
+    """Append the rows of a stream whose key isn't at path yet; of rows of a batch that share a key the first stays.
+
+    Rows go to path/rows by batch, their keys to path/seen by the hash of the key. A batch reads the keys of the folders
+    that its own keys fall in, and of these one column; a retry replaces what an earlier try of the batch wrote.
+    """
     spark = events.sparkSession
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key])
-        try:
-            stored = spark.read.parquet(path).filter(F.col("batch") != batch_id)
-            fresh = fresh.join(stored.select(key), key, "left_anti")
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        folder = F.pmod(F.xxhash64(F.col(key)), F.lit(folders)).cast("int")
+        fresh = first_wins(batch, key, order).withColumn("folder", folder)
+        kind = batch.schema[key].dataType.simpleString()
+        seen = spark.read.schema(f"{key} {kind}, batch bigint, folder int").option("basePath", f"{path}/seen")
+        if batch_id:
+            # At most `folders` numbers.
+            touched = sorted(r["folder"] for r in fresh.select("folder").distinct().collect())
+            stored = seen.parquet(f"{path}/seen").filter((F.col("batch") < batch_id) & F.col("folder").isin(touched))
+            fresh = fresh.join(stored.select("folder", key), ["folder", key], "left_anti")
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        kept = spark.read.parquet(f"{path}/rows/batch={batch_id}").select(key, folder.alias("folder"))
+        kept.write.mode("overwrite").partitionBy("folder").parquet(f"{path}/seen/batch={batch_id}")
+
+    writer = events.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
-    return events.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def read_appended(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows").drop("batch")
 
 
 def circuit_breaker(log: DataFrame, failures: int = 6) -> DataFrame:
-    """Over a log (domain, at, ok): whether a request falls in a state of `failures` failures in a row before it."""
+    """Over a log (domain, at, ok): whether a request falls in a state of `failures` failures in a row before it.
+
+    One task sorts the requests of a domain, as the state of a domain depends on all before; pass a day's log, say.
+    """
     from pyspark.sql import Window
 
     order = Window.partitionBy("domain").orderBy("at")
