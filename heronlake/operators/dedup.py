@@ -78,14 +78,13 @@ def near_dup_groups(articles: DataFrame, order: list[str], title: str = "title",
     The canonical row is the fullest, then the longest, then the first. The choice travels as one struct a group with
     partial maxima; the rows join it by key, where Spark can split a hot title among tasks.
     """
-    keyed = articles.withColumn("__h", title_hash(F.col(title)))
     rank = F.struct(F.coalesce(F.col(full), F.lit(False)).alias("f"), F.coalesce(F.col(length), F.lit(0)).alias("n"))
-    best = keyed.groupBy("__h").agg(F.max(rank).alias("__best"), F.count("*").alias("dup_count"))
-    best = best.select(F.concat("__h", F.lit("")).alias("__k"), "__best", "dup_count")
-    joined = keyed.join(best, F.col("__h") == F.col("__k"))
-    top = joined.filter(rank == F.col("__best")).groupBy("__h").agg(F.min(F.struct(*order)).alias("__first"))
-    top = top.select(F.concat("__h", F.lit("")).alias("__t"), "__first")
-    marked = joined.join(top, F.col("__h") == F.col("__t"))
+    keyed = articles.withColumn("__h", title_hash(F.col(title)))
+    # Narrow rows decide: the first of each rank of a group, then the best rank. Whole rows join once.
+    first = keyed.select("__h", rank.alias("__rank"), F.struct(*order).alias("__at")).groupBy("__h", "__rank").agg(F.min("__at").alias("__at"), F.count("*").alias("__n"))
+    best = first.groupBy("__h").agg(F.max("__rank").alias("__best"), F.max_by("__at", "__rank").alias("__first"), F.sum("__n").alias("dup_count"))
+    best = best.select(F.concat("__h", F.lit("")).alias("__k"), "__best", "__first", "dup_count")
+    marked = keyed.join(best, F.col("__h") == F.col("__k"))
     canonical = (rank == F.col("__best")) & (F.struct(*order) == F.col("__first"))
     group = F.when(F.col("dup_count") > 1, F.col("__h")).otherwise("")
     return marked.select(*articles.columns, group.alias("dup_group_id"), canonical.alias("is_canonical"), "dup_count")
