@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from heronlake.functions import vocab as V
 from heronlake.functions.text import clean_content, trimmed
+from heronlake.functions.times import iso, to_utc
 from heronlake.functions.urls import category_of_url, domain
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -158,7 +159,7 @@ def from_meta(root: Node) -> dict:
             moment = node.attrs["datetime"]
     times = [metas.get(k) for k in (("property", "article:published_time"), ("itemprop", "datePublished"), ("name", "pubdate"), ("name", "publish-date"))]
     out = {
-        "title": metas.get(("property", "og:title")) or title, "published_at": next((t for t in times if t), moment),
+        "title": metas.get(("property", "og:title")) or title, "times": [t for t in (*times, moment) if t],
         "category_raw": metas.get(("property", "article:section")), "keywords": _words(metas.get(("name", "keywords"), "")),
         "author": metas.get(("name", "author")) or metas.get(("property", "article:author")),
     }
@@ -191,7 +192,10 @@ def extract(html: str | None, url: str | None, selectors: dict[str, list[str]] =
         return {}
     root = parse(html)
     out = from_jsonld(root)
-    out |= {k: v for k, v in from_meta(root).items() if not out.get(k)}
+    meta = from_meta(root)
+    # Where a page's time may stand, in the order of trust; the first that can be read counts.
+    out["times"] = [t for t in (out.pop("published_at", ""), *meta.pop("times", ())) if t]
+    out |= {k: v for k, v in meta.items() if not out.get(k)}
     if not out.get("content"):
         site = next((s for known, s in selectors.items() if known in (url or "").lower()), [])
         out["content"] = body_text(root, site)
@@ -201,25 +205,29 @@ def extract(html: str | None, url: str | None, selectors: dict[str, list[str]] =
     return out
 
 
-FIELDS = "title string, published_at string, author string, category_raw string, keywords array<string>, content string"
+FIELDS = "title string, times array<string>, author string, category_raw string, keywords array<string>, content string"
 
 
 def extract_articles(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(id, url, title, published_at, author, category_raw, keywords, content), a row for each page.
+    """(id, url, title, published_at, author, category_raw, keywords, content, domain), a row for each page; published_at
+    is in UTC, from the first of the page's times that can be read, and null without one.
 
     Parsing runs in Arrow batches; cleaning and the category from the URL stay in the JVM.
     """
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    kinds = [pa.list_(pa.string()) if n == "keywords" else pa.string() for n in names]
+    lists = ("keywords", "times")
+    kinds = [pa.list_(pa.string()) if n in lists else pa.string() for n in names]
 
     def run(batches):
         for batch in batches:
             found = [extract(h, u) for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            columns = [pa.array([f.get(n) if n != "keywords" else f.get(n) or [] for f in found], k) for n, k in zip(names, kinds, strict=True)]
+            columns = [pa.array([f.get(n) if n not in lists else f.get(n) or [] for f in found], k) for n, k in zip(names, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[id_column, url, *names])
 
     rows = pages.select(id_column, url, html)
     parsed = rows.mapInArrow(run, f"{id_column} {rows.schema[id_column].dataType.simpleString()}, {url} string, {FIELDS}")
     section = F.coalesce(F.col("category_raw"), F.lit(""))
     keywords = F.filter(F.transform(F.col("keywords"), trimmed), lambda k: k != "")
+    known = F.filter(F.transform("times", lambda t: to_utc(t)), lambda t: t.isNotNull())
+    parsed = parsed.select(id_column, url, "title", iso(F.try_element_at(known, F.lit(1))).alias("published_at"), "author", "category_raw", "keywords", "content")
     return parsed.withColumns({"content": clean_content(F.col("content")), "category_raw": F.when(section == "", category_of_url(F.col(url))).otherwise(section), "keywords": keywords}).withColumn("domain", domain(F.col(url)))

@@ -9,7 +9,7 @@ from heronlake.functions import vocab as V
 from heronlake.functions.categories import lookup_expression
 from heronlake.functions.entities import ENTITIES, is_person_name, split_keywords
 from heronlake.functions.text import clean_content, trimmed
-from heronlake.functions.times import to_utc
+from heronlake.functions.times import iso, to_utc
 from heronlake.functions.urls import category_of_url, domain, normalize_url, source_of, stable_id
 
 
@@ -49,7 +49,3 @@ def articles_from_csv(rows: DataFrame, source_type: str, crawled_at: Column | No
         "author", F.when(F.col("lang") == "", "vi").otherwise(F.col("lang")).alias("language"), "keywords", F.array().cast(ENTITIES).alias("entities"),
         F.length("content").alias("content_length"), (F.length("content") >= V.FULL_LENGTH).alias("has_full_content"),
     )
-
-
-def iso(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

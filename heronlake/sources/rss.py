@@ -10,10 +10,9 @@ from heronlake.functions import vocab as V
 from heronlake.functions.categories import lookup_expression
 from heronlake.functions.entities import ENTITIES, union_keywords
 from heronlake.functions.text import clean_content, trimmed
-from heronlake.functions.times import to_utc
+from heronlake.functions.times import iso, to_utc
 from heronlake.functions.urls import category_of_url, domain, normalize_url, source_of, stable_id
 from heronlake.operators.cleaning import reject_reason
-from heronlake.sources.legacy_csv import iso
 
 ITEM = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link", "description", "pubDate", "updated", "author")] + [T.StructField("category", T.ArrayType(T.StringType()))])
 
