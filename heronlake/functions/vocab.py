@@ -55,10 +55,12 @@ BRANDS = ["RSS_Feed", "24h", "ZNews", "LaoDong", "VnExpress", "DanTri", "TuoiTre
 #: Boilerplate of articles, removed in this order; . matches line ends, case doesn't count.
 BOILERPLATE = [r"^Lưu bài viết thành công.*?Tin bài đã lưu", r"Nguồn:\s*\[Link nguồn\].*$", r"^\(Dân trí\)\s*-\s*", r"^TTO\s*-\s*", r"^TTXVN\s*-\s*"]
 
-COMMON_WORDS = (
-    "bộ điểm người năm tuần tháng ngày giờ phút bên phía chiều sáng tối trưa đêm ông bà anh chị em cô chú bác "
-    "ta mình họ chúng nhau đây đó kia này ấy trên dưới trong ngoài giữa nhà cửa đường phố"
-).split()
+#: Words that are no entity and no keyword.
+COMMON_WORDS = [
+    "bộ", "điểm", "người", "năm", "tuần", "tháng", "ngày", "giờ", "phút", "bên", "phía", "chiều", "sáng", "tối",
+    "trưa", "đêm", "ông", "bà", "anh", "chị", "em", "cô", "chú", "bác", "ta", "mình", "họ", "chúng", "nhau", "đây",
+    "đó", "kia", "này", "ấy", "trên", "dưới", "trong", "ngoài", "giữa", "nhà", "cửa", "đường", "phố",
+]
 
 #: Prefixes of places; the first in this order that fits is cut off.
 PLACE_PREFIXES = [

@@ -51,6 +51,20 @@ def cleanup(articles: DataFrame, order: list[str], least: int = V.MIN_LENGTH_CLE
     return rows.filter(F.coalesce("content_length", F.lit(0)) >= least)
 
 
+def in_time_order(articles: DataFrame, order: list[str]) -> DataFrame:
+    """articles sorted by the text of published_at, an unknown one first, ties by `order`: for files that hold them so."""
+    return articles.orderBy(F.coalesce("published_at", F.lit("")), *order)
+
+
+def daily_run(crawled: DataFrame, order: list[str], tagger: Tagger, done: DataFrame | None = None) -> DataFrame:
+    """The daily chain: crawls merged and validated, cleaned up, entities recognised for articles not in `done`, entities and
+    keywords cleaned; gives the ready articles. Nothing is written between the stages."""
+    built = build_dataset(crawled, order)
+    # A merged article has one row for its id, so any order of columns is one.
+    ready = cleanup(built, ["id"])
+    return clean_article_entities(recognise_entities(ready, tagger, done, chars=None))
+
+
 Tagger = Callable[[str], list[tuple[str, str]]]
 
 

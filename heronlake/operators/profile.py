@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heronlake.functions import vocab as V
+from heronlake.functions.entities import normalize_text
+
 
 def shares(rows: DataFrame, column: str) -> DataFrame:
     """(value, n, share in percent)."""
@@ -58,3 +61,31 @@ def clean_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     both = b.join(a, "entity_type", "full").select("entity_type", F.coalesce("n_before", F.lit(0)).alias("n_before"), F.coalesce("n_after", F.lit(0)).alias("n_after"))
     both = both.withColumn("delta", F.col("n_after") - F.col("n_before"))
     return both.withColumn("reduction", F.when(F.col("n_before") > 0, 100 * (F.col("n_before") - F.col("n_after")) / F.col("n_before")).otherwise(0.0))
+
+
+def most_active_dates(articles: DataFrame, limit: int = 5) -> DataFrame:
+    """(publish_date, n) of the days with the most articles."""
+    counts = articles.filter(F.col("publish_date").isNotNull()).groupBy("publish_date").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.col("n").desc(), "publish_date").limit(limit)
+
+
+def cleaning_totals(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: articles, entities and keywords before and after cleaning, the reduction in percent, averages an article."""
+
+    def sizes(rows: DataFrame, suffix: str) -> DataFrame:
+        counts = [F.coalesce(F.sum(F.size(F.coalesce(c, F.array()))), F.lit(0)).cast("long").alias(f"{c}_{suffix}") for c in ("entities", "keywords")]
+        return rows.agg(F.count("*").alias(f"articles_{suffix}"), *counts)
+
+    # One row each.
+    both = sizes(before, "before").crossJoin(sizes(after, "after"))
+    for c in ("entities", "keywords"):
+        b, a = F.col(f"{c}_before"), F.col(f"{c}_after")
+        both = both.withColumn(f"{c}_reduction", F.when(b > 0, 100 * (b - a) / b).otherwise(0.0)).withColumn(f"{c}_per_article", a / F.greatest(F.col("articles_after"), F.lit(1)))
+    return both
+
+
+def rejected_keywords(articles: DataFrame, limit: int = 10) -> DataFrame:
+    """(keyword, n) of the keywords that name a category and so go, the most frequent ones."""
+    words = articles.select(F.explode("keywords").alias("k")).select(F.lower(normalize_text(F.col("k"))).alias("keyword"))
+    counts = words.filter(F.col("keyword").isin(list(V.CATEGORY_KEYWORDS))).groupBy("keyword").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.col("n").desc(), "keyword").limit(limit)

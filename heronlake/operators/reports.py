@@ -65,9 +65,11 @@ def human_bytes(n: float) -> str:
         n /= 1024
 
 
-def write_report(rows: DataFrame, path: str) -> None:
-    """A small result as .json, .csv or .md."""
-    names, data = rows.columns, [r.asDict(recursive=True) for r in rows.collect()]
+def write_report(rows: DataFrame, path: str, most: int = 10_000) -> None:
+    """A small result as .json, .csv or .md; one of over `most` rows is refused."""
+    names, data = rows.columns, [r.asDict(recursive=True) for r in rows.limit(most + 1).collect()]
+    if len(data) > most:
+        raise ValueError(f"a report holds at most {most} rows")
     if path.endswith(".json"):
         Path(path).write_text(json.dumps(data, ensure_ascii=False, indent=2, default=str))
     elif path.endswith(".csv"):
