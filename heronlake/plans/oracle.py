@@ -1,5 +1,30 @@
 """DuckDB SQL for the registered queries."""
 
+from heronlake.functions import vocab as V
+from heronlake.sources.tables import SEARCH_FIELDS
+
+
+def listed(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+def one_of(words, number: str = "id") -> str:
+    """The word that a number picks."""
+    return f"({listed(words)})[({number} % {len(words)} + 1)::INTEGER]"
+
+
+def first_prefix(words) -> str:
+    return f"coalesce(length(list_filter({listed(words)}, lambda p: starts_with(lower(text), p))[1]), 0)"
+
+
+def mapped(raw: str, groups: dict) -> str:
+    """The label of a raw category: that of the first equal key, else of the first that contains it or is contained."""
+    keys = [(k, v) for v, ks in groups.items() for k in ks]
+    names, labels, low = listed(k for k, _ in keys), listed(v for _, v in keys), f"lower(trim({raw}))"
+    near = f"list_filter(range(1, {len(keys) + 1}), lambda i: contains({low}, ({names})[i]) OR contains(({names})[i], {low}))[1]"
+    return f"CASE WHEN {raw} = '' THEN 'other' ELSE coalesce(({labels})[coalesce(list_position({names}, {low}), {near})], 'other') END"
+
+
 KE = """SELECT event_id AS article_id, json_extract_string(props, '$.k') AS keyword, ts AS event_time, ts::DATE AS publish_date,
   hour(ts)::INTEGER AS publish_hour, event_type AS source, (user_id % 4)::VARCHAR AS category FROM events"""
 EE = """SELECT event_id AS article_id, user_id::VARCHAR AS entity_text, event_type AS entity_type, ts::DATE AS publish_date,
@@ -21,23 +46,26 @@ prev AS (SELECT keyword, sum(mention_count)::BIGINT AS p FROM d, a WHERE publish
 SELECT keyword, count_now, coalesce(p, 0) AS count_prev, count_now / greatest(coalesce(p, 0), 1) AS multiplier
 FROM now LEFT JOIN prev USING (keyword) WHERE count_now >= 5 ORDER BY multiplier DESC, count_now DESC, keyword LIMIT 20"""
 PHRASES = f"""SELECT id, form - 1 AS form, forms[form] AS phrase FROM (
-  SELECT id, [w, 'ông ' || w, 'xã ' || w, 'năm ' || id, id || ' %', '(' || w || '), ', id || ' tỷ', 'Thế giới', 'bà', 'khu vực ' || w] AS forms
+  SELECT id, [w, {one_of(V.PERSON_PREFIXES)} || w, upper({one_of(V.PLACE_PREFIXES)}) || ' ' || w, 'năm ' || id, id || ' %', '(' || w || '), ', id || ' tỷ',
+    {one_of(sorted(V.CATEGORY_KEYWORDS))}, {one_of(V.COMMON_WORDS)}, 'khu vực ' || w] AS forms
   FROM (SELECT id, split_part(title, ' ', 1) AS w FROM ({ART}))), range(1, 11) r(form)"""
 EDGE = r"[\s,.;:!?\-–—(){}\[\]''\"“”‘’]+"
 NORMAL = rf"trim(regexp_replace(regexp_replace(regexp_replace(trim(phrase), '^{EDGE}', ''), '{EDGE}$', ''), '\s+', ' ', 'g'))"
 FLAGS = rf"""SELECT id, form, text, regexp_matches(text, '(?i)^(năm|tháng|ngày|tuần|giờ|phút|quý|thế\s*kỷ|thập\s*kỷ)\s*[0-9]') AS date_like,
   regexp_matches(text, '^[0-9\s,.\-+]+$') AS numeric, regexp_matches(text, '[%‰]|(?i)(USD|VND|EUR|JPY|CNY|đ|đồng|tỷ|triệu|nghìn)\s*$') AS money,
-  lower(text) IN ('bà', 'ông', 'em', 'ta', 'anh') AS common
+  list_contains({listed(V.COMMON_WORDS)}, lower(text)) AS common
   FROM (SELECT id, form, {NORMAL} AS text FROM ({PHRASES}))"""
-CLEAN = f"""SELECT id, form, CASE WHEN length(rest) >= 2 THEN rest ELSE text END AS text,
-  CASE WHEN place > 0 THEN 'LOC' WHEN person > 0 THEN 'PER' ELSE 'ORG' END AS type FROM (
-  SELECT *, CASE WHEN place > 0 THEN text[place + 1:] WHEN person > 0 THEN text[person + 1:] ELSE text END AS rest FROM (
-    SELECT *, CASE WHEN starts_with(lower(text), 'xã ') THEN 3 WHEN starts_with(lower(text), 'khu ') THEN 4 ELSE 0 END AS place,
-      CASE WHEN starts_with(lower(text), 'ông ') THEN 4 ELSE 0 END AS person FROM ({FLAGS})
-    WHERE length(text) BETWEEN 2 AND 50 AND NOT date_like AND NOT numeric AND NOT money AND NOT common))
-  WHERE length(CASE WHEN length(rest) >= 2 THEN rest ELSE text END) BETWEEN 2 AND 50 AND lower(CASE WHEN length(rest) >= 2 THEN rest ELSE text END) NOT IN ('bà', 'ông', 'em', 'ta', 'anh')"""
+CLEAN = f"""SELECT id, form, new_text AS text, CASE WHEN place > 0 THEN 'LOC' WHEN person > 0 THEN 'PER' ELSE 'ORG' END AS type FROM (
+  SELECT *, CASE WHEN greatest(place, person) > 0 AND length(rest) >= 2 THEN rest ELSE text END AS new_text FROM (
+    SELECT *, trim(text[CASE WHEN place > 0 THEN place ELSE person END + 1:]) AS rest FROM (
+      SELECT *, {first_prefix(V.PLACE_PREFIXES)} AS place, {first_prefix(V.PERSON_PREFIXES)} AS person FROM ({FLAGS})
+      WHERE length(text) BETWEEN 2 AND 50 AND NOT date_like AND NOT numeric AND NOT money AND NOT common)))
+  WHERE length(new_text) BETWEEN 2 AND 50 AND NOT list_contains({listed(V.COMMON_WORDS)}, lower(new_text))"""
 URL = r"regexp_extract(url, '^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)', {})"
 NORMAL_URL = "CASE WHEN p LIKE '%/' AND length(p) > 1 THEN left(bare, length(bare) - 1) ELSE bare END"
+KEPT_KEYWORDS = f"SELECT id, form, text AS keyword FROM ({FLAGS}) WHERE length(text) BETWEEN 2 AND 50 AND NOT date_like AND NOT numeric AND NOT money AND NOT common AND NOT list_contains({listed(V.CATEGORY_KEYWORDS)}, lower(text))"
+ARTICLE_KEYWORDS = rf"""SELECT unnest(list_transform(list_sort(list_transform(list_distinct(ts), lambda t: {{'p': list_position(ts, t), 't': t}})), lambda x: x.t)[1:3]) AS keyword, publish_date, category FROM (
+    SELECT *, list_filter(string_split_regex(lower(title), '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> '') AS ts FROM ({ART}))"""
 RUNS = "SELECT event_type AS scenario, ['alpha', 'beta', 'beta-2'][user_id % 3 + 1] AS engine, value AS ms, event_id % 20 AS run FROM events"
 SUMMARY = f"""SELECT scenario, engine, count(*) AS runs, min(ms) AS min_ms, quantile_cont(ms, 0.5) AS median_ms, avg(ms) AS mean_ms, quantile_cont(ms, 0.95) AS p95_ms,
   max(ms) AS max_ms, coalesce(stddev_samp(ms), 0) AS stdev_ms, 1000 / avg(ms) AS qps FROM ({RUNS}) WHERE run >= 3 GROUP BY ALL"""
@@ -66,10 +94,10 @@ GROUP BY 1 HAVING count(DISTINCT source) >= 3 ORDER BY source_count DESC, total_
     "agg03_group_stats": f"SELECT count(DISTINCT nullif(dup_group_id, '')) AS dup_groups, count(*) FILTER (dup_group_id <> '' AND NOT is_canonical) AS dup_records FROM ({DUP})",
     "agg01_first_wins": "SELECT md5(text) AS key, min(doc_id) AS id, arg_min(source, doc_id) AS source FROM documents GROUP BY 1",
     "snk4_last_wins": "SELECT md5(text) AS key, max(doc_id) AS id, arg_max(source, doc_id) AS source FROM documents GROUP BY 1",
-    "agg02_merge_fold": f"""WITH r AS (SELECT md5(title) AS key, id, id % 2 AS rank, content_length, source, category FROM ({ART})),
-best AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY content_length DESC, rank, id) AS n FROM r),
-words AS (SELECT key, string_agg(k, '|' ORDER BY k) AS keywords FROM (SELECT DISTINCT key, unnest([source, category]) AS k FROM r) GROUP BY 1)
-SELECT key, id, content_length::INTEGER AS content_length, content_length >= 500 AS has_full_content, keywords FROM best JOIN words USING (key) WHERE n = 1""",
+    "agg02_merge_fold": f"""WITH r AS (SELECT md5(title) AS key, list({{'id': id, 'n': content_length, 'k': [source, category, (id % 5)::VARCHAR]}} ORDER BY id % 2, id) AS rows FROM ({ART}) GROUP BY 1),
+f AS (SELECT key, list_reduce(rows, lambda a, x: CASE WHEN x.n > a.n THEN {{'id': x.id, 'n': x.n, 'k': list_concat(x.k, a.k)}} ELSE {{'id': a.id, 'n': a.n, 'k': list_concat(a.k, x.k)}} END) AS w FROM r),
+u AS (SELECT key, w.id AS id, w.n AS n, w.k AS k FROM f)
+SELECT key, id, n::INTEGER AS content_length, n >= 500 AS has_full_content, array_to_string(list_filter(k, lambda v, i: list_position(k, v) = i), '|') AS keywords FROM u""",
     "jon3_not_yet_done": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "snk2_append_if_absent": """SELECT md5(text) AS key, min(doc_id) AS id FROM documents WHERE doc_id % 2 = 1
   AND text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0) GROUP BY 1""",
@@ -98,7 +126,7 @@ WHERE replace(lower(regexp_extract(whole, '^[a-z]+://([^/?#]*)', 1)), 'www.', ''
     "fn18_keyword_split": "SELECT doc_id, lang || '|' || source AS keywords FROM documents",
     "fn14_reject_flags": FLAGS,
     "fn15_clean_entities": CLEAN,
-    "fn16_clean_keywords": f"SELECT id, form, text AS keyword FROM ({FLAGS}) WHERE length(text) BETWEEN 2 AND 50 AND NOT date_like AND NOT numeric AND NOT money AND NOT common AND lower(text) <> 'thế giới'",
+    "fn16_clean_keywords": KEPT_KEYWORDS,
     "fn17_ordered_dedup": f"""WITH w AS (SELECT id, string_split(title, ' ') AS words FROM ({ART})), n AS (SELECT id, words[i] AS word, i, row_number() OVER (PARTITION BY id, lower(words[i]) ORDER BY i) AS k FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS i FROM w))
 SELECT id, string_agg(word, '|' ORDER BY i) AS words FROM n WHERE k = 1 GROUP BY 1""",
     "fn19_person_name": rf"""SELECT id, len(ws) BETWEEN 2 AND 5 AND len(list_filter(ws, lambda w: NOT regexp_matches(w, '^\p{{Lu}}') OR regexp_matches(w, '[0-9/@#_]'))) = 0 AS is_name
@@ -146,4 +174,44 @@ SELECT id, round(max(score), 6) AS score FROM s GROUP BY id HAVING sum(hits) > 0
     "str3_append_new": f"SELECT DISTINCT keyword || '/' || category AS key FROM ({KE})",
     "str7_circuit_breaker": """WITH r AS (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run FROM events)
 SELECT event_id, coalesce(count(*) FILTER (event_type <> 'purchase') OVER (PARTITION BY user_id, coalesce(run, 0) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 6 AS blocked FROM r""",
+    "str1_compacted_rollup": f"SELECT publish_date, publish_hour, keyword, category, source, count(*) AS mention_count FROM ({KE}) GROUP BY ALL",
+    "str2_streamed_buckets": "SELECT strftime(time_bucket(INTERVAL 4 HOUR, ts), '%Y-%m-%dT%H') AS bucket, count(*) AS n FROM events GROUP BY 1",
+    "fn08_category_maps": f"""WITH r AS (SELECT doc_id, [k, ' ' || upper(k), 'x/' || k || '-y', k[1:4], source, ''][doc_id % 6 + 1] AS raw FROM (
+  SELECT doc_id, source, {one_of(sorted({k for g in (V.CATEGORY_GROUPS, V.CATEGORY_GROUPS_EXTENDED) for v in g.values() for k in v}), "doc_id")} AS k FROM documents))
+SELECT doc_id, raw, {mapped("raw", V.CATEGORY_GROUPS)} AS base, {mapped("raw", V.CATEGORY_GROUPS_EXTENDED)} AS extended FROM r""",
+    "fn07_clean_content": rf"""WITH t AS (SELECT id, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title, title AS raw FROM ({ART}))
+SELECT id, trim(regexp_replace(title || ' <b> "éệ"', '\s+', ' ', 'g')) AS cleaned FROM t""",
+    "tok1_folded_tokens": rf"""SELECT id, array_to_string(list_filter(string_split_regex(replace(strip_accents(lower('Đường Nguyễn Ê-kíp, ' || title)), 'đ', 'd'), '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> ''), '|') AS tokens FROM ({ART})""",
+    "flt04_search_documents": f"SELECT id, title, url, has_full_content, '{'|'.join(SEARCH_FIELDS)}' AS fields, NULL::VARCHAR AS word_count FROM ({ART})",
+    "flt08_date_range": f"SELECT id, publish_date FROM ({ART}) WHERE category = 'en' AND publish_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    "flt11_exists": f"SELECT count(title) AS title, count(event_time) AS event_time, count(publish_date) AS publish_date, count(source) AS source FROM ({ART})",
+    "win2_time_order": f"SELECT id, strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS published_at FROM ({ART})",
+    "src2_jsonl_round_trip": f"SELECT id, title, md5(content) AS content, source FROM ({ART})",
+    "src4_file_order": f"SELECT title, coalesce(max(id) FILTER (id % 2 = 1), max(id)) AS id FROM ({ART}) WHERE title <> '' GROUP BY 1",
+    "src6_legacy_csv": """WITH r AS (SELECT doc_id, 'https://vnexpress.net/the-thao/' || doc_id AS url, 4 * (doc_id % 97) - 1 AS n FROM documents WHERE doc_id % 11 <> 0)
+SELECT md5(url) AS id, url, 'T "q", ' || doc_id AS title, '2024-01-01T00:00:00+00:00' AS published_at, CASE WHEN doc_id % 3 = 0 THEN 'Le Van A' ELSE '' END AS author, 'vnexpress' AS source,
+  CASE WHEN doc_id % 5 = 0 THEN 'the-thao' ELSE 'du-lich' END AS category_raw, CASE WHEN doc_id % 5 = 0 THEN 'sports' ELSE 'travel' END AS category_normalized, n::INTEGER AS content_length, 'k1|k2' AS keywords
+FROM r WHERE n >= 300""",
+    "src7_rss": """WITH r AS (SELECT doc_id, 'https://dantri.com.vn/suc-khoe/' || doc_id || '?utm_source=x' AS url, 4 * (doc_id % 60) - 1 AS n FROM documents WHERE doc_id % 4 IN (1, 2))
+SELECT md5(url) AS id, url, 'T ' || doc_id AS title, CASE WHEN doc_id % 4 = 1 THEN '2024-01-01T20:00:00+00:00' ELSE '2024-01-01T19:00:00+00:00' END AS published_at, 'dantri' AS source,
+  'suc-khoe' AS category_raw, 'health' AS category_normalized, n::INTEGER AS content_length, 'k' AS keywords FROM r WHERE n >= 100""",
+    "snk7_repeated_keys": "SELECT md5(text) AS key, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1",
+    "load_tables": f"""WITH a AS ({ART}), k AS ({ARTICLE_KEYWORDS}), e AS (SELECT publish_date, unnest(entities) AS e FROM a),
+t AS (SELECT 'articles' AS "table", publish_date FROM a UNION ALL SELECT 'keyword_events', publish_date FROM k UNION ALL SELECT 'entity_events', publish_date FROM e)
+SELECT "table", coalesce(year(publish_date) * 100 + month(publish_date), 0)::INTEGER AS ym, count(*) AS n FROM t GROUP BY ALL""",
+    "load_rollups": f"SELECT publish_date, keyword, category, count(*) AS mention_count FROM ({ARTICLE_KEYWORDS}) GROUP BY ALL",
+    "etl_daily_run": f"""WITH c AS (SELECT md5(text) AS id, doc_id, source, doc_id % 200 + 1 AS k FROM documents),
+b AS (SELECT id, arg_max(source, (k, -doc_id)) AS source, max(k) AS k FROM c GROUP BY id HAVING 4 * max(k) >= {V.MIN_LENGTH_RSS}),
+g AS (SELECT *, 4 * k - 1 AS n, count(*) OVER (PARTITION BY source) AS dup_count, row_number() OVER (PARTITION BY source ORDER BY 4 * k - 1 >= 500 DESC, k DESC, id) = 1 AS is_canonical FROM b)
+SELECT id, n::INTEGER AS content_length, n >= 500 AS has_full_content, 'sports' AS category_normalized, '' AS author, DATE '2024-01-02' AS publish_date, 3 AS publish_hour, (2 * k)::INTEGER AS word_count,
+  is_canonical, dup_count, 'k1' AS keywords, 'x y/LOC' AS entities FROM g WHERE n >= {V.MIN_LENGTH_CLEAN}""",
+    "agg20_most_active_dates": f"SELECT publish_date, count(*) AS n FROM ({ART}) WHERE publish_date IS NOT NULL GROUP BY 1 ORDER BY n DESC, publish_date LIMIT 5",
+    "agg21_cleaning_totals": f"""WITH n AS (SELECT (SELECT count(DISTINCT id) FROM ({PHRASES})) AS articles, (SELECT count(*) FROM ({PHRASES})) AS b, (SELECT count(*) FROM ({KEPT_KEYWORDS})) AS a)
+SELECT articles AS articles_before, articles AS articles_after, 0::BIGINT AS entities_before, 0::BIGINT AS entities_after, b AS keywords_before, a AS keywords_after, 0.0::DOUBLE AS entities_reduction,
+  0.0::DOUBLE AS entities_per_article, 100 * (b - a) / b AS keywords_reduction, a / articles AS keywords_per_article FROM n""",
+    "agg21_rejected_keywords": f"""SELECT lower(text) AS keyword, count(*) AS n FROM ({FLAGS}) WHERE list_contains({listed(V.CATEGORY_KEYWORDS)}, lower(text)) GROUP BY 1 ORDER BY n DESC, keyword LIMIT 10""",
 }
+
+SQL["sch1_bm25_indexed"] = SQL["sch1_bm25"]
+SQL["sch2_all_tokens_indexed"] = SQL["sch2_all_tokens"]
+SQL["sch3_token_count"] = f"SELECT count(*) AS n FROM (SELECT {TOKENS} AS t FROM ({ART})) WHERE list_contains(t, 'the') AND list_contains(t, 'and') AND list_contains(t, 'of')"

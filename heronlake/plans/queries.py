@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import tempfile
 import uuid
 
@@ -13,8 +14,10 @@ from heronlake.functions import entities as E
 from heronlake.functions import text as X
 from heronlake.functions import times as TM
 from heronlake.functions import urls as U
-from heronlake.operators import access, cleaning, dedup, profile, reports, rollups, search, trends
+from heronlake.functions import vocab as V
+from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, trends
 from heronlake.plans import adapters as A
+from heronlake.sources import legacy_csv, rss, tables
 from heronlake.sources.html_article import extract_articles
 from heronlake.streaming import rollups as stream
 
@@ -26,6 +29,14 @@ def query(f):
     return f
 
 
+def _shared(s: SparkSession, name: str) -> str:
+    """A folder of its own that driver and executors share; local masters may do without spark.checkpoint.dir."""
+    base = s.conf.get("spark.checkpoint.dir", None)
+    if not base and not s.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}" if base else "file://" + tempfile.mkdtemp(prefix=f"heronlake-{name}-") + "/data"
+
+
 def _joined(x: Column) -> Column:
     return F.array_join(x, "|")
 
@@ -159,9 +170,9 @@ def snk4_last_wins(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def agg02_merge_fold(s: SparkSession, d: str) -> DataFrame:
-    rows = A.articles(s, d).select(F.md5("title").alias("key"), (F.col("id") % 2).alias("rank"), "id", "content", F.array("source", "category").alias("keywords"))
+    rows = A.articles(s, d).select(F.md5("title").alias("key"), (F.col("id") % 2).alias("rank"), "id", "content", F.array("source", "category", (F.col("id") % 5).cast("string")).alias("keywords"))
     merged = dedup.merge_fold(rows, "key", ["rank", "id"])
-    return merged.select("key", "id", "content_length", "has_full_content", _joined(F.array_sort("keywords")).alias("keywords"))
+    return merged.select("key", "id", "content_length", "has_full_content", _joined(F.col("keywords")).alias("keywords"))
 
 
 @query
@@ -181,6 +192,20 @@ def jon6_category_lookup(s: SparkSession, d: str) -> DataFrame:
     return C.with_category(A.table(s, d, "part").select("p_partkey", "p_name"), "p_name", "label", groups).select("p_partkey", "p_name", "label")
 
 
+def _raw_categories(s: SparkSession, d: str) -> DataFrame:
+    """Every key of the shipped maps, alone, within more, cut, in capitals, and words that are no key."""
+    keys = sorted({k for groups in (V.CATEGORY_GROUPS, V.CATEGORY_GROUPS_EXTENDED) for v in groups.values() for k in v})
+    key = F.element_at(F.array(*map(F.lit, keys)), (F.col("doc_id") % len(keys) + 1).cast("int"))
+    form = F.element_at(F.array(key, F.concat(F.lit(" "), F.upper(key)), F.concat(F.lit("x/"), key, F.lit("-y")), F.substring(key, 1, 4), F.col("source"), F.lit("")), (F.col("doc_id") % 6 + 1).cast("int"))
+    return A.table(s, d, "documents").select("doc_id", form.alias("raw"))
+
+
+@query
+def fn08_category_maps(s: SparkSession, d: str) -> DataFrame:
+    rows = C.with_category(_raw_categories(s, d), "raw", "base")
+    return C.with_category(rows, "raw", "extended", V.CATEGORY_GROUPS_EXTENDED).select("doc_id", "raw", "base", "extended")
+
+
 # URLs
 
 
@@ -243,7 +268,10 @@ def fn11_title_key(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def fn07_clean_content(s: SparkSession, d: str) -> DataFrame:
-    return A.articles(s, d).select("id", F.md5(X.clean_content(F.col("content"))).alias("cleaned"))
+    start = F.element_at(F.array(*map(F.lit, ("", "TTO - ", "(Dân trí) - ", "TTXVN-  ", "Lưu bài viết thành công x Tin bài đã lưu"))), (F.col("id") % 5 + 1).cast("int"))
+    end = F.when(F.col("id") % 2 == 0, F.lit("  Nguồn: [Link nguồn] a\n b")).otherwise(F.lit(" \t"))
+    raw = F.concat(start, F.col("title"), F.lit(" &amp;lt;b&amp;gt;&nbsp;&quot;&#233;&amp;#7879;&quot; \n"), end)
+    return A.articles(s, d).select("id", X.clean_content(raw).alias("cleaned"))
 
 
 @query
@@ -262,9 +290,12 @@ def fn18_keyword_split(s: SparkSession, d: str) -> DataFrame:
 def _phrases(s: SparkSession, d: str) -> DataFrame:
     """Phrases that each rule applies to, made from the words of titles."""
     base = A.articles(s, d).select("id", F.split("title", " ")[0].alias("w"))
+    def listed(words: list[str]) -> Column:
+        return F.element_at(F.array(*map(F.lit, words)), (F.col("id") % len(words) + 1).cast("int"))
+
     forms = F.array(
-        F.col("w"), F.concat(F.lit("ông "), F.col("w")), F.concat(F.lit("xã "), F.col("w")), F.concat(F.lit("năm "), F.col("id").cast("string")), F.concat(F.col("id").cast("string"), F.lit(" %")),
-        F.concat(F.lit("(" ), F.col("w"), F.lit("), ")), F.concat(F.col("id").cast("string"), F.lit(" tỷ")), F.lit("Thế giới"), F.lit("bà"), F.concat(F.lit("khu vực "), F.col("w")),
+        F.col("w"), F.concat(listed(V.PERSON_PREFIXES), F.col("w")), F.concat(F.upper(listed(V.PLACE_PREFIXES)), F.lit(" "), F.col("w")), F.concat(F.lit("năm "), F.col("id").cast("string")), F.concat(F.col("id").cast("string"), F.lit(" %")),
+        F.concat(F.lit("(" ), F.col("w"), F.lit("), ")), F.concat(F.col("id").cast("string"), F.lit(" tỷ")), listed(sorted(V.CATEGORY_KEYWORDS)), listed(V.COMMON_WORDS), F.concat(F.lit("khu vực "), F.col("w")),
     )
     return base.select("id", F.posexplode(forms).alias("form", "phrase"))
 
@@ -356,6 +387,26 @@ def agg20_date_range(s: SparkSession, d: str) -> DataFrame:
     return A.articles(s, d).agg(F.min("publish_date").alias("first"), F.max("publish_date").alias("last"))
 
 
+@query
+def agg20_most_active_dates(s: SparkSession, d: str) -> DataFrame:
+    return profile.most_active_dates(A.articles(s, d))
+
+
+def _keyword_lists(s: SparkSession, d: str) -> DataFrame:
+    return _phrases(s, d).groupBy("id").agg(F.collect_list(F.col("phrase")).alias("keywords")).withColumn("entities", F.array().cast(E.ENTITIES))
+
+
+@query
+def agg21_cleaning_totals(s: SparkSession, d: str) -> DataFrame:
+    rows = _keyword_lists(s, d)
+    return profile.cleaning_totals(rows, rows.withColumn("keywords", F.filter(F.transform("keywords", E.clean_keyword), lambda k: k.isNotNull())))
+
+
+@query
+def agg21_rejected_keywords(s: SparkSession, d: str) -> DataFrame:
+    return profile.rejected_keywords(_keyword_lists(s, d))
+
+
 @query
 def agg21_clean_changes(s: SparkSession, d: str) -> DataFrame:
     phrases = _phrases(s, d).select(F.struct(F.col("phrase").alias("text"), F.when(F.col("form") % 2 == 0, "ORG").otherwise("PER").alias("type")).alias("e"))
@@ -419,6 +470,139 @@ def sch7_article(s: SparkSession, d: str) -> DataFrame:
     return search.article(A.articles(s, d), 17, role="admin").select("id", "title", "source", "url")
 
 
+@query
+def sch1_bm25_indexed(s: SparkSession, d: str) -> DataFrame:
+    index = search.SearchIndex.write(A.articles(s, d), _shared(s, "index"))
+    return index.bm25("the idiot").select("id", F.round("score", 6).alias("score"))
+
+
+@query
+def sch2_all_tokens_indexed(s: SparkSession, d: str) -> DataFrame:
+    return search.SearchIndex.write(A.articles(s, d), _shared(s, "index")).all_tokens("The of")
+
+
+@query
+def sch3_token_count(s: SparkSession, d: str) -> DataFrame:
+    index = search.SearchIndex.write(A.articles(s, d), _shared(s, "index"))
+    return index.all_tokens("the and of").agg(F.count("*").alias("n"))
+
+
+@query
+def tok1_folded_tokens(s: SparkSession, d: str) -> DataFrame:
+    rows = A.articles(s, d).select("id", F.concat(F.lit("Đường Nguyễn Ê-kíp, "), "title").alias("title"))
+    return rows.select("id", _joined(X.tokens(F.col("title"), folded=True)).alias("tokens"))
+
+
+@query
+def flt04_search_documents(s: SparkSession, d: str) -> DataFrame:
+    kept = search.search_documents(A.articles(s, d).withColumn("language", F.lit("vi")))
+    return kept.select("id", "title", "url", "has_full_content", F.lit("|".join(kept.columns)).alias("fields"), "word_count")
+
+
+@query
+def flt08_date_range(s: SparkSession, d: str) -> DataFrame:
+    rows = search.restrict(A.articles(s, d), category="en", date_from=datetime.date(2024, 1, 5), date_to=datetime.date(2024, 1, 20))
+    return rows.select("id", "publish_date")
+
+
+@query
+def flt11_exists(s: SparkSession, d: str) -> DataFrame:
+    rows = A.articles(s, d)
+    return rows.agg(*(F.count_if(search.has_field(c)).alias(c) for c in ("title", "event_time", "publish_date", "source")))
+
+
+@query
+def win2_time_order(s: SparkSession, d: str) -> DataFrame:
+    rows = A.articles(s, d).withColumn("published_at", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"))
+    return cleaning.in_time_order(rows, ["id"]).select("id", "published_at")
+
+
+# Files and loads
+
+
+@query
+def src2_jsonl_round_trip(s: SparkSession, d: str) -> DataFrame:
+    base = _shared(s, "jsonl")
+    tables.write_jsonl(A.articles(s, d).select("id", "title", "content", "source"), base, max_records=50)
+    back = tables.read_jsonl(s, tables.expand_inputs(s, [f"{base}/*.json", f"{base}/part-*"]))
+    return back.select(F.col("id").cast("long").alias("id"), "title", F.md5("content").alias("content"), "source")
+
+
+@query
+def src4_file_order(s: SparkSession, d: str) -> DataFrame:
+    """Rows of two files with equal titles: the first file in the list wins, and in it the first line."""
+    base, rows = _shared(s, "order"), A.articles(s, d).select("id", "title", "source")
+    parts = []
+    for rank, part in enumerate((rows.filter("id % 2 = 1"), rows.filter("id % 2 = 0"))):
+        part.coalesce(1).orderBy(F.col("id").desc()).coalesce(1).write.json(f"{base}/{rank}")
+        parts.append(tables.with_sequence(tables.read_jsonl(s, f"{base}/{rank}"), rank))
+    return dedup.first_wins(tables.union_all(*parts), "title", ["_seq"]).select("title", F.col("id").cast("long").alias("id"))
+
+
+@query
+def src6_legacy_csv(s: SparkSession, d: str) -> DataFrame:
+    base, n = _shared(s, "csv"), F.col("doc_id")
+    rows = A.table(s, d, "documents").select(
+        F.concat(F.lit("https://vnexpress.net/the-thao/"), n.cast("string"), F.when(n % 2 == 0, "/").otherwise("")).alias("url"), F.concat(F.lit('T "q", '), n.cast("string")).alias("title"),
+        F.when(n % 11 == 0, "junk").otherwise("2024-01-01T07:00:00").alias("published_at"), F.expr("repeat('a b\n', cast(doc_id % 97 as int))").alias("content.text"), F.when(n % 3 == 0, "Le Van A").otherwise("VnExpress").alias("source.name"),
+        F.lit("k1| k2|").alias("keywords"), F.when(n % 5 == 0, "trang-chu").otherwise("du-lich").alias("category.primary"), F.lit("").alias("language"),
+    )
+    rows.write.option("header", True).option("escape", '"').csv(base)
+    made = legacy_csv.articles_from_csv(legacy_csv.read_csv(s, base), "html")
+    return made.select("id", "url", "title", "published_at", "author", "source", "category_raw", "category_normalized", "content_length", _joined(F.col("keywords")).alias("keywords"))
+
+
+@query
+def src7_rss(s: SparkSession, d: str) -> DataFrame:
+    base, n = _shared(s, "rss"), F.col("doc_id")
+    day = F.element_at(F.array(*(F.lit(x) for x in ("Mon, 01 Jan 2024 20:00:00 +0700", "Mon, 01 Jan 2024 20:00:00 GMT", "Tue, 02 Jan 2024 02:00:00 +0700", "junk"))), (n % 4 + 1).cast("int"))
+    item = F.concat(F.lit("<item><title> T "), n.cast("string"), F.lit("</title><link>https://dantri.com.vn/suc-khoe/"), n.cast("string"), F.lit("?utm_source=x</link><pubDate>"), day,
+                    F.lit("</pubDate><description>"), F.expr("repeat('c d ', cast(doc_id % 60 as int))"), F.lit("</description><category>k</category></item>"))
+    feeds = A.table(s, d, "documents").groupBy(F.expr("doc_id div 500")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("value"))
+    feeds.select("value").write.option("maxRecordsPerFile", 1).text(base)
+    made = rss.articles_from_feed(rss.read_feed(s, base), start_date=datetime.date(2024, 1, 2))
+    return made.select("id", "url", "title", "published_at", "source", "category_raw", "category_normalized", "content_length", _joined(F.col("keywords")).alias("keywords"))
+
+
+@query
+def snk7_repeated_keys(s: SparkSession, d: str) -> DataFrame:
+    return load.repeated_keys(A.articles(s, d).select(F.md5("content").alias("key")), "key")
+
+
+@query
+def load_tables(s: SparkSession, d: str) -> DataFrame:
+    """The articles in two loads, the second appended to the first; the rows of all six tables by month."""
+    base, rows = _shared(s, "load"), A.articles(s, d)
+    load.load_articles(rows.filter("id % 3 = 0"), base, "overwrite")
+    load.load_articles(rows.filter("id % 3 <> 0"), base, "append")
+    counts = load.loaded_counts(s, base)
+    return counts.filter(F.col("table").isin("articles", "keyword_events", "entity_events"))
+
+
+@query
+def load_rollups(s: SparkSession, d: str) -> DataFrame:
+    base, rows = _shared(s, "load"), A.articles(s, d)
+    load.load_articles(rows.filter("id % 3 = 0"), base, "overwrite")
+    load.load_articles(rows.filter("id % 3 <> 0"), base, "append")
+    return rollups.merge_rollups(s.read.parquet(f"{base}/daily_keyword_stats"), keys=rollups.DAILY_KEYWORD)
+
+
+@query
+def etl_daily_run(s: SparkSession, d: str) -> DataFrame:
+    """Two crawls that share articles, through the whole daily chain."""
+    rows, n = A.articles(s, d), F.col("id")
+    crawled = rows.select(
+        F.md5("content").alias("id"), "url", F.concat(F.lit("T "), "source").alias("title"), F.expr("repeat('x y ', cast(id % 200 + 1 as int))").alias("content"), F.lit("2024-01-01T20:00:00+00:00").alias("published_at"),
+        F.lit("").alias("crawled_at"), "source", F.lit("d").alias("source_domain"), F.lit("rss").alias("source_type"), F.lit("the-thao").alias("category_raw"), F.lit("").alias("category_normalized"),
+        F.col("source").alias("author"), F.lit("vi").alias("language"), F.array(F.lit(" k1,"), F.lit("K1"), F.lit("2024")).alias("keywords"), F.array().cast(E.ENTITIES).alias("entities"), n.alias("crawl"),
+    )
+    ready = cleaning.daily_run(crawled, ["crawl"], cleaning.gazetteer_tagger({"x y": "LOC"}))
+    return ready.select(
+        "id", "content_length", "has_full_content", "category_normalized", "author", "publish_date", "publish_hour", "word_count", "is_canonical", "dup_count",
+        _joined(F.col("keywords")).alias("keywords"), _joined(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))).alias("entities"),
+    )
+
+
 # Extraction
 
 
@@ -464,39 +648,48 @@ def agg25_storage_totals(s: SparkSession, d: str) -> DataFrame:
 # Streaming
 
 
-def _event_stream(s: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream of one file."""
-    raw = s.readStream.schema(A.table(s, d, "events").schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
-    return raw.select(
-        F.col("event_id").alias("article_id"), F.get_json_object("props", "$.k").alias("keyword"), F.col("ts").alias("event_time"), F.to_date("ts").alias("publish_date"),
-        F.hour("ts").alias("publish_hour"), F.col("event_type").alias("source"), (F.col("user_id") % 4).cast("string").alias("category"),
-    )
-
-
-def _shared(s: SparkSession) -> str:
-    """A folder of its own that driver and executors share."""
-    base = s.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}" if base else "file://" + tempfile.mkdtemp(prefix="heronlake-stream-")
+def _event_stream(s: SparkSession, d: str, base: str, parts: int = 3) -> DataFrame:
+    """The events table as a stream of several files, one to a micro-batch."""
+    rows = A.keyword_events(s, d)
+    rows.repartition(parts, "article_id").write.parquet(f"{base}/events")
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
 
 
 @query
 def str1_stream_rollup(s: SparkSession, d: str) -> DataFrame:
-    base = _shared(s)
-    stream.maintain_rollup(_event_stream(s, d), rollups.HOURLY, f"{base}/rollup", f"{base}/state").awaitTermination()
+    base = _shared(s, "stream")
+    stream.maintain_rollup(_event_stream(s, d, base), rollups.HOURLY, f"{base}/rollup", f"{base}/state").awaitTermination()
     return stream.read_rollup(s, f"{base}/rollup", rollups.HOURLY)
 
 
+@query
+def str1_compacted_rollup(s: SparkSession, d: str) -> DataFrame:
+    base = _shared(s, "stream")
+    stream.maintain_rollup(_event_stream(s, d, base), rollups.HOURLY, f"{base}/rollup", f"{base}/state").awaitTermination()
+    stream.compact(s, f"{base}/rollup", f"{base}/compact", rollups.HOURLY)
+    return stream.read_rollup(s, f"{base}/compact", rollups.HOURLY)
+
+
 @query
 def str2_buckets(s: SparkSession, d: str) -> DataFrame:
     return stream.buckets(A.keyword_events(s, d))
 
 
+@query
+def str2_streamed_buckets(s: SparkSession, d: str) -> DataFrame:
+    base = _shared(s, "stream")
+    # Every event is in time, whatever file it comes in; a watermark behind all of them lets the last batch emit.
+    counted = stream.buckets(_event_stream(s, d, base), lateness="3650 days")
+    counted.writeStream.outputMode("complete").format("memory").queryName(name := f"buckets_{uuid.uuid4().hex}").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return s.table(name)
+
+
 @query
 def str3_append_new(s: SparkSession, d: str) -> DataFrame:
-    base = _shared(s)
-    events = _event_stream(s, d).select("keyword", "category")
-    stream.append_new(events.select(F.concat_ws("/", "keyword", "category").alias("key")), "key", f"{base}/seen", f"{base}/state").awaitTermination()
-    return s.read.parquet(f"{base}/seen").select("key")
+    base = _shared(s, "stream")
+    events = _event_stream(s, d, base).select(F.concat_ws("/", "keyword", "category").alias("key"), "article_id")
+    stream.append_new(events, "key", ["article_id"], f"{base}/store", f"{base}/state").awaitTermination()
+    return stream.read_appended(s, f"{base}/store").select("key")
 
 
 @query

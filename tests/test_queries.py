@@ -1,7 +1,10 @@
+import re
+
 import pytest
 
 from heronlake.plans.oracle import SQL
 from heronlake.plans.queries import QUERIES
+from heronlake.sources.html_article import extract
 from tests.compare import SMALL, connect, sides
 
 
@@ -16,9 +19,44 @@ def test_query_equals_its_sql(spark, con, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_query_without_sql_runs(spark, name):
-    assert QUERIES[name](spark, SMALL).count() >= 0
+def test_extracted_articles_equal_the_parser_of_one_page(spark):
+    found = {r["page_id"]: r for r in QUERIES["fn26_extract_articles"](spark, SMALL).collect()}
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    assert len(found) == len(pages)
+    for page in pages:
+        one, row = extract(page["html"], page["url"]), found[page["page_id"]]
+        assert row["title"] == one.get("title") and (row["content_length"] > 0) == bool(one.get("content", "").strip())
+
+
+def test_recognised_entities_equal_a_plain_search(spark):
+    """Every listed name that a text holds as words, in the order of title and content, each once."""
+    names = {"The": "PER", "der": "LOC", "la": "LOC", "de la": "ORG"}
+    done = {r["doc_id"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    found = {r["id"]: r["entities"] for r in QUERIES["ner_recognise"](spark, SMALL).collect()}
+    docs = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r["doc_id"] not in done]
+    assert len(found) == len(docs)
+    for doc in docs:
+        expected: dict = {}
+        for text in (doc["text"].split("\n")[0], doc["text"]):
+            words = [w.strip(".,;:!?()\"'") for w in text.split()]
+            skip = -1
+            for i, w in enumerate(words):
+                if i == skip:
+                    continue
+                pair = " ".join(words[i : i + 2])
+                name = pair if pair in names else w if w in names else None
+                if name:
+                    skip = i + 1 if name == pair else skip
+                    expected.setdefault((name.lower(), names[name]), f"{name}/{names[name]}")
+        assert found[doc["doc_id"]] == "|".join(expected.values()), doc["doc_id"]
+
+
+def test_highlights_mark_the_words_of_the_query(spark):
+    rows = QUERIES["sch4_highlight"](spark, SMALL).collect()
+    assert rows
+    for r in rows:
+        marked = re.findall("<mark>(.*?)</mark>", r["highlight"])
+        assert marked and {m.lower() for m in marked} <= {"idiot", "clown"} and len(re.sub("</?mark>", "", r["highlight"])) <= 150
 
 
 def test_entry(spark):
