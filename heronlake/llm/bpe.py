@@ -1,19 +1,19 @@
 """BPE encoding and decoding by tree concatenation.
 
-A text longer than a leaf is encoded in halves, down to leaves; the halves of every level are then concatenated, and
-around each join a window is encoded anew. The window grows until its first and last part are exactly what the left
-and the right half hold there; only then is it spliced in. Two levels use this:
+A text longer than a leaf is cut in halves, down to leaves, which are encoded in one batch. The halves of every level are
+then concatenated: around each join a window is encoded anew, as a whole, and it grows until its first and last part are
+exactly what the left and the right half hold there; only then is it spliced in. Two levels use this:
 
 * A text is a row of chunks between ASCII white space, and a chunk's ids don't depend on its neighbours. A join may
-  cut a chunk; the window grows chunk by chunk.
-* A chunk longer than `long_chunk` is unsplit text. Its leaves are encoded by the library in one parallel batch, and
-  windows grow token by token. A window is right once it agrees with the left half in a token that starts where a
-  word or a letter run may start, and with the right half in a whole token behind the join: a row of BPE tokens is
-  the encoding of its word exactly if every two neighbours are, and the splice leaves no pair that one of the three
-  encodings didn't hold. Without agreement the window grows to the whole chunk, so the result is exact in any case.
+  cut a chunk. The window grows chunk by chunk, and both of its outer chunks must agree.
+* A chunk longer than `long_chunk` has no such places. There, windows grow token by token. A window is right once it
+  agrees with the left half in a token that starts where a word or a letter run may start, and with the right half in
+  a whole token behind the join: a row of BPE tokens is the encoding of its word exactly if every two neighbours are,
+  and the splice leaves no pair that one of the three encodings didn't hold.
 
-Short chunks are looked up in a memo of bounded size that the worker process keeps; what isn't in it, the library
-encodes. Truncation and padding of the tokenizer file are switched off.
+Without agreement the window grows to the whole text or chunk, so the result is exact in any case. Texts of up to a leaf
+have nothing to concatenate. A memo of bounded size, which the worker process keeps, holds chunks that leaves have met;
+what isn't in it, the library encodes, and windows always go to the library. Truncation and padding of the tokenizer file are switched off.
 
 Defined cases: null counts as empty and has no ids; texts are encoded whole; rows may repeat; further columns are
 kept, and columns that this adds replace columns of the same name; an empty table gives an empty result.
@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO = 1_200_000
-LEAF = 8192
+from heronlake.llm.support import held_by_worker
+
+MEMO = 1_600_000
+LEAF = 4096
 LONG_CHUNK = 512
+#: Marks that make one token row of their own behind a word; quotation marks may be part of a contraction.
+MARKS = ".,;:!?$%*#)("
+#: White space on whose two sides the library encodes independently.
+BREAKS = " \t\n\r\v\f"
+CHUNK = re.compile(r"[^ \t\n\r\v\f]+")
 #: U+001C to U+001F are white space to Python but not to the library.
 ODD = re.compile("[\x1c-\x1f]")
 #: White space beyond U+0020 and U+0009 to U+000D.
@@ -65,7 +73,7 @@ class ChunkEncoder:
         added = self.tokenizer.get_added_tokens_decoder()
         #: Ids of added tokens by their text; the library cuts these out before anything else.
         self.added = {t.content: i for i, t in added.items()}
-        self.simple = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        self.simple = not any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(c.isspace() for c in t.content) for t in added.values())
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
 
     def chunks(self, text: str) -> list[str]:
@@ -101,15 +109,35 @@ class ChunkEncoder:
         new = set().union(*lists).difference(self.memo)
         if longest is not None:
             new = {c for c in new if len(c) <= longest}
-        if len(self.memo) + len(new) > self.most:
-            self.memo.clear()
-            new = {c for c in set().union(*lists) if longest is None or len(c) <= longest}
+        if len(self.memo) + 2 * len(new) > self.most:
+            # Frequent chunks come early: the first half stays.
+            self.memo = dict(islice(self.memo.items(), self.most // 2))
+            new = {c for c in set().union(*lists).difference(self.memo) if longest is None or len(c) <= longest}
+        # A word with marks behind it has the ids of both; many chunks differ in the marks only.
+        split = {c: pieces for c in new if (pieces := self.pieces(c))}
+        new -= split.keys()
+        new |= set().union(*split.values()).difference(self.memo)
         plain = [c for c in new if self.gluable(c)] if self.glue_id is not None else []
         for at in range(0, len(plain), 4096):
             self.memo.update(zip(plain[at : at + 4096], self.glued(plain[at : at + 4096]), strict=True))
         rest = [c for c in new if c not in self.memo]
         for at in range(0, len(rest), 4096):
             self.memo.update(zip(rest[at : at + 4096], self.batch(rest[at : at + 4096]), strict=True))
+        memo = self.memo
+        memo.update((c, b"".join([memo[x] for x in pieces])) for c, pieces in split.items())
+
+    def pieces(self, chunk: str) -> tuple[str, ...] | None:
+        """Parts that the library encodes independently: a line end, a word of letters, marks behind it; None for one part.
+
+        Only letters of old scripts count, on which all versions of Unicode agree.
+        """
+        start = chunk[:1] if self.lead and chunk[:1] == "\n" and len(chunk) > 1 and not chunk[1].isspace() else ""
+        rest = chunk[1:] if start else chunk
+        word = rest.rstrip(MARKS)
+        letters = word[1:] if self.lead and word[:1] == " " else word
+        if len(word) < len(rest) and letters.isalpha() and max(letters) < "\u0530":
+            return (start, word, rest[len(word) :]) if start else (word, rest[len(word) :])
+        return (start, rest) if start else None
 
     def parts(self, chunks: list[str]) -> list[bytes]:
         try:
@@ -119,15 +147,9 @@ class ChunkEncoder:
             return list(map(self.memo.__getitem__, chunks))
 
 
-_encoders: dict[tuple, ChunkEncoder] = {}
-
-
 def encoder(path: str, lead: bool = False) -> ChunkEncoder:
-    """One encoder and memo for each worker process."""
-    key = (path, lead)
-    if key not in _encoders:
-        _encoders[key] = ChunkEncoder(path, lead)
-    return _encoders[key]
+    """An encoder and memo that the worker process keeps."""
+    return held_by_worker(("bpe", path, lead), lambda: ChunkEncoder(path, lead))
 
 
 def _may_start(text: str, at: int) -> bool:
@@ -138,7 +160,7 @@ def _may_start(text: str, at: int) -> bool:
 
 
 class Tokens:
-    """Ids with their character offsets in a chunk."""
+    """Ids with their character offsets in a text."""
 
     def __init__(self, ids: list[int], spans: list[tuple[int, int]]):
         self.ids, self.spans = ids, spans
@@ -152,41 +174,77 @@ class Tokens:
 class TreeEncoder:
     def __init__(self, chunks: ChunkEncoder, leaf: int = LEAF, long_chunk: int = LONG_CHUNK, window: int = 8):
         self.of, self.leaf, self.long, self.window = chunks, leaf, long_chunk, window
+        self.is_long = re.compile(r"[^ \t\n\r\v\f]{%d,}" % (long_chunk + 1))
         self.joins = 0
 
-    # Chunks of a text
+    # A text
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text, as little-endian unsigned 32-bit integers."""
-        text = text or ""
-        if len(text) > self.leaf and max(map(len, self.of.find(text)), default=0) <= self.long:
-            return b"".join(self._tree(text)[1])
-        return b"".join(self._leaf(text)[1])
-
-    def _leaf(self, text: str) -> tuple[list[str], list[bytes]]:
-        chunks = self.of.chunks(text)
-        if len(text) <= self.long or max(map(len, chunks), default=0) <= self.long:
-            return chunks, self.of.parts(chunks)
-        return chunks, [self._unsplit(c) if len(c) > self.long else self.of.parts([c])[0] for c in chunks]
-
-    def _tree(self, text: str) -> tuple[list[str], list[bytes]]:
-        if len(text) <= self.leaf:
-            return self._leaf(text)
-        half = len(text) // 2
-        left, right = self._tree(text[:half]), self._tree(text[half:])
-        if not left[0] or not right[0]:
-            return left if left[0] else right
-        glue = "" if text[half - 1] not in " \t\n\r\v\f" and text[half] not in " \t\n\r\v\f" else " "
-        self.joins += 1
-        reach = 1
-        while True:
-            a, b = min(reach, len(left[0])), min(reach, len(right[0]))
-            chunks, parts = self._leaf(" ".join(left[0][-a:]) + glue + " ".join(right[0][:b]))
-            left_agrees = a == len(left[0]) or (chunks[0] == left[0][-a] and parts[0] == left[1][-a])
-            right_agrees = b == len(right[0]) or (chunks[-1] == right[0][b - 1] and parts[-1] == right[1][b - 1])
-            if left_agrees and right_agrees:
-                return left[0][:-a] + chunks + right[0][b:], left[1][:-a] + parts + right[1][b:]
-            reach *= 2
+        out, at, text = [], 0, text or ""
+        for found in self.is_long.finditer(text):
+            out += [self._plain(text[at : found.start()]), self._unsplit(found[0])]
+            at = found.end()
+        return b"".join([*out, self._plain(text[at:])])
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without long chunks."""
+        if len(text) <= self.leaf or not self.of.simple:
+            return b"".join(self.of.parts(self.of.chunks(text)))
+        cuts = [0, len(text)]
+        while max(b - a for a, b in zip(cuts, cuts[1:])) > self.leaf:
+            cuts = sorted({c for a, b in zip(cuts, cuts[1:]) for c in (a, (a + b) // 2, b)})
+        leaves = [self.of.chunks(text[a:b]) for a, b in zip(cuts, cuts[1:])]
+        # The library encodes what is new in all halves of all levels in one batch.
+        self.of.learn(leaves)
+        sides = [(chunks, self.of.parts(chunks)) for chunks in leaves]
+        while len(sides) > 1:
+            glues = ["" if text[at - 1] not in BREAKS and text[at] not in BREAKS else " " for at in cuts[1:-1:2]]
+            sides = self._concatenate(list(zip(sides[::2], glues, sides[1::2], strict=True)))
+            cuts = cuts[::2]
+        return b"".join(sides[0][1])
+
+    def _concatenate(self, pairs: list[tuple]) -> list[tuple[list[str], list[bytes]]]:
+        """(chunks, ids) of each pair (left half, what stands between, right half) of a level.
+
+        A window of some chunks on either side of the join is encoded anew, by the library and not from the memo. It grows
+        until its first chunk is one of the left half and its last chunk one of the right half, each with just the ids that
+        the half holds for it. The windows of a level go to the library in one batch.
+        """
+        self.joins += len(pairs)
+        out: list = [None] * len(pairs)
+        waiting, reach = [], 1
+        for k, (left, _, right) in enumerate(pairs):
+            if left[0] and right[0]:
+                waiting.append(k)
+            else:
+                out[k] = left if left[0] else right
+        while waiting:
+            texts = [" ".join(pairs[k][0][0][-reach:]) + pairs[k][1] + " ".join(pairs[k][2][0][:reach]) for k in waiting]
+            again = []
+            for k, (chunks, parts) in zip(waiting, self._windows(texts), strict=True):
+                (left, left_ids), _, (right, right_ids) = pairs[k]
+                a, b = min(reach, len(left)), min(reach, len(right))
+                left_agrees = a == len(left) or (chunks[0], parts[0]) == (left[-a], left_ids[-a])
+                right_agrees = b == len(right) or (chunks[-1], parts[-1]) == (right[b - 1], right_ids[b - 1])
+                # With one chunk on a side, the outer chunk is the one that the join may have cut.
+                if left_agrees and right_agrees and (a > 1 or a == len(left) or pairs[k][1]) and (b > 1 or b == len(right) or pairs[k][1]):
+                    out[k] = (left[:-a] + chunks + right[b:], left_ids[:-a] + parts + right_ids[b:])
+                else:
+                    again.append(k)
+            waiting, reach = again, 2 * reach
+        return out
+
+    def _windows(self, texts: list[str]) -> list[tuple[list[str], list[bytes]]]:
+        """(chunks, ids of each) as the library encodes these texts as a whole."""
+        out = []
+        for text, found in zip(texts, self.of.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            places = [m.span() for m in CHUNK.finditer(text)]
+            ids = np.array(found.ids, dtype="<u4")
+            starts = np.array([s for s, _ in found.offsets], dtype=np.int64)
+            cuts = [0, *np.searchsorted(starts, [s for s, _ in places[1:]]).tolist(), len(ids)]
+            out.append(([text[s:e] for s, e in places], [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]))
+        return out
 
     # Tokens of an unsplit chunk
 
@@ -260,7 +318,8 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", lead: bool = Fa
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
-                of.learn([of.chunks(t) for t in texts], tree.long)
+                # Long texts bring what is new in their halves themselves.
+                of.learn([of.chunks(t) for t in texts if len(t) <= tree.leaf], tree.long)
                 ids = [tree.encode(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array([back.decode(x) for x in ids], pa.string())], names=[*kept, "ids", "decoded"])
 

@@ -12,23 +12,56 @@ from pyspark.sql import functions as F
 WHITE = r"[\x20\x09-\x0D]+"
 
 _own_folder: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
+_held: tuple = (None, None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local master gets a folder of its own; on a cluster no folder of this machine would do.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="heronlake-")
         spark.sparkContext.setCheckpointDir(_own_folder[app])
     return _own_folder[app]
 
 
+def held_by_worker(key, make):
+    """What `make` gives, kept by the worker process from task to task until it makes something else.
+
+    One such thing at a time: a worker that serves several operators doesn't hold the memos of all.
+    """
+    global _held
+    if _held[0] != key:
+        _held = (None, None)
+        _held = (key, make())
+    return _held[1]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder; two runs never meet in one."""
-    return f"{shared_folder(spark)}/heronlake/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/heronlake/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this application has written to the shared folder so far; gives how many paths there were.
+
+    Results read from there until they are written elsewhere, so call this once they are.
+    """
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -44,6 +45,19 @@ def test_long_unsplit_text_is_joined():
     assert tree.joins > 30
 
 
+def test_long_texts_are_joined_from_halves():
+    """All texts of the table over a leaf: every one goes through the tree, with the library's ids."""
+    texts = [t for t in pq.read_table(f"{SMALL}/documents.parquet", columns=["text"]).column(0).to_pylist() if t and len(t) > bpe.LEAF]
+    of = bpe.ChunkEncoder(WORD)
+    for leaf in (bpe.LEAF, 300):
+        tree = bpe.TreeEncoder(of, leaf=leaf)
+        for t in texts:
+            before = tree.joins
+            assert np.frombuffer(tree.encode(t), "<u4").tolist() == LIBRARY[WORD].encode(t, add_special_tokens=False).ids
+            assert tree.joins - before >= len(t) / leaf - 1
+    assert len(texts) > 10
+
+
 def test_encode_texts(spark):
     texts = ["Hello wörld <|endoftext|>x", "", None, "x" * 3000, "a b\n" * 4000]
     rows = spark.createDataFrame(list(enumerate(texts)), DOC).withColumn("ids", F.lit("own"))
@@ -78,7 +92,7 @@ def test_shards_are_plain_zstandard_and_checked():
     writer = token_store.ShardWriter(out, 2, frame_bytes=100)
     documents = [np.arange(n) % 60000 for n in (1, 500, 0, 40, 3)]
     for k, d in enumerate(documents):
-        writer.add(k, d)
+        writer.add(k, d.astype("<u2").tobytes())
     writer.close()
     data = out.getvalue()
     plain = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
