@@ -12,7 +12,7 @@ A reader fetches the table and the index from the end of the file, and then unpa
 the documents that it is asked for.
 
 Documents are dealt by ranges of their ids and sorted within a range, so shard by shard they are in ascending order
-of id, nulls first, equal ids by text. Tasks write files under names of their own attempt; the manifest names those
+of id, nulls first, equal ids by token ids. Tasks write files under names of their own attempt; the manifest names those
 that count, so tasks may be repeated and executors lost. Where a shard starts in the whole is a running sum over the
 manifest, which has one row for each shard.
 
@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heronlake.llm.bpe import encoder
+from heronlake.llm.bpe import ChunkEncoder, encoder
 from heronlake.llm.support import file_system, scratch_path, written
 
 FRAME_BYTES = 1 << 18
@@ -46,7 +46,7 @@ INDEX_HEAD = struct.Struct("<4sBxxxQ")
 
 
 class ShardWriter:
-    def __init__(self, out, width: int, frame_bytes: int = FRAME_BYTES, level: int = 3):
+    def __init__(self, out, width: int, frame_bytes: int = FRAME_BYTES, level: int = 1):
         self.out, self.width, self.frame_bytes = out, width, frame_bytes
         self.packer = zstandard.ZstdCompressor(level=level, write_content_size=True)
         self.held: list[bytes] = []
@@ -55,8 +55,8 @@ class ShardWriter:
         self.ids: list[int | None] = []
         self.counts: list[int] = []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        data = ids.astype(f"<u{self.width}").tobytes()
+    def add(self, doc_id: int | None, data: bytes) -> None:
+        """A document with its ids, as little-endian unsigned integers of the shard's width."""
         if self.size and self.size + len(data) > self.frame_bytes:
             self._frame(b"".join(self.held))
         for at in range(0, len(data) - self.frame_bytes + 1, self.frame_bytes):
@@ -65,8 +65,8 @@ class ShardWriter:
         self.held.append(rest)
         self.size += len(rest)
         self.ids.append(doc_id)
-        self.counts.append(len(ids))
-        self.n_tokens += len(ids)
+        self.counts.append(len(data) // self.width)
+        self.n_tokens += self.counts[-1]
 
     def _frame(self, data: bytes) -> None:
         packed = self.packer.compress(data)
@@ -138,32 +138,41 @@ class ShardReader:
 
 def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, id_column: str = "doc_id", text: str = "text", lead: bool = True, shards: int | None = None, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Encode docs into shards under uri; gives the written manifest (shard, path, n_docs, n_tokens)."""
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
+    # Bounds between the shards: ranges of ids with about as many documents each. They only deal; the order is exact.
+    bounds = np.array(rows.approxQuantile("id", [k / shards for k in range(1, shards)], 0.25 / shards) if shards > 1 else [], dtype=np.float64).astype(np.int64)
+    width = 2 if max(ChunkEncoder(tokenizer, lead).tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
+
+    def encode(batches):
+        of, end = encoder(tokenizer, lead), np.array([end_id], dtype="<u4").tobytes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [of.chunks(t) for t in part.column(1).to_pylist()]
+                of.learn(texts)
+                ids = (np.frombuffer(b"".join([*of.parts(chunks), end]), dtype="<u4") for chunks in texts)
+                shard = [0 if i is None else int(np.searchsorted(bounds, i, side="right")) for i in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), part.column(0), pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())], names=["shard", "id", "ids"])
+
+    # Token ids are smaller than texts, so they are what shuffles.
+    coded = rows.mapInArrow(encode, "shard int, id bigint, ids binary")
+    dealt = coded.repartitionById(shards, "shard").sortWithinPartitions("id", "ids").select("id", "ids")
 
     def write(batches):
         from pyspark import TaskContext
 
         shard, writer, path, out = TaskContext.get().partitionId(), None, "", None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if writer is None:
-                of = encoder(tokenizer, lead)
-                width = 2 if max(of.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
-                fs, root = file_system(uri)
-                fs.create_dir(root, recursive=True)
-                path = f"{root}/tokens-{shard:06d}-{uuid.uuid4().hex}.zst"
-                out = fs.open_output_stream(path, compression=None)
-                writer = ShardWriter(out, width, frame_bytes)
-            ids = batch.column(0).to_pylist()
-            for at in range(0, batch.num_rows, 256):
-                texts = [of.chunks(t) for t in batch.column(1).slice(at, 256).to_pylist()]
-                of.learn(texts)
-                for doc_id, chunks in zip(ids[at : at + 256], texts, strict=True):
-                    data = b"".join(of.parts(chunks)) + struct.pack("<I", end_id)
-                    writer.add(doc_id, np.frombuffer(data, dtype="<u4"))
+            for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if writer is None:
+                    fs, root = file_system(uri)
+                    fs.create_dir(root, recursive=True)
+                    path = f"{root}/tokens-{shard:06d}-{uuid.uuid4().hex}.zst"
+                    out = fs.open_output_stream(path, compression=None)
+                    writer = ShardWriter(out, width, frame_bytes)
+                writer.add(doc_id, data)
         if writer is not None:
             writer.close()
             out.close()
