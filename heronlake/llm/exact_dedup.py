@@ -1,10 +1,13 @@
 """Exact deduplication by two passes over a Bloom filter of positions that are hit more than once.
 
-Pass 1 hashes every row to a few positions of a bit space and counts the hits. The positions hit at least twice
-are packed into bitmaps. A key that occurs twice hits all its positions twice, so in pass 2 a row with any position
-outside the bitmaps is certainly unique and passes straight through. Only the others shuffle by their full SHA-256,
-which settles them exactly. The bitmaps are the one thing that is broadcast: `max_bits` bounds them (64 MB as set);
-beyond that bound the filter only gets denser and more rows shuffle, the result stays exact.
+Pass 1 hashes every row to a few positions of a bit space and counts the hits; counts are summed within tasks first, so
+a hot text shuffles one number a task. The positions hit at least twice are packed into bitmaps. A key that occurs twice
+hits all its positions twice, so in pass 2 a row with any position outside the bitmaps is certainly unique and passes
+straight through. Only the others shuffle by their full SHA-256, which settles them exactly.
+
+The bitmaps are the one thing that is broadcast, and `max_bits` bounds them (64 MB as set). Where more bits are needed,
+rows are dealt to rounds by a hash of their digest; each round has a filter of its own for its share of the rows, so the
+filter stays as selective at any size.
 
 Everything is DataFrame functions.
 
@@ -18,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from heronlake.llm.support import written
+
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 #: Bits of one row of the broadcast bitmaps, as bitmap_construct_agg makes them.
 BUCKET = 32768
@@ -50,36 +55,60 @@ def _bit(bitmap: str, at: str) -> Column:
     return F.coalesce(F.expr(f"(shiftright({byte}, cast({at} % 8 as int)) & 1) = 1"), F.lit(False))
 
 
-def flag_suspects(rows: DataFrame, digest: str, bits_per_row: int = 16, max_bits: int = 1 << 29, probes: int = 2) -> DataFrame:
-    """rows with __maybe: false only where no other row has the digest. Nothing but positions shuffles."""
-    columns = rows.columns
-    bits = filter_bits(rows.count(), bits_per_row, max_bits)
-    bitmaps = repeated_bitmaps(rows, digest, bits, probes)
-    tested = rows
-    for k, position in enumerate(_positions(digest, bits, probes)):
-        probe = bitmaps.select(F.col("bucket").alias(f"__b{k}"), F.col("bitmap").alias(f"__m{k}"))
-        # max_bits / 8 bytes at most, whatever the input
-        tested = tested.withColumn(f"__p{k}", position).join(F.broadcast(probe), F.expr(f"__p{k} div {BUCKET} = __b{k}"), "left")
-    maybe = F.lit(True)
-    for k in range(probes):
-        maybe = maybe & _bit(f"__m{k}", f"__p{k}")
-    return tested.select(*columns, maybe.alias("__maybe"))
-
-
-def mark_repeats(rows: DataFrame, digest: str = "text_sha256", id_column: str = "doc_id", **options) -> DataFrame:
-    """rows with keep_id, group_size and kept; rows with equal digests form a group and its largest id stays."""
+class RepeatFilter:
+    """Tells rows whose digest certainly occurs once among `counted`, a table with the digest that is cheap to read."""
+
+    def __init__(self, counted: DataFrame, digest: str, bits_per_row: int = 16, max_bits: int = 1 << 29, probes: int = 2):
+        self.digest, self.probes = digest, probes
+        n_rows = counted.count()
+        self.rounds = max(1, -(-n_rows * bits_per_row // max_bits))
+        self.bits = filter_bits(-(-n_rows // self.rounds), bits_per_row, max_bits)
+        self.bitmaps = [written(repeated_bitmaps(part, digest, self.bits, probes), "repeat-bits") for part in self._shares(counted)]
+
+    def _shares(self, rows: DataFrame) -> list[DataFrame]:
+        share = F.pmod(F.xxhash64(F.col(self.digest), F.lit(-1)), F.lit(self.rounds))
+        return [rows if self.rounds == 1 else rows.filter(share == r) for r in range(self.rounds)]
+
+    def flag(self, rows: DataFrame) -> DataFrame:
+        """rows with __maybe: false only where no other row has the digest. Nothing shuffles."""
+        parts = [self._flag(part, bitmaps) for part, bitmaps in zip(self._shares(rows), self.bitmaps, strict=True)]
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        return every
+
+    def _flag(self, rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+        columns, tested, maybe = rows.columns, rows, F.lit(True)
+        for k, position in enumerate(_positions(self.digest, self.bits, self.probes)):
+            probe = bitmaps.select(F.col("bucket").alias(f"__b{k}"), F.col("bitmap").alias(f"__m{k}"))
+            # max_bits / 8 bytes at most, whatever the input
+            tested = tested.withColumn(f"__p{k}", position).join(F.broadcast(probe), F.expr(f"__p{k} div {BUCKET} = __b{k}"), "left")
+            maybe = maybe & _bit(f"__m{k}", f"__p{k}")
+        return tested.select(*columns, maybe.alias("__maybe"))
+
+
+def mark_repeats(rows: DataFrame, digest: str = "text_sha256", id_column: str = "doc_id", prints: DataFrame | None = None, **options) -> DataFrame:
+    """rows with keep_id, group_size and kept; rows with equal digests form a group and its largest id stays.
+
+    prints: a written table of the rows' digests and ids, from which everything is decided; rows are read to mark them.
+    """
     rows = rows.drop("keep_id", "group_size", "kept")
     columns = rows.columns
-    tested = flag_suspects(rows, digest, **options)
-    alone = tested.filter("not __maybe").select(*columns, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    suspects = tested.filter("__maybe").select(*columns)
+    prints = written(rows.select(digest, id_column), "repeat-prints") if prints is None else prints
+    known = RepeatFilter(prints, digest, **options)
     groups = (
-        suspects.groupBy(digest, id_column).agg(F.count("*").alias("__m"))
+        known.flag(prints).filter("__maybe").groupBy(digest, id_column).agg(F.count("*").alias("__m"))
         .groupBy(digest).agg(F.max(id_column).alias("keep_id"), F.sum("__m").alias("group_size"), F.max_by("__m", id_column).alias("__same"))
     )
     # The key is rewritten so that both sides are dealt anew: only then can Spark split a hot group among tasks.
-    groups = groups.select(F.concat(F.col(digest), F.lit("")).alias("__key"), "keep_id", "group_size", F.coalesce("__same", "group_size").alias("__same"))
+    groups = groups.select(F.concat(digest, F.lit("")).alias("__key"), "keep_id", "group_size", F.coalesce("__same", "group_size").alias("__same"))
+    groups = written(groups, "repeat-groups")
+    tested = known.flag(rows)
+    alone = tested.filter("not __maybe").select(*columns, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
+    suspects = tested.filter("__maybe").select(*columns)
     settled = suspects.join(groups, F.col(digest) == F.col("__key")).withColumn("kept", F.col(id_column).eqNullSafe(F.col("keep_id")))
+    if groups.filter("__same > 1").isEmpty():
+        return alone.unionByName(settled.select(*columns, "keep_id", "group_size", "kept"))
     plain = settled.filter(~F.col("kept") | (F.col("__same") == 1)).select(*columns, "keep_id", "group_size", "kept")
     order = Window.partitionBy(digest, id_column).orderBy(F.xxhash64(*columns))
     tied = settled.filter(F.col("kept") & (F.col("__same") > 1)).withColumn("kept", F.row_number().over(order) == 1).select(*columns, "keep_id", "group_size", "kept")
@@ -96,5 +125,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     hashed = docs.withColumn("__sha", text_digest(text))
     clash = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
     hashed = hashed.withColumnsRenamed(clash)
-    kept = mark_repeats(hashed, "__sha", clash.get(id_column, id_column), **options).filter("kept").drop("keep_id", "group_size", "kept")
+    own_id = clash.get(id_column, id_column)
+    # Narrow rows decide, so texts are read to hash them, and then once for each way that they go.
+    prints = written(hashed.select("__sha", own_id), "repeat-prints")
+    kept = mark_repeats(hashed, "__sha", own_id, prints, **options).filter("kept").drop("keep_id", "group_size", "kept")
     return kept.withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)

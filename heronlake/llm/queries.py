@@ -46,7 +46,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     prints = written(docs.select("doc_id", text_digest().alias("text_sha256")), "text-digests")
-    return mark_repeats(prints).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return mark_repeats(prints, prints=prints).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
