@@ -4,9 +4,9 @@ Lexicon: over a bounded sample of labelled training rows, words and word beginni
 often than in others. They stand in a trie; an entry is a word, or a stem that several words share.
 
 Misspellings: a Levenshtein automaton of a text's word (bit sets of the positions that are reachable with 0 or 1
-edits) is intersected with the trie, so one walk finds every entry within the edits that its length allows. A word
-enters the walk only if it shares its first or second half with an entry; one edit leaves one half intact. Results
-are memoised by word.
+edits) is intersected with the trie, so one walk finds every entry within one edit; entries of under five letters and
+weak ones are matched as they are spelled only. A word enters the walk only if it shares its first or second half with an
+entry; one edit leaves one half intact. Results are memoised by word.
 
 Context: a hit between quotation marks, or within a window behind a word of reporting, counts less; an unquoted hit
 near another counts more. The counts feed a logistic regression that is fitted on the same sample.
@@ -14,7 +14,7 @@ near another counts more. The counts feed a logistic regression that is fitted o
 What is learned comes from rows that `train` selects, and only from text and label. Scoring reads whole texts.
 
 Defined cases: null and empty texts score like texts without a hit; rows may repeat (a label that repeats counts
-once, as toxic if any says so); without toxic or without other training rows, every score is 0; a null id is never a
+once, as toxic if any says so; of several texts with one id the lowest in code points trains); without toxic or without other training rows, every score is 0; a null id is never a
 training row; further columns are kept, and score replaces a column of the same name; an empty table gives an empty
 result.
 """
@@ -25,6 +25,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heronlake.llm.support import written
+from heronlake.llm.support import held_by_worker, written
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most; those whose ids hash lowest.
 MAX_TRAIN = 24_000
-#: Entries of the lexicon, at most; those with the most toxic rows.
-MAX_ENTRIES = 5_000
 WORD = re.compile(r"[^\W_]+")
 STEM = range(4, 10)
 #: Entries of less weight are matched as they are spelled only.
 STRONG = 3.0
-MEMO = 1_000_000
+MEMO = 600_000
 WINDOW = 8
 N_FEATURES = 5
 # Quotation marks, and words that report what somebody said.
@@ -145,7 +144,8 @@ class Scorer:
         words = WORD.findall(text)
         memo = self.memo
         if len(memo) > MEMO:
-            memo.clear()
+            # Frequent words come early: the first half stays.
+            memo = self.memo = dict(islice(memo.items(), MEMO // 2))
         hits = {}
         for w in set(words):
             try:
@@ -211,13 +211,16 @@ def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: in
                 s[0] += toxic
                 s[1] += other
                 s[2] += toxic > 0
+    longer_by: dict[str, list[str]] = {}
+    for stem in stems:
+        longer_by.setdefault(stem[:-1], []).append(stem)
     chosen: dict[str, tuple[bool, float]] = {}
     for stem, (toxic, other, words) in sorted(stems.items(), key=lambda x: (len(x[0]), x[0])):
         if words < 4 or toxic < 2 * least or weight(toxic, other) < math.log(stem_lift) or any(stem[:n] in chosen for n in STEM if n < len(stem)):
             continue
         # Go on to the longest beginning that still covers nearly all of it.
         while len(stem) < STEM[-1]:
-            longer = [s for s in stems if len(s) == len(stem) + 1 and s.startswith(stem) and stems[s][0] >= 0.98 * toxic]
+            longer = [s for s in longer_by.get(stem, ()) if stems[s][0] >= 0.98 * toxic]
             if not longer:
                 break
             stem = longer[0]
@@ -226,9 +229,6 @@ def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: in
     for word, (toxic, other) in counts.items():
         if toxic >= least and weight(toxic, other) >= math.log(lift) and not any(word[:n] in chosen and chosen[word[:n]][0] for n in STEM if n <= len(word)):
             chosen[word] = (False, weight(toxic, other))
-    if len(chosen) > MAX_ENTRIES:
-        rows = {t: stems[t][0] if s else counts[t][0] for t, (s, _) in chosen.items()}
-        chosen = {t: chosen[t] for t in sorted(chosen, key=lambda t: (-rows[t], t))[:MAX_ENTRIES]}
     return chosen
 
 
@@ -268,9 +268,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     known = known.groupBy(F.col(id_column).alias("__id")).agg(F.max(label).cast("int").alias("y"))
     sample = written(known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows), "toxic-sample")
     # The sample has max_rows rows of two numbers at most.
-    rows = docs.join(F.broadcast(sample), F.col(id_column) == F.col("__id")).select("__id", F.col("y"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # Rows that repeat an id with another text are all read.
-    rows = written(rows, "toxic-train")
+    texts = docs.select(F.col(id_column).alias("__doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(sample), F.col("__doc") == F.col("__id")).select("__id", "y", "text")
+    # One text for each id, so what is collected below is bounded by max_rows, however often ids repeat.
+    rows = written(rows.groupBy("__id", "y").agg(F.min("text").alias("text")), "toxic-train")
 
     def count(batches):
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -310,22 +311,16 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     return Scorer(lexicon, fit_logistic(*with_misspelled(x, y)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def score_texts(docs: DataFrame, scorer: Scorer, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
     """docs (or their columns in keep) with a score from 0 to 1."""
     kept = [c for c in (docs.columns if keep is None else keep) if c != out]
     entries, weights = scorer.lexicon.entries, scorer.weights
-    key = repr((len(entries), hash(tuple(sorted(entries))), weights))
+    key = ("toxicity", repr((len(entries), hash(tuple(sorted(entries))), weights)))
     inputs = docs.select(*kept, F.col(text).alias("__text"))
 
     def run(batches):
-        # A worker keeps the scorer and what it knows about words from task to task.
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(Lexicon(entries), weights)
-        own = _scorers[key]
+        # With what it knows about words.
+        own = held_by_worker(key, lambda: Scorer(Lexicon(entries), weights))
         for batch in batches:
             scores = [own.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*kept, out])
