@@ -35,7 +35,8 @@ def _unescape_twice(x: pd.Series) -> pd.Series:
 
 
 def clean_content(x: Column) -> Column:
-    """Entities decoded twice, boilerplate removed, white space collapsed. Only texts with & go through Python."""
+    """Entities decoded twice, boilerplate removed, white space collapsed. Python decodes texts with & only; the others cross
+    to it as nulls, in Arrow batches."""
     t = F.coalesce(x, F.lit(""))
     t = F.when(t.contains("&"), _unescape_twice(F.when(t.contains("&"), t))).otherwise(t)
     for pattern in BOILERPLATE:

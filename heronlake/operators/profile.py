@@ -12,8 +12,9 @@ from heronlake.functions.entities import normalize_text
 def shares(rows: DataFrame, column: str) -> DataFrame:
     """(value, n, share in percent)."""
     counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    # One row for each value.
-    return counts.withColumn("share", 100 * F.col("n") / F.sum("n").over(Window.partitionBy()))
+    # The total is one row, so values may be many.
+    total = counts.agg(F.sum("n").alias("__all"))
+    return counts.crossJoin(F.broadcast(total)).select("value", "n", (100 * F.col("n") / F.col("__all")).alias("share"))
 
 
 def length_profile(rows: DataFrame, length: str = "content_length") -> DataFrame:

@@ -65,11 +65,12 @@ def _folder(token: Column, folders: int) -> Column:
 
 
 class SearchIndex:
-    """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, and one row
-    of statistics for each field. A query reads the folders of its tokens and, in them, the row groups of its tokens."""
+    """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, each with its
+    token's document frequency, and one row of statistics for each field. A query reads the folders of its tokens and, in
+    them, the row groups of its tokens."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.postings = spark.read.parquet(f"{path}/postings")
+        self.spark, self.postings = spark, spark.read.parquet(f"{path}/postings")
         options = spark.read.json(f"{path}/options").first()
         self.folded, self.folders = options["folded"], options["folders"]
         # One row for each field.
@@ -79,31 +80,52 @@ class SearchIndex:
     def write(cls, articles: DataFrame, path: str, folded: bool = False, boosts: dict[str, float] | None = None, folders: int = TOKEN_FOLDERS) -> SearchIndex:
         """Index the fields of articles under path, which must not exist, and open the index."""
         spark, fields = articles.sparkSession, tuple(boosts or BOOSTS)
-        rows = postings(articles, fields, folded).withColumn("folder", _folder(F.col("token"), folders))
-        # A frequent token may spread over several files of its folder.
+        postings(articles, fields, folded).write.parquet(f"{path}/counts")
+        rows = spark.read.parquet(f"{path}/counts")
+        df = rows.groupBy(F.col("field").alias("__f"), F.col("token").alias("__t")).agg(F.count("*").alias("df"))
+        # Spark splits a frequent token's side of the join, and it may spread over several files of its folder.
+        rows = rows.join(df, (F.col("field") == F.col("__f")) & (F.col("token") == F.col("__t"))).drop("__f", "__t")
+        rows = rows.withColumn("folder", _folder(F.col("token"), folders))
         rows.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "id").write.partitionBy("folder").parquet(f"{path}/postings")
-        lengths = spark.read.parquet(f"{path}/postings").groupBy("field", "id").agg(F.first("len").alias("len"))
+        lengths = spark.read.parquet(f"{path}/counts").groupBy("field", "id").agg(F.first("len").alias("len"))
         lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("mean")).write.parquet(f"{path}/fields")
         spark.range(1).select(F.lit(folded).alias("folded"), F.lit(folders).alias("folders")).write.json(f"{path}/options")
         return cls(spark, path)
 
-    def query_tokens(self, query: str) -> list[str]:
-        return sorted(set(_query_tokens(self.postings, query, self.folded)))
-
-    def matches(self, wanted: list[str]) -> DataFrame:
-        """The postings of these tokens."""
-        spark = self.postings.sparkSession
-        hashed = spark.createDataFrame([(t,) for t in wanted], "token string").select(_folder(F.col("token"), self.folders).alias("f"))
-        folders = sorted({r["f"] for r in hashed.collect()}) if wanted else []
-        return self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
+    def look_up(self, query: str) -> tuple[list[str], DataFrame]:
+        """(tokens of the query, their postings)."""
+        # A local relation: the analyzer runs while the plan is made, without a job.
+        one = self.spark.sql("SELECT q FROM VALUES (:q) AS t(q)", args={"q": query}).select(F.array_distinct(tokens(F.col("q"), self.folded)).alias("t"))
+        found = one.select("t", F.transform("t", lambda x: _folder(x, self.folders)).alias("f")).first()
+        wanted, folders = found["t"], sorted(set(found["f"]))
+        return wanted, self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
 
     def all_tokens(self, query: str, fields: tuple[str, ...] = ("title", "content")) -> DataFrame:
         """(id) of the articles whose fields together hold every token of the query; none for a query without tokens."""
-        wanted = self.query_tokens(query)
-        held = self.matches(wanted).filter(F.col("field").isin(list(fields))).groupBy("id").agg(F.count_distinct("token").alias("n"))
-        return held.filter(F.col("n") == len(wanted)).select("id")
+        wanted, hits = self.look_up(query)
+        hits = hits.filter(F.col("field").isin(list(fields)))
+        if not 1 <= len(wanted) <= 60:
+            held = hits.groupBy("id").agg(F.count_distinct("token").alias("n"))
+            return held.filter((F.col("n") == len(wanted)) & (F.col("n") > 0)).select("id")
+        # A bit for each token; their union is the least that an aggregate must carry.
+        place = F.array_position(F.array(*map(F.lit, wanted)), F.col("token")).cast("int")
+        bit = F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(len(wanted)))), place)
+        return hits.groupBy("id").agg(F.bit_or(bit).alias("bits")).filter(F.col("bits") == (1 << len(wanted)) - 1).select("id")
 
     def bm25(self, query: str, boosts: dict[str, float] | None = None) -> DataFrame:
+        """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted."""
+        boosts = boosts or BOOSTS
+        _, hits = self.look_up(query)
+        best = []
+        for f, boost in boosts.items():
+            docs, mean = self.statistics.get(f, (0, 1.0))
+            idf = F.log1p((docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+            part = boost * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
+            best.append(F.sum(F.when(F.col("field") == f, part).otherwise(0.0)))
+        return hits.filter(F.col("field").isin(list(boosts))).groupBy("id").agg((F.greatest(*best) if len(best) > 1 else best[0]).alias("score"))
+
+
+def bm25(self, query: str, boosts: dict[str, float] | None = None) -> DataFrame:
         """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted."""
         boosts = boosts or BOOSTS
         hits = self.matches(self.query_tokens(query)).filter(F.col("field").isin(list(boosts)))
@@ -202,11 +224,19 @@ def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20,
     _checked(query, size)
     rows = visible(articles, role)
     scored = bm25(rows, query, folded) if index is None else index.bm25(query)
-    chosen = restrict(rows, **filters).select("id")
-    top = scored.join(chosen, "id").orderBy(F.col("score").desc(), "id").limit(size)
-    # `size` rows.
-    found = rows.join(F.broadcast(top), "id")
-    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), query)).orderBy(F.col("score").desc(), "id")
+    best = (F.col("score").desc(), "id")
+    if role != "admin" or any(v is not None for v in filters.values()):
+        scored = scored.join(restrict(rows, **filters).select("id"), "id")
+    if index is None:
+        found = rows.join(F.broadcast(scored.orderBy(*best).limit(size)), "id")  # `size` rows
+    else:
+        # `size` ids at most: as literals, they reach the scan that fetches their articles.
+        top = {r["id"]: r["score"] for r in scored.orderBy(*best).limit(size).collect()}
+        pairs = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(x).alias("score")) for i, x in top.items())) if top else None
+        chosen = rows.filter(F.col("id").isin(list(top)))
+        score = F.filter(pairs, lambda p: p["id"] == F.col("id"))[0]["score"] if top else F.lit(0.0)
+        found = chosen.withColumn("score", score)
+    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), query)).orderBy(*best)
 
 
 def search_by_entity(articles: DataFrame, text: str, kind: str | None = None, category: str | None = None, role: str = "guest", size: int = 20) -> DataFrame:

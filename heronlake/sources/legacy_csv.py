@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heronlake.functions import vocab as V
-from heronlake.functions.categories import lookup_expression
+from heronlake.functions.categories import with_category
 from heronlake.functions.entities import ENTITIES, is_person_name, split_keywords
 from heronlake.functions.text import clean_content, trimmed
 from heronlake.functions.times import iso, to_utc
@@ -43,9 +43,10 @@ def articles_from_csv(rows: DataFrame, source_type: str, crawled_at: Column | No
     of_url = category_of_url(F.col("url"))
     category = F.when(F.col("cat").isin("", "trang-chu") & ~of_url.isin("", "trang-chu"), of_url).otherwise(F.col("cat"))
     valid = valid.withColumn("category_raw", category).withColumn("source_domain", domain(F.col("url")))
+    valid = with_category(valid, "category_raw", "category_normalized")
     return valid.select(
         stable_id(F.col("url")).alias("id"), "url", "title", "content", iso(F.col("at")).alias("published_at"), iso(crawled_at if crawled_at is not None else F.current_timestamp()).alias("crawled_at"),
-        source_of(F.col("source_domain")).alias("source"), "source_domain", F.lit(source_type).alias("source_type"), "category_raw", lookup_expression(F.col("category_raw")).alias("category_normalized"),
+        source_of(F.col("source_domain")).alias("source"), "source_domain", F.lit(source_type).alias("source_type"), "category_raw", "category_normalized",
         "author", F.when(F.col("lang") == "", "vi").otherwise(F.col("lang")).alias("language"), "keywords", F.array().cast(ENTITIES).alias("entities"),
         F.length("content").alias("content_length"), (F.length("content") >= V.FULL_LENGTH).alias("has_full_content"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heronlake.functions import vocab as V
-from heronlake.functions.categories import lookup_expression
+from heronlake.functions.categories import with_category
 from heronlake.functions.entities import ENTITIES, union_keywords
 from heronlake.functions.text import clean_content, trimmed
 from heronlake.functions.times import iso, to_utc
@@ -47,8 +47,9 @@ def articles_from_feed(items: DataFrame, pages: DataFrame | None = None, start_d
     )
     rows = rows.withColumn("published_at", iso(F.col("at")))
     valid = rows.filter(reject_reason(F.col("title"), F.col("content"), F.col("published_at"), V.MIN_LENGTH_RSS).isNull())
+    valid = with_category(valid, "category_raw", "category_normalized")
     return valid.select(
         stable_id(F.col("url")).alias("id"), "url", "title", "content", "published_at", iso(F.current_timestamp()).alias("crawled_at"), source_of(F.col("source_domain")).alias("source"), "source_domain",
-        F.lit("rss").alias("source_type"), "category_raw", lookup_expression(F.col("category_raw")).alias("category_normalized"), "author", F.lit("vi").alias("language"), "keywords",
+        F.lit("rss").alias("source_type"), "category_raw", "category_normalized", "author", F.lit("vi").alias("language"), "keywords",
         F.array().cast(ENTITIES).alias("entities"), F.length("content").alias("content_length"), (F.length("content") >= V.FULL_LENGTH).alias("has_full_content"),
     )

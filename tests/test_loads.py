@@ -50,10 +50,15 @@ def test_an_index_gives_the_scores_of_a_scan(spark, tmp_path):
             assert {r["id"]: round(r["score"], 9) for r in index.bm25(query).collect()} == scan
             held = {r["id"] for r in rows.filter(search.has_all_tokens(query, ["title", "content"], folded)).collect()}
             assert {r["id"] for r in index.all_tokens(query).collect()} == held
-    plan = index.matches(["idiot"])._jdf.queryExecution().executedPlan().toString()
+    plan = index.look_up("idiot")[1]._jdf.queryExecution().executedPlan().toString()
     assert "folder" in plan.split("PartitionFilters: [")[1].split("]")[0] and "token" in plan.split("PushedFilters: [")[1].split("]")[0]
     again = search.SearchIndex(spark, f"{tmp_path}/indexTrue")
     found = search.search(rows, "the idiot", "admin", 5, index=again).collect()
+    scan = search.search(rows, "the idiot", "admin", 5, folded=True).collect()
+    assert [(r["id"], round(r["score"], 9), r["highlight"]) for r in scan] == [(r["id"], round(r["score"], 9), r["highlight"]) for r in found]
+    guest = [search.search(rows, "the idiot", size=7, folded=True, index=i, category="en").collect() for i in (None, again)]
+    assert {r["id"] for r in guest[1]} <= {r["id"] for r in rows.filter("is_canonical and category = 'en'").collect()} and len(guest[0]) == len(guest[1])
+    assert search.search(rows, "nothingofthekind", index=again).count() == 0
     assert len(found) == 5 and [r["score"] for r in found] == sorted((r["score"] for r in found), reverse=True) and "<mark>" in found[0]["highlight"]
 
 
