@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heronlake.llm.support import words_in, written
+from heronlake.llm.support import row_hash, words_in, written
 
 CHUNK = 64
 #: A probability closer than this to 0 or 1 counts as 0 or 1.
@@ -74,13 +74,18 @@ def _fold(level: int, seed: int) -> str:
         (s, x) -> CAST(IF(s.left IS NULL, named_struct('left', x, 'settled', s.settled), {step}) AS struct<left:{unit},settled:array<{unit}>>))"""
 
 
-def mix_sources(rows: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_copies: int = 3, seed: int = 20177, chunk: int = CHUNK) -> DataFrame:
-    """rows with size, source_size, target, copies and taken (= copies * size).
+def mix_sources(rows: DataFrame, id_column: str = "doc_id", text: str | None = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_copies: int = 3, seed: int = 20177, chunk: int = CHUNK) -> DataFrame:
+    """rows with size, source_size, target, copies and taken (= copies * size). text=None: rows hold their size already.
 
-    Only id, source and size of a row travel in the reduction; the rows themselves are joined once, at the end.
+    Only id, source and size of a row travel in the reduction; the rows themselves are joined once, at the end. Weights go
+    to sources by their rank, which one task finds: sources are few, and hosts in their place would need another rule.
     """
-    own = rows.drop(*ADDED) if text not in ADDED else rows
-    sized = own.withColumn("size", words_in(text))
+    if text is None:
+        own = rows.drop(*(c for c in ADDED if c != "size"))
+        sized = own.withColumn("size", F.coalesce("size", F.lit(0)).cast("long"))
+    else:
+        own = rows.drop(*ADDED) if text not in ADDED else rows
+        sized = own.withColumn("size", words_in(text))
     narrow = written(sized.select(F.col(id_column).cast("long").alias("id"), F.col(source).alias("source"), "size"), "mix-sizes")
     # Units: rows that can't be told apart by id, source and size.
     units = narrow.groupBy("id", "source", "size").agg(F.count("*").alias("m"))
@@ -120,13 +125,17 @@ def mix_sources(rows: DataFrame, id_column: str = "doc_id", text: str = "text",
         F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("m").alias("__m"), "source_size", "target",
         (F.col("m") * F.col("whole") + F.col("plus") + F.coalesce("bit", fallback)).alias("__copies"),
     )
-    joined = sized.join(decided, F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
-    columns = [*own.columns, "size", "source_size", "target"]
-    one = joined.filter("__m = 1").select(*columns, F.col("__copies").cast("long").alias("copies"))
-    order = Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(*own.columns))
-    several = joined.filter("__m > 1").withColumn("__r", F.row_number().over(order))
-    several = several.select(*columns, (F.expr("__copies div __m") + F.when(F.expr("__r <= __copies % __m"), 1).otherwise(0)).cast("long").alias("copies"))
-    return one.unionByName(several).withColumn("taken", F.col("copies") * F.col("size"))
+    # Rows that tie are told apart by a hash, made before they travel.
+    joined = sized.withColumn("__row", row_hash(own)).join(decided, F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
+    columns = list(dict.fromkeys([*own.columns, "size", "source_size", "target"]))
+    ties = not rated.filter("m > 1").isEmpty()
+    one = joined.filter("__m = 1") if ties else joined
+    found = one.select(*columns, F.col("__copies").cast("long").alias("copies"))
+    if ties:
+        order = Window.partitionBy("__id", "__source", "__size").orderBy("__row")
+        several = joined.filter("__m > 1").withColumn("__r", F.row_number().over(order))
+        found = found.unionByName(several.select(*columns, (F.expr("__copies div __m") + F.when(F.expr("__r <= __copies % __m"), 1).otherwise(0)).cast("long").alias("copies")))
+    return found.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def take_mix(rows: DataFrame, **options) -> DataFrame:

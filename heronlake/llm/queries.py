@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from heronlake.llm.support import table, written
+from heronlake.llm.support import table, words_in, written
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +31,9 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.mixing import mix_sources
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    # Every text is cut into words once; the mix needs no more of it than their number.
+    sized = written(table(spark, sf_dir, "documents").select("doc_id", "source", words_in("text").alias("size")), "mix-documents")
+    return mix_sources(sized, text=None).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

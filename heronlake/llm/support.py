@@ -81,8 +81,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words_in(text: str | Column) -> Column:
     """Number of runs of characters that aren't ASCII white space; a null text has none."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.size(F.filter(F.split(text, WHITE), lambda w: w != "")), F.lit(0)).cast("long")
+    text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    # White space at an end leaves an empty piece there.
+    edges = F.substring(text, 1, 1).rlike(WHITE).cast("int") + F.substring(text, -1, 1).rlike(WHITE).cast("int")
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, WHITE)) - edges).cast("long")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, but maps, which Spark doesn't hash."""
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()))
 
 
 def file_system(uri: str):

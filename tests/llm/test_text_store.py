@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from heronlake.llm import bpe, mixing, token_store, toxicity, url_filter, warc
+from heronlake.llm.support import words_in
 from tests.compare import SMALL
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -250,17 +252,34 @@ def test_records_keep_their_blocks(spark):
         list(warc.records_of(io.BytesIO(zlib.compress(b"junk\r\n\r\n", wbits=31))))
 
 
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    docs, sizes = spark.read.parquet(f"{SMALL}/documents.parquet"), []
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        made = stage(spark, docs, SMALL)
-        if k < 4:
-            assert made.columns == docs.columns
-        sizes.append(made.count())
-        docs = made
-    total, texts = docs.count(), {r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    assert total > 0 and sizes[1] <= sizes[0] <= 200 and sizes[2] <= sizes[1] and sizes[4] == sizes[3]
-    assert len(texts) >= sizes[1]
-    assert corpus_pipeline.run(spark, SMALL).count() == sizes[4]
+def test_words_are_counted(spark):
+    texts = ["", None, " ", "a", " a", "a ", "\n\ta  b\x0bc\r", "\u00a0", "a\u00a0b c", " \t"]
+    made = spark.createDataFrame([(t,) for t in texts], "t string").select(words_in("t")).collect()
+    assert [r[0] for r in made] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+
+
+def test_mixing_of_given_sizes_ties_and_long_texts(spark):
+    rows = [(1, "a", "w " * 50_000), (2, "a", None), (3, None, "x y"), (3, None, "x z"), (3, None, "x z"), (None, "b", "q " * 10)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("taken", F.lit("own"))
+    made = mixing.mix_sources(frame).collect()
+    given = mixing.mix_sources(frame.select("doc_id", "source", words_in("text").alias("size")), text=None).collect()
+    assert sorted((r["doc_id"] or 0, r["size"], r["taken"]) for r in made) == sorted((r["doc_id"] or 0, r["size"], r["taken"]) for r in given)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in made) and len(made) == 6
+
+
+def test_scores_with_clashing_columns_and_odd_rows(spark):
+    scorer = toxicity.Scorer(toxicity.Lexicon({"idiot": (False, 5.0)}), [-3.0, 2.0, 2.0, 1.0, 0.0, 0.0])
+    texts = ["you idiot", "you idiot", "", None, "fine " * 100_000 + "idiot"]
+    frame = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "doc_id long, text string, score string")
+    made = {r["doc_id"]: r["score"] for r in toxicity.score_texts(frame, scorer).collect()}
+    assert made == {i: pytest.approx(scorer.score(t)) for i, t in enumerate(texts)} and made[0] == made[1] > made[2] == made[3]
+    assert toxicity.score_texts(frame.limit(0), scorer).count() == 0
+    docs = spark.createDataFrame([(i, "bad worms" if i % 2 else "good", "x") for i in range(40)] * 3, "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, toxic int")
+    assert toxicity.train(docs, labels).weights is not None
+
+
+def test_tokens_with_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a b", "own", 5), (1, "a b", "own", 5), (2, "c", "own", 5)], "doc_id long, text string, ids string, shard int")
+    made = token_store.token_round_trip(rows, BYTE).collect()
+    assert sorted((r["id"], r["start"]) for r in made) == [(1, 0), (1, 3), (2, 6)]
