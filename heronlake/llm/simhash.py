@@ -14,11 +14,12 @@ all chains from that start before its full Hamming distance is taken.
 
 Equal fingerprints are one node from the start, however many texts have them. A bucket yields a spanning forest of
 its links, found by breadth-first search over the fingerprints that aren't reached yet, never all pairs. A bucket of
-over BUCKET fingerprints is dealt as pairs of blocks to further tasks, all of them, so nothing is capped.
+over BUCKET fingerprints is dealt as pairs of blocks to several tasks, all of them, so nothing is capped.
 
 Defined cases: a text without words, empty or null has fingerprint zero, which links like any other; fewer words than
 a shingle make one shingle; texts are read whole, in pieces of bounded size; rows may repeat; a null id is in the
-component of its fingerprint but doesn't name one (null if no row there has an id); an empty table gives an empty
+component of its fingerprint but doesn't name one (null if no row of the component has an id); rows that share an id are
+separate documents; an empty table gives an empty
 result.
 """
 
@@ -34,8 +35,8 @@ from heronlake.llm.components import connected_components
 from heronlake.llm.support import written
 
 BITS, SEED = 64, 42
-#: Fingerprints of a bucket that one task holds at once.
-BUCKET = 1 << 16
+#: Fingerprints of a bucket that one task compares; a larger bucket is dealt as pairs of blocks of about so many.
+BUCKET = 1 << 13
 #: Bytes of a text that are cut into words at once.
 PIECE = 1 << 20
 SPACE = b" \t\n\v\f\r"
@@ -160,41 +161,29 @@ def forest(ring: Ring, start: int, fps: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-OUT = "kind int, a bigint, b bigint, k int, masked bigint, block int"
+OUT = "a bigint, b bigint"
 
 
-def _solve(ring: Ring, limit: int):
-    """Over rows (k, masked, block, fp, node) sorted by bucket: links, and what buckets over the limit hold."""
+def _solve(ring: Ring):
+    """Links between fingerprints, over rows (k, masked, block, fp) sorted by bucket."""
 
     def run(batches):
-        held_key, fps, nodes, blocks = None, [], [], 0
+        held_key, fps = None, []
         out: list[tuple] = []
 
         def close():
-            nonlocal blocks
-            if blocks:
-                spill()
-                out.append((2, 0, 0, held_key[0], held_key[1], blocks))
-            elif sum(map(len, fps)) > 1:
-                f, n = np.concatenate(fps), np.concatenate(nodes)
-                out.extend((0, int(n[i]), int(n[j]), 0, 0, 0) for i, j in forest(ring, ring.keys[held_key[0]][0], f.view(np.uint64)))
-            fps.clear(), nodes.clear()
-            blocks = 0
-
-        def spill():
-            nonlocal blocks
-            for f, n in zip(np.concatenate(fps).tolist(), np.concatenate(nodes).tolist(), strict=True):
-                out.append((1, f, n, held_key[0], held_key[1], blocks))
-            fps.clear(), nodes.clear()
-            blocks += 1
+            if sum(map(len, fps)) > 1:
+                f = np.concatenate(fps)
+                out.extend((int(f[i]), int(f[j])) for i, j in forest(ring, ring.keys[held_key[0]][0], f.view(np.uint64)))
+            fps.clear()
 
         def flush():
-            rows = list(zip(*out, strict=True))
+            a, b = zip(*out, strict=True)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i in (0, 3, 5) else pa.int64()) for i, c in enumerate(rows)], names=["kind", "a", "b", "k", "masked", "block"])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            k, masked, block, fp, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            k, masked, block, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             if not len(k):
                 continue
             cuts = np.flatnonzero((k[1:] != k[:-1]) | (masked[1:] != masked[:-1]) | (block[1:] != block[:-1])) + 1
@@ -208,12 +197,7 @@ def _solve(ring: Ring, limit: int):
                 if key != held_key:
                     close()
                     held_key = key
-                while s < e:
-                    step = min(e, s + limit)
-                    if fps and sum(map(len, fps)) + step - s > limit:
-                        spill()
-                    fps.append(fp[s:step]), nodes.append(node[s:step])
-                    s = step
+                fps.append(fp[s:e])
             if len(out) >= 5000:
                 yield flush()
         close()
@@ -224,44 +208,38 @@ def _solve(ring: Ring, limit: int):
 
 
 def links(nodes: DataFrame, max_bits: int = 3, segments: int = 5, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) between nodes of (fp, node), with distinct fp: enough links to connect whatever is linked."""
+    """(a, b) between the distinct fingerprints of nodes (fp): enough links to connect whatever is linked."""
     ring = Ring(max_bits, segments)
     signed = [m - (1 << 64) if m >> 63 else m for _, m in ring.keys]
     keys = F.array(*(F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("masked")) for i, m in enumerate(signed)))
-    rows = nodes.select("fp", "node", F.explode(keys).alias("key")).select("key.k", "key.masked", F.lit(0).alias("block"), "fp", "node")
-    sorted_rows = rows.repartition("k", "masked").sortWithinPartitions("k", "masked")
-    first = written(sorted_rows.mapInArrow(_solve(ring, bucket), OUT), "simhash-links")
-    found = first.filter("kind = 0").select("a", "b")
-    large = first.filter("kind = 2").select("k", "masked", F.col("block").alias("n_blocks"))
-    if large.isEmpty():
+    rows = nodes.select("fp", F.explode(keys).alias("key")).select("key.k", "key.masked", "fp")
+    # A bucket over the limit is dealt as blocks from the start: no task ever takes all of it.
+    large = written(rows.groupBy("k", "masked").agg(F.count("*").alias("m")).filter(F.col("m") > bucket), "simhash-large")
+    none = large.isEmpty()
+    small = rows if none else rows.join(large, ["k", "masked"], "left_anti")
+    sorted_rows = small.select("k", "masked", F.lit(0).alias("block"), "fp").repartition("k", "masked").sortWithinPartitions("k", "masked")
+    found = written(sorted_rows.mapInArrow(_solve(ring), OUT), "simhash-links")
+    if none:
         return found
-    # Buckets over the limit: every block meets every other (and itself) in a task of its own.
-    members = first.filter("kind = 1").select("k", "masked", "block", F.col("a").alias("fp"), F.col("b").alias("node"))
-    paired = members.join(large, ["k", "masked"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    pair = F.xxhash64("k", "masked", low, high)
-    dealt = paired.select("k", "masked", (high * (high + 1) / 2 + low).cast("int").alias("pair"), "fp", "node", pair.alias("deal"))
-    again = dealt.repartition("deal").sortWithinPartitions("k", "masked", "pair").select("k", "masked", F.col("pair").alias("block"), "fp", "node")
-    more = written(again.mapInArrow(_solve(ring, 2 * bucket + 2), OUT), "simhash-links")
-    return found.union(more.filter("kind = 0").select("a", "b"))
+    # Every block meets every other (and itself) in a task of its own.
+    blocks = F.ceil(F.col("m") / bucket).cast("int")
+    members = rows.join(large, ["k", "masked"]).withColumn("n_blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("n_blocks")).cast("int"))
+    paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    low, high = F.least("block", "other").cast("long"), F.greatest("block", "other").cast("long")
+    dealt = paired.select("k", "masked", (high * (high + 1) / 2 + low).cast("long").alias("block"), "fp")
+    again = dealt.repartition("k", "masked", "block").sortWithinPartitions("k", "masked", "block")
+    return found.union(written(again.mapInArrow(_solve(ring), OUT), "simhash-links"))
 
 
 def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 3, max_bits: int = 3, segments: int = 5, bucket: int = BUCKET) -> DataFrame:
     """(id, fp, fingerprint, component_id), a row for each document."""
     prints = written(fingerprints(docs, id_column, text, width), "simhash-fps")
-    nodes = written(prints.groupBy("fp").agg(F.min("id").alias("node")), "simhash-nodes")
-    found = links(nodes.filter("node is not null"), max_bits, segments, bucket)
-    parts = connected_components(found)
-    named = nodes.join(parts, "node", "left").select(F.col("fp").alias("__fp"), F.coalesce("component", "node").alias("component_id"))
+    nodes = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")
+    parts = connected_components(links(nodes.select("fp"), max_bits, segments, bucket))
+    named = nodes.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "first", "component")
+    # Most fingerprints link with none: only components are gathered.
+    least = named.filter("component is not null").groupBy("component").agg(F.min("first").alias("least")).select((F.col("component") + 0).alias("__c"), "least")
+    named = named.join(least, F.col("component") == F.col("__c"), "left").select(F.col("fp").alias("__fp"), F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"))
     named = written(named, "simhash-named")
     joined = prints.join(named, F.col("fp") == F.col("__fp"))
     return joined.select("id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs without all but one row (that with the smallest id) of each group; rows without an id stay."""
-    own = docs.withColumn("__id", F.col(id_column).cast("long"))
-    groups = simhash_groups(docs, id_column, text, **options)
-    gone = groups.filter("id <> component_id").select(F.col("id").alias("__id")).distinct()
-    kept = own.filter("__id is not null").join(gone, "__id", "left_anti")
-    return kept.select(*docs.columns).unionByName(own.filter("__id is null").select(*docs.columns))

@@ -60,7 +60,7 @@ def test_exact_dedup(spark):
 
 def test_exact_dedup_stays_exact_when_the_filter_is_full(spark):
     rows = spark.createDataFrame(corpus(), DOC)
-    tight = exact_dedup.drop_repeats(rows, bits_per_row=1, max_bits=1)
+    tight = exact_dedup.drop_repeats(rows, bits_per_row=1, max_bits=64)
     assert sorted(r["doc_id"] for r in tight.collect()) == sorted(r["doc_id"] for r in exact_dedup.drop_repeats(rows).collect())
 
 
@@ -110,10 +110,12 @@ def test_simhash_of_pieces_equals_the_whole(monkeypatch):
     assert simhash.fingerprint_all([text]) == whole
 
 
-def test_near_copies_are_dropped(spark):
-    rows = spark.createDataFrame([(3, "a b c d", "k"), (2, "a b c d", "k"), (None, "a b c d", "k"), (9, prose(50), "k")], DOC + ", fp string")
-    kept = simhash.drop_near_copies(rows)
-    assert kept.columns == rows.columns and sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 2, 9]
+def test_simhash_of_repeated_ids_and_clashing_columns(spark):
+    text = prose(50)
+    rows = [(5, "a b c d", 1, "k"), (5, text, 2, "k"), (2, "A b c  d", 3, "k"), (None, text, 4, "k"), (None, "z z z z z", 5, "k")]
+    frame = spark.createDataFrame(rows, DOC + ", fp long, component_id string")
+    made = sorted((r["id"] or 0, r["component_id"] or 0) for r in simhash.simhash_groups(frame).collect())
+    assert made == [(0, 0), (0, 5), (2, 2), (5, 2), (5, 5)]
     assert simhash.simhash_groups(spark.createDataFrame([], DOC)).count() == 0
 
 
@@ -145,6 +147,14 @@ def test_embedding_groups(spark):
     assert embed_dedup.embedding_groups(frame.limit(0)).count() == 0
 
 
+def test_embeddings_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 2.0], 0), (3, [1.0], 0), (None, [1.0], 0), (4, [1e200, 1e200], 1), (5, [1e-200, 1e-200], 1)]
+    for space_bytes in (0, 1 << 20):
+        made = embed_dedup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), space_bytes=space_bytes).collect()
+        # The second vector of id 1 links with that of id 2; each set of vectors is a component of its own.
+        assert sorted((r["id"] or 0, r["n_links"], r["component_id"]) for r in made) == [(0, 1, 3), (1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 4), (5, 1, 4)]
+
+
 def brute_matches(rows, length=50):
     seen: dict[bytes, int] = {}
     for i, t in sorted(rows, key=lambda r: r[0]):
