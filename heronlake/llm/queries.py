@@ -119,6 +119,21 @@ WITH keyed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesc
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, text_sha256
 FROM keyed""",
+    "op9_long_matches": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT doc_id, k, substring(h, 1024 * k + 1, 1122) AS piece FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1024 + 1)) AS k FROM d)),
+w AS (SELECT doc_id, p, s FROM (SELECT doc_id, 512 * k + j AS p, substring(piece, 2 * j + 1, 100) AS s FROM (SELECT doc_id, k, piece, unnest(range(0, 512)) AS j FROM pieces)) WHERE length(s) = 100),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, p, lag(p) OVER o AS before, lead(p) OVER o AS next FROM w JOIN m USING (s) WHERE least < doc_id WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+edges AS (SELECT doc_id, p AS start, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n FROM g WHERE before IS NULL OR p - before > 50),
+stops AS (SELECT doc_id, p + 50 AS stop, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n FROM g WHERE next IS NULL OR next - p > 50),
+runs AS (SELECT doc_id, start, stop, n FROM edges JOIN stops USING (doc_id, n)),
+kept AS (SELECT doc_id, coalesce(lag(stop) OVER o, 0) AS start, start AS stop FROM runs WINDOW o AS (PARTITION BY doc_id ORDER BY n)
+  UNION ALL SELECT doc_id, coalesce(max(stop), 0), any_value(length(h)) // 2 FROM d LEFT JOIN runs USING (doc_id) GROUP BY doc_id),
+rest AS (SELECT doc_id, string_agg(substring(h, 2 * kept.start + 1, 2 * (kept.stop - kept.start)), '' ORDER BY kept.start) AS r FROM kept JOIN d USING (doc_id) GROUP BY doc_id),
+counts AS (SELECT doc_id, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(r)) AS kept_sha256
+FROM d JOIN rest USING (doc_id) LEFT JOIN counts USING (doc_id)""",
     "op10_warc": """
 WITH full_pages AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
 ranked AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM full_pages)
