@@ -5,7 +5,11 @@ from __future__ import annotations
 import csv
 import json
 from pathlib import Path
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +62,40 @@ def table_sizes(spark, paths: dict[str, str]) -> DataFrame:
     return rows
 
 
+def column_sizes(spark, paths: dict[str, str]) -> DataFrame:
+    """(table, column, files, n_rows, packed_size, plain_size) of Parquet tables, from the footers of their files.
+
+    Tasks read footers only; a table may have any number of files.
+    """
+
+    def read(batches):
+        for batch in batches:
+            rows = []
+            for table, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fs, name = FileSystem.from_uri(unquote(path))
+                with fs.open_input_file(name) as f:
+                    meta = pq.ParquetFile(f).metadata
+                for g in range(meta.num_row_groups):
+                    group = meta.row_group(g)
+                    sizes: dict[str, list[int]] = {}
+                    for c in range(group.num_columns):
+                        leaf = group.column(c)
+                        own = sizes.setdefault(leaf.path_in_schema.split(".")[0], [0, 0])
+                        own[0] += leaf.total_compressed_size
+                        own[1] += leaf.total_uncompressed_size
+                    rows += [(table, column, path, group.num_rows, *own) for column, own in sizes.items()]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            columns = zip(*rows, strict=True) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["table", "column", "file", "n_rows", "packed", "plain"])
+
+    files = None
+    for name, path in paths.items():
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select(F.lit(name).alias("table"), "path")
+        files = found if files is None else files.unionByName(found)
+    parts = files.mapInArrow(read, "table string, column string, file string, n_rows bigint, packed bigint, plain bigint")
+    return parts.groupBy("table", "column").agg(F.count_distinct("file").alias("files"), F.sum("n_rows").alias("n_rows"), F.sum("packed").alias("packed_size"), F.sum("plain").alias("plain_size"))
+
+
 def human_bytes(n: float) -> str:
     for unit in ("B", "KB", "MB", "GB", "TB"):
         if abs(n) < 1024 or unit == "TB":

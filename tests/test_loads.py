@@ -137,3 +137,14 @@ def test_near_duplicates_agree_with_the_windowed_variant(spark):
     frame = spark.createDataFrame(rows, "id int, title string, content_length int, has_full_content boolean")
     one, two = (sorted(map(tuple, f(frame, ["id"]).collect()), key=repr) for f in (dedup.near_dup_groups, dedup.near_dup_groups_windowed))
     assert one == two and sum(r[5] for r in one) == 3
+
+
+def test_sizes_come_from_footers(spark, tmp_path):
+    load.load_articles(A.articles(spark, SMALL), f"{tmp_path}/load")
+    paths = {name: f"{tmp_path}/load/{name}" for name in ("articles", "keyword_events")}
+    found = {(r["table"], r["column"]): r for r in reports.column_sizes(spark, paths).collect()}
+    assert {c for t, c in found if t == "articles"} == set(spark.read.parquet(paths["articles"]).columns) - {"ym"}
+    assert found["articles", "entities"]["n_rows"] == 200 and found["articles", "content"]["plain_size"] > 400_000
+    totals = {r["table"]: r for r in reports.table_sizes(spark, paths).collect()}
+    for name in paths:
+        assert sum(r["packed_size"] for (t, _), r in found.items() if t == name) < totals[name]["disk_size"]
