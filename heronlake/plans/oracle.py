@@ -119,7 +119,14 @@ SELECT DISTINCT page_id, split_part(whole, '#', 1) AS link FROM r
 WHERE replace(lower(regexp_extract(whole, '^[a-z]+://([^/?#]*)', 1)), 'www.', '') = replace(lower(host), 'www.', '') AND regexp_matches(whole, '/[a-z]+$')""",
     "fn06_time_fields": """SELECT event_id, (ts + INTERVAL 7 HOUR)::DATE AS publish_date, hour(ts + INTERVAL 7 HOUR)::INTEGER AS publish_hour, (isodow(ts + INTERVAL 7 HOUR) - 1)::INTEGER AS publish_dow,
   strftime(time_bucket(INTERVAL 4 HOUR, ts), '%Y-%m-%dT%H') AS bucket FROM events""",
-    "fn04_parse_times": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN epoch(date_trunc('second', ts) - INTERVAL 7 HOUR)::BIGINT END AS epoch FROM events",
+    "fn04_parse_times": """SELECT event_id, CASE event_id % 10 WHEN 2 THEN epoch(date_trunc('second', ts)) WHEN 3 THEN epoch(date_trunc('second', ts)) WHEN 6 THEN epoch(date_trunc('minute', ts)) - 25200
+  WHEN 7 THEN epoch(date_trunc('day', ts)) - 25200 WHEN 8 THEN epoch(date_trunc('minute', ts)) - 25200 WHEN 9 THEN NULL ELSE epoch(date_trunc('second', ts)) - 25200 END::BIGINT AS epoch FROM events""",
+    "fn03_source_names": f"""WITH h AS (SELECT doc_id, [k, 'm.' || k, k || '.example', 'x' || k][doc_id % 4 + 1] AS host FROM (SELECT doc_id, {one_of(list(V.SOURCES), "doc_id")} AS k FROM documents))
+SELECT doc_id, host, coalesce(({listed(V.SOURCES.values())})[list_filter(range(1, {len(V.SOURCES) + 1}), lambda i: ends_with(host, ({listed(V.SOURCES)})[i]))[1]], host) AS source FROM h""",
+    "fn09_url_category_maps": f"""WITH p AS (SELECT doc_id, string_split([k || '/a.html', 'zzqq/' || k || '-123/b', k || '-99', 'zzqq/qqzz/c', ''][doc_id % 5 + 1], '/') AS parts FROM (
+  SELECT doc_id, {one_of([k for v in V.CATEGORY_GROUPS.values() for k in v if " " not in k], "doc_id")} AS k FROM documents)),
+k AS (SELECT doc_id, parts, list_filter(list_transform(parts[1:2], lambda x: regexp_replace(x, '-[0-9]+$', '')), lambda x: len(list_filter({listed(k for v in V.CATEGORY_GROUPS.values() for k in v)}, lambda c: contains(x, c) OR contains(c, x))) > 0 AND x <> '') AS known FROM p)
+SELECT doc_id, coalesce(known[1], parts[1], '') AS category FROM k""",
     "fn12_word_count": r"SELECT doc_id, len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')) AS words FROM documents",
     "fn11_title_key": f"SELECT id, {KEY} AS title_key, md5({KEY})[1:12] AS title_hash FROM ({ART})",
     "fn10_author": "SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN '' ELSE 'A ' || lang END AS author FROM documents",

@@ -221,6 +221,24 @@ def fn02_domain_source(s: SparkSession, d: str) -> DataFrame:
     return A.table(s, d, "pages").select("page_id", host.alias("domain"), U.source_of(host, names).alias("source"))
 
 
+@query
+def fn03_source_names(s: SparkSession, d: str) -> DataFrame:
+    """Every shipped domain, alone, with a host before it, with more behind it, and none."""
+    n, known = F.col("doc_id"), list(V.SOURCES)
+    name = F.element_at(F.array(*map(F.lit, known)), (n % len(known) + 1).cast("int"))
+    host = F.element_at(F.array(name, F.concat(F.lit("m."), name), F.concat(name, F.lit(".example")), F.concat(F.lit("x"), name)), (n % 4 + 1).cast("int"))
+    return A.table(s, d, "documents").select("doc_id", host.alias("host"), U.source_of(host).alias("source"))
+
+
+@query
+def fn09_url_category_maps(s: SparkSession, d: str) -> DataFrame:
+    """URLs whose first or second folder is a key of the shipped map, in whole or part, or none."""
+    n, keys = F.col("doc_id"), [k for v in V.CATEGORY_GROUPS.values() for k in v if " " not in k]
+    key = F.element_at(F.array(*map(F.lit, keys)), (n % len(keys) + 1).cast("int"))
+    path = F.element_at(F.array(F.concat(key, F.lit("/a.html")), F.concat(F.lit("zzqq/"), key, F.lit("-123/b")), F.concat(key, F.lit("-99")), F.lit("zzqq/qqzz/c"), F.lit("")), (n % 5 + 1).cast("int"))
+    return A.table(s, d, "documents").select("doc_id", U.category_of_url(F.concat(F.lit("https://h.example/"), path)).alias("category"))
+
+
 @query
 def fn09_url_category(s: SparkSession, d: str) -> DataFrame:
     return A.table(s, d, "pages").select("page_id", U.category_of_url(F.col("url"), {"english": ["en"], "french": ["fr"]}).alias("category"))
@@ -248,9 +266,10 @@ def fn06_time_fields(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def fn04_parse_times(s: SparkSession, d: str) -> DataFrame:
-    raw = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss '+0700'")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise("junk")
-    parsed = TM.to_utc(raw)
-    return A.table(s, d, "events").select("event_id", F.unix_timestamp(parsed).alias("epoch"))
+    """Times in every known format, and one in none."""
+    forms = ["EEE, dd MMM yyyy HH:mm:ss '+0700'", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "dd MMM yyyy HH:mm:ss 'GMT'", "yyyy/MM/dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy", "dd-MM-yyyy HH:mm"]
+    raw = F.element_at(F.array(*(F.date_format("ts", f) for f in forms), F.lit("junk")), (F.col("event_id") % 10 + 1).cast("int"))
+    return A.table(s, d, "events").select("event_id", F.unix_timestamp(TM.to_utc(raw)).alias("epoch"))
 
 
 # Text, entities and keywords
