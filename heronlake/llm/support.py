@@ -45,6 +45,11 @@ def held_by_worker(key, make):
     return _held[1]
 
 
+def let_go() -> None:
+    """Drop what the worker process holds, for work that needs memory of its own."""
+    held_by_worker(None, lambda: None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder; two runs never meet in one."""
     path = f"{shared_folder(spark)}/heronlake/{name}-{uuid.uuid4().hex}"
