@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from heronlake.llm.support import held_by_worker
 
-MEMO = 1_600_000
+#: Chunks of a memo, about 200 bytes each.
+MEMO = 700_000
 LEAF = 4096
 LONG_CHUNK = 512
 #: Marks that make one token row of their own behind a word; quotation marks may be part of a contraction.
@@ -147,9 +148,9 @@ class ChunkEncoder:
             return list(map(self.memo.__getitem__, chunks))
 
 
-def encoder(path: str, lead: bool = False) -> ChunkEncoder:
+def encoder(path: str, lead: bool = False, memo: int = MEMO) -> ChunkEncoder:
     """An encoder and memo that the worker process keeps."""
-    return held_by_worker(("bpe", path, lead), lambda: ChunkEncoder(path, lead))
+    return held_by_worker(("bpe", path, lead, memo), lambda: ChunkEncoder(path, lead, memo))
 
 
 def _may_start(text: str, at: int) -> bool:

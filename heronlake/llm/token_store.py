@@ -36,6 +36,8 @@ from heronlake.llm.bpe import ChunkEncoder, encoder
 from heronlake.llm.support import file_system, scratch_path, written
 
 FRAME_BYTES = 1 << 18
+#: Chunks of a worker's memo; encoding is most of the work here, and there is no other operator beside it.
+MEMO = 1_600_000
 # Fixed values of the zstandard and seekable formats.
 SKIPPABLE_INDEX = 0x184D2A50
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -146,7 +148,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, id_
     width = 2 if max(ChunkEncoder(tokenizer, lead).tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
 
     def encode(batches):
-        of, end = encoder(tokenizer, lead), np.array([end_id], dtype="<u4").tobytes()
+        of, end = encoder(tokenizer, lead, MEMO), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
