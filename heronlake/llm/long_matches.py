@@ -45,7 +45,7 @@ from heronlake.llm.support import written
 
 LENGTH, GRAM = 50, 20
 #: Bytes of the texts of a block, of the texts that a bucket of anchors stands for, and contexts of a bucket.
-BLOCK_BYTES, BUCKET_BYTES, BUCKET_CONTEXTS = 8 << 20, 32 << 20, 40_000
+BLOCK_BYTES, BUCKET_BYTES, BUCKET_CONTEXTS = 4 << 20, 32 << 20, 30_000
 #: Contexts of one index.
 PIECE = 8_000
 #: Blocks beyond which an anchor is cut in two.
@@ -292,7 +292,7 @@ class _Block:
             if len(self.texts[k]) >= t.length:
                 mark[t.starts[k]] += 1
                 mark[t.starts[k] + t.sizes[k]] -= 1
-        gone = np.cumsum(mark[:-1]) > 0
+        gone = np.cumsum(mark[:-1], dtype=np.int32) > 0
         touched = np.add.reduceat(np.append(gone, False), t.starts, dtype=np.int64) if len(t.starts) else t.starts
         out = []
         for k, data in enumerate(self.texts):
@@ -342,10 +342,9 @@ def send_anchors(length: int, gram: int, buckets: int):
     names, kinds = ["block", "bucket", "data"], [pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches):
-        for batch in batches:
-            for block, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sends = _Block.read(data, length, gram).find().sends(buckets)
-                yield from _table(names, kinds, [(block, x["bucket"], x["data"]) for x in sends]).to_batches()
+        for block, data in _rows(batches):
+            sends = _Block.read(data, length, gram).find().sends(buckets)
+            yield from _table(names, kinds, [(block, x["bucket"], x["data"]) for x in sends]).to_batches()
 
     return run
 
@@ -353,6 +352,13 @@ def send_anchors(length: int, gram: int, buckets: int):
 PACKED = "block bigint, bucket int, data binary"
 
 
+def _rows(batches):
+    """The rows of Arrow batches, one at a time as Python objects."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+
+
 def _by_bucket(solve):
     """Over rows (bucket, block, data) sorted by bucket: solve(blocks, data) gives rows (block, data) for each bucket."""
     names, kinds = ["block", "bucket", "data"], [pa.int64(), pa.int32(), pa.binary()]
@@ -365,12 +371,11 @@ def _by_bucket(solve):
             held.clear()
             yield from _table(names, kinds, rows).to_batches()
 
-        for batch in batches:
-            for bucket, block, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and bucket != now:
-                    yield from close()
-                now = bucket
-                held.append((block, data))
+        for bucket, block, data in _rows(batches):
+            if held and bucket != now:
+                yield from close()
+            now = bucket
+            held.append((block, data))
         if held:
             yield from close()
 
@@ -494,12 +499,11 @@ def block_contexts(length: int, gram: int, buckets: int, to_buckets: int):
     """Rows (block, where, sends) from rows (block, data, notes)."""
 
     def run(batches):
-        for batch in batches:
-            for block, data, notes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                answers = {x["n"]: x["data"] for x in _learned(notes, ANCHORS)}
-                if answers:
-                    where, sends = _Block.read(data, length, gram).find().contexts(buckets, answers, [x["n"] for x in _learned(notes, COPY)], to_buckets)
-                    yield from _table(["block", "where", "sends"], [pa.int64(), pa.binary(), SENDS], [(block, where, sends)]).to_batches()
+        for block, data, notes in _rows(batches):
+            answers = {x["n"]: x["data"] for x in _learned(notes, ANCHORS)}
+            if answers:
+                where, sends = _Block.read(data, length, gram).find().contexts(buckets, answers, [x["n"] for x in _learned(notes, COPY)], to_buckets)
+                yield from _table(["block", "where", "sends"], [pa.int64(), pa.binary(), SENDS], [(block, where, sends)]).to_batches()
 
     return run
 
@@ -508,11 +512,10 @@ def cut_blocks(length: int, gram: int):
     """Rows (id, n_bytes, spans, kept) from rows (block, data, notes)."""
 
     def run(batches):
-        for batch in batches:
-            for _, data, notes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                where = [x["data"] for x in _learned(notes, WHERE)]
-                cut = _Block.read(data, length, gram).cut(where[0] if where else None, [x["data"] for x in _learned(notes, WINDOWS)], [x["n"] for x in _learned(notes, COPY)])
-                yield from cut.to_batches(max_chunksize=1000)
+        for _, data, notes in _rows(batches):
+            where = [x["data"] for x in _learned(notes, WHERE)]
+            cut = _Block.read(data, length, gram).cut(where[0] if where else None, [x["data"] for x in _learned(notes, WINDOWS)], [x["n"] for x in _learned(notes, COPY)])
+            yield from cut.to_batches(max_chunksize=1000)
 
     return run
 
@@ -542,11 +545,15 @@ def long_matches(
     def dealt(sent: DataFrame, buckets: int) -> DataFrame:
         return sent.select("bucket", "block", "data").repartition(max(tasks, buckets), "bucket").sortWithinPartitions("bucket")
 
+    n_blocks = blocks.count()
+
     def with_notes(notes: DataFrame) -> DataFrame:
-        gathered = notes.groupBy("block").agg(F.collect_list(F.struct("kind", "n", "data")).alias("notes"))
-        return blocks.select("block", "data").join(gathered, "block", "left").select("block", "data", "notes")
+        # A task takes a few blocks, however many there are.
+        n = max(tasks, -(-n_blocks // 4))
+        gathered = notes.repartition(n, "block").groupBy("block").agg(F.collect_list(F.struct("kind", "n", "data")).alias("notes"))
+        return blocks.select("block", "data").repartition(n, "block").join(gathered, "block", "left").select("block", "data", "notes")
 
-    buckets = max(1, -(-blocks.count() * block_bytes // bucket_bytes))
+    buckets = max(1, -(-n_blocks * block_bytes // bucket_bytes))
     anchors = blocks.select("block", "data").mapInArrow(send_anchors(length, gram, buckets), PACKED)
     flags = written(dealt(anchors, buckets).mapInArrow(_by_bucket(find_shared(hot)), PACKED), "match-anchors")
     n_shared = flags.agg(F.sum(F.expr("bitmap_count(data)"))).first()[0] or 0
