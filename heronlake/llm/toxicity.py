@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heronlake.llm.support import held_by_worker, written
+from heronlake.llm.support import held_by_worker, let_go, written
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most; those whose ids hash lowest.
 MAX_TRAIN = 24_000
@@ -41,7 +41,7 @@ WORD = re.compile(r"[^\W_]+")
 STEM = range(4, 10)
 #: Entries of less weight are matched as they are spelled only.
 STRONG = 3.0
-MEMO = 600_000
+MEMO = 400_000
 WINDOW = 8
 N_FEATURES = 5
 # Quotation marks, and words that report what somebody said.
@@ -197,20 +197,33 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in parts of a few texts, so that no more of them are Python strings at once."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: int, least: int = 5, lift: float = 20.0, stem_lift: float = 8.0) -> dict[str, tuple[bool, float]]:
     """Words and stems of high lift, from word -> (toxic rows, other rows)."""
 
     def weight(toxic: float, other: float) -> float:
         return math.log((toxic + 0.1) / (n_toxic + 1)) - math.log((other + 0.5) / (n_other + 1))
 
-    stems: dict[str, list[int]] = {}
-    for word, (toxic, other) in counts.items():
-        for n in STEM:
-            if n <= len(word):
-                s = stems.setdefault(word[:n], [0, 0, 0])
-                s[0] += toxic
-                s[1] += other
-                s[2] += toxic > 0
+    def beginnings(word: str) -> list[str]:
+        return [word[:n] for n in STEM if n <= len(word)]
+
+    # Only beginnings that enough toxic rows hold can be chosen; others need no totals.
+    held, words_of = Counter(), Counter()
+    for word, (toxic, _) in counts.items():
+        if toxic:
+            for s in beginnings(word):
+                held[s] += toxic
+                words_of[s] += 1
+    stems = {s: [toxic, 0, words_of[s]] for s, toxic in held.items() if toxic >= 0.98 * 2 * least}
+    del held, words_of
+    for word, (_, other) in counts.items():
+        for s in beginnings(word):
+            if s in stems:
+                stems[s][1] += other
     longer_by: dict[str, list[str]] = {}
     for stem in stems:
         longer_by.setdefault(stem[:-1], []).append(stem)
@@ -274,12 +287,14 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     rows = written(rows.groupBy("__id", "y").agg(F.min("text").alias("text")), "toxic-train")
 
     def count(batches):
+        let_go()
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
         rows_of = Counter()
         for batch in batches:
-            for y, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                found[y > 0].update(set(WORD.findall(t.lower())))
-                rows_of[y > 0] += 1
+            for part in sliced(batch):
+                for y, t in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    found[y > 0].update(set(WORD.findall(t.lower())))
+                    rows_of[y > 0] += 1
         words = list({**found[0], **found[1], "": 0})
         found[0][""], found[1][""] = rows_of[0], rows_of[1]
         for at in range(0, len(words), 50_000):
@@ -301,8 +316,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     lexicon = Lexicon(choose_entries(counts, n_toxic, n_other))
 
     def measure(batches):
+        let_go()
         own = Scorer(lexicon)
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             values = [own.features(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(values, pa.list_(pa.float64()))], names=["y", "x"])
 
@@ -321,7 +337,7 @@ def score_texts(docs: DataFrame, scorer: Scorer, text: str = "text", out: str =
     def run(batches):
         # With what it knows about words.
         own = held_by_worker(key, lambda: Scorer(Lexicon(entries), weights))
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             scores = [own.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*kept, out])
 
