@@ -50,7 +50,7 @@ def repeated_bitmaps(rows: DataFrame, digest: str, bits: int, probes: int) -> Da
     return twice.groupBy(F.expr(f"at div {BUCKET}").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(at % {BUCKET})").alias("bitmap"))
 
 
-def _bit(bitmap: str, at: str) -> Column:
+def bit_at(bitmap: str, at: str) -> Column:
     byte = f"cast(conv(hex(substring({bitmap}, cast(({at} % {BUCKET}) div 8 as int) + 1, 1)), 16, 10) as int)"
     return F.coalesce(F.expr(f"(shiftright({byte}, cast({at} % 8 as int)) & 1) = 1"), F.lit(False))
 
@@ -83,7 +83,7 @@ class RepeatFilter:
             probe = bitmaps.select(F.col("bucket").alias(f"__b{k}"), F.col("bitmap").alias(f"__m{k}"))
             # max_bits / 8 bytes at most, whatever the input
             tested = tested.withColumn(f"__p{k}", position).join(F.broadcast(probe), F.expr(f"__p{k} div {BUCKET} = __b{k}"), "left")
-            maybe = maybe & _bit(f"__m{k}", f"__p{k}")
+            maybe = maybe & bit_at(f"__m{k}", f"__p{k}")
         return tested.select(*columns, maybe.alias("__maybe"))
 
 

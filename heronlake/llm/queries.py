@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heronlake.llm.support import table, words_in, written
 
 
+def _tokenizer(name: str) -> str:
+    # Only three operators need the vocabularies; the others work without them.
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.simhash import simhash_groups
 
@@ -24,7 +31,7 @@ def op2_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.token_store import token_round_trip
 
-    stored = token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    stored = token_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer("byte_bpe_50k.json"))
     return stored.selectExpr("id AS doc_id", "start", "n_tokens", "crc32(ids) AS ids_crc32")
 
 
@@ -61,7 +68,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heronlake.llm.bpe import encode_texts
 
-    coded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    coded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer("word_bpe_49k.json"))
     return coded.selectExpr("doc_id", "cast(octet_length(ids) div 4 as bigint) AS n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(cast(decoded as binary), 256) AS decoded_sha256")
 
 
@@ -80,13 +87,38 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captures.selectExpr("page_id", "response.payload_bytes AS payload_bytes", "response.payload_digest AS payload_digest", "response.type AS record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.decontamination import contaminated_spans
+
+    found = contaminated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heronlake.llm.token_alignment import align_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made, _ = align_tokenizers(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"), digest=True)
+    return made.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op9_long_matches, op10_warc, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_groups, op3_token_store, op4_source_mix, op5_url_rules, op6_exact_dedup, op7_toxicity, op8_bpe, op9_long_matches, op10_warc, op11_filter_audit, op12_decontamination, op13_token_alignment, pipeline)}
 
 SQL = {
     "op2_embedding_groups": """
@@ -140,4 +172,32 @@ ranked AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PART
 SELECT page_id, payload_bytes, sha256(h) AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM ranked""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+f AS (SELECT part, doc_id, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+        regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM w),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+k AS (SELECT unnest(range(1, 6)) AS k),
+o AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT o, unnest(range(1, 6)) AS step FROM o),
+r AS (SELECT part, list_reduce(list_transform(o, lambda x: 'ABCDE'[x]), lambda x, y: x || y) AS filter_order, step::INTEGER AS step, o[step] AS filter,
+        coalesce(len(list_filter(o[1:step - 1], lambda x: fails[x])), 0) AS before, fails[o[step]] AS failed, len(list_filter(fails, lambda x: x)) AS n_fails, n, good, toxic FROM s, m),
+c AS (SELECT part, filter_order, step, filter, sum(CASE WHEN before = 0 AND NOT failed THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN before = 0 AND failed THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN before > 0 AND failed THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN failed AND n_fails = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN before = 0 AND failed THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN before = 0 AND failed THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM c""",
+    "op12_decontamination": r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+of_items AS (SELECT DISTINCT item, least(len(w), 10) AS m, list_aggregate(w[p:p + least(len(w), 10) - 1], 'string_agg', ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT m FROM of_items),
+of_docs AS (SELECT doc_id, m, p, list_aggregate(w[p:p + m - 1], 'string_agg', ' ') AS s FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM words, sizes WHERE len(w) >= m)),
+met AS (SELECT doc_id, p, m, item FROM of_docs JOIN of_items USING (m, s)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS q FROM met) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
