@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heronlake.llm.bpe import ChunkEncoder
+from heronlake.llm.bpe import UNEVEN, ChunkEncoder
 from heronlake.llm.support import held_by_worker, written
 
 #: Chunks of text that a worker keeps the ids of, for each tokenizer.
-MEMO = 300_000
+MEMO = 600_000
 #: Bytes of text that are aligned at once, and links that are expanded at once.
 PIECE, LINKS = 1 << 20, 1 << 21
 #: Pairs of the table that tasks look up, at most.
 HOT = 1 << 21
-#: Characters of the longest chunk that is kept.
-LONGEST = 64
 SPACE = "▁"
 
 
@@ -51,7 +48,8 @@ class ByteLevel:
     """A byte-level tokenizer of the tokenizers library; strings of special tokens are plain text."""
 
     def __init__(self, path: str, memo: int = MEMO):
-        self.of = ChunkEncoder(path, lead=True, memo=memo)
+        # The memo is trimmed here, between texts.
+        self.of, self.most = ChunkEncoder(path, lead=True, memo=1 << 62), memo
         self.of.tokenizer.encode_special_tokens = True
         vocabulary = self.of.tokenizer.get_vocab(with_added_tokens=True)
         # The 188 printable bytes stand for themselves, the others for characters from 256 on.
@@ -62,14 +60,31 @@ class ByteLevel:
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(of_char[c] for c in token) if all(c in of_char for c in token) else token.encode()
 
+    @property
+    def memo(self) -> dict[str, bytes]:
+        return self.of.memo
+
+    def chunks(self, text: str) -> list[str]:
+        """A space and the text, which isn't empty, in chunks that the library encodes independently."""
+        if text[0].isspace():
+            return self.of.chunks(" " + text)
+        chunks = self.of.chunks(text)
+        chunks[0] = " " + chunks[0]
+        return chunks
+
+    def learn(self, chunks: list[str]) -> None:
+        self.of.learn([chunks])
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a space and the text, which isn't empty."""
-        if text[0].isspace():
-            chunks = self.of.chunks(" " + text)
-        else:
-            chunks = self.of.chunks(text)
-            chunks[0] = " " + chunks[0]
-        return np.frombuffer(b"".join(self.of.parts(chunks)), dtype="<u4")
+        return np.frombuffer(b"".join(self.of.parts(self.chunks(text))), dtype="<u4")
+
+    def forget(self) -> None:
+        """Leave no more in the memo than it may have."""
+        _trim(self.memo, self.most)
+
+    def spelled(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
 class Pieces:
@@ -85,33 +100,45 @@ class Pieces:
         as_is = b"".join(self.bytes[i] for i in self.of.encode(probe)) == (" " + probe).encode()
         # No piece goes on past white space, and texts aren't changed: words with the spaces before them are independent.
         self.separable = as_is and all(re.fullmatch(f"{SPACE}*[^{SPACE}]*", p) for p in names) and SPACE in names
-        if self.separable:
-            self.space = np.array([names.index(SPACE)], dtype="<u4").tobytes()
+        #: Nor does one hold a line end, so that lines are independent, too.
+        line_end = [i for i, x in enumerate(self.bytes) if b"\n" in x]
+        self.apart = self.separable and [self.bytes[i] for i in line_end] == [b"\n"]
+        #: Pieces that start a chunk.
+        self.starts = np.array([p[0] == SPACE for p in names])
+        if self.apart:
+            self.starts[line_end] = True
+
+    def learn(self, chunks: list[str]) -> None:
+        """Have the ids of chunks in the memo, each a space or a line end and no more white space after it."""
+        if not chunks:
+            return
+        # All in one call, behind a word of their own; pieces that start with white space start the chunks.
+        ids = np.array(self.of.encode("x" + "".join(chunks)), dtype="<u4")
+        cuts = (np.flatnonzero(self.starts[ids]) * 4).tolist()
+        raw = ids.tobytes()
+        self.memo.update((c, raw[i:j]) for c, i, j in zip(chunks, cuts[1:], [*cuts[2:], len(raw)], strict=True))
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.separable or SPACE in text:
-            return np.array(self.of.encode(text), dtype="<u4")
-        # The first space before a word is the one that the library adds.
-        words = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else [w[1:] for w in re.findall(" +[^ ]*", " " + text)]
-        try:
-            parts = list(map(self.memo.__getitem__, words))
-        except KeyError:
-            parts = self._learn(words)
-        return np.frombuffer(b"".join(parts), dtype="<u4")
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        new = list(set(words).difference(self.memo))
-        short = [w for w in new if len(w) <= LONGEST]
-        if len(self.memo) + len(short) > self.most:
-            self.memo = dict(islice(self.memo.items(), self.most // 2))
-            new = list(set(words).difference(self.memo))
-        found = {w: np.array(ids, dtype="<u4").tobytes() for w, ids in zip(new, self.of.encode(new, num_threads=1), strict=True)}
-        if "" in found:
-            found[""] = self.space
-        known = self.memo
-        parts = [known[w] if w in known else found[w] for w in words]
-        known.update((w, found[w]) for w in new if len(w) <= LONGEST)
-        return parts
+        """Ids of a space and the text, which isn't empty."""
+        return np.array(self.of.encode(text), dtype="<u4")
+
+    def forget(self) -> None:
+        _trim(self.memo, self.most)
+
+    def spelled(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+
+
+def _trim(memo: dict[str, bytes], most: int) -> None:
+    """Frequent chunks come early: the first half stays."""
+    if len(memo) > most:
+        for chunk in list(memo)[most // 2 :]:
+            del memo[chunk]
+
+
+def even(text: str) -> bool:
+    """Whether single spaces and line ends are the only white space, and none stands at an end."""
+    return not (any(map(text.__contains__, UNEVEN)) or text[0].isspace() or text[-1].isspace())
 
 
 class Bits:
@@ -147,27 +174,47 @@ def groups_of(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.
 class Aligner:
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b, self.n_b = a, b, len(b.bytes)
+        #: Chunks whose bytes one side spells differently; rare, or the tokenizers aren't made for aligning.
+        self.odd: set[str] = set()
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (a, b))
         n_a = len(a.bytes)
         # Ids with what may stand behind them, to be picked by number.
         self.names = [b"%d," % i for i in range(n_a)] + [b"%d|" % i for i in range(n_a)] + [b"%d," % i for i in range(self.n_b)] + [b"%d;" % i for i in range(self.n_b)]
         self.name_at = (0, n_a, 2 * n_a, 2 * n_a + self.n_b)
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of both sides; None where there is nothing to align."""
-        if not text:
-            return None
-        data, sides = (" " + text).encode("utf-8", "surrogatepass"), []
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """The ids of both sides of each text; None where there is nothing to align."""
+        out: list = [None] * len(texts)
+        chunks = {k: self.a.chunks(t) for k, t in enumerate(texts) if t and self.b.apart and SPACE not in t and even(t)}
+        known = self._known(set().union(*chunks.values()))
+        for k, text in enumerate(texts):
+            if k in chunks:
+                # Both sides of each chunk cover its bytes, so both sides of the text do.
+                if known.issuperset(chunks[k]):
+                    out[k] = tuple(np.frombuffer(b"".join(map(t.memo.__getitem__, chunks[k])), dtype="<u4") for t in (self.a, self.b))
+            elif text:
+                data, sides = (" " + text).encode("utf-8", "surrogatepass"), [t.encode(text) for t in (self.a, self.b)]
+                if all(t.spelled(ids) == data for t, ids in zip((self.a, self.b), sides, strict=True)):
+                    out[k] = tuple(sides)
+        for t in (self.a, self.b):
+            t.forget()
+        return out
+
+    def _known(self, chunks: set[str]) -> set[str]:
+        """Has the ids of chunks in both memos; those of the chunks whose bytes both sides spell."""
+        fresh = set()
         for t in (self.a, self.b):
-            ids = t.encode(text)
-            if b"".join(map(t.bytes.__getitem__, ids.tolist())) != data:
-                return None
-            sides.append(ids)
-        return sides[0], sides[1]
+            new = list(chunks.difference(t.memo))
+            t.learn(new)
+            if t.spelled(np.frombuffer(b"".join(map(t.memo.__getitem__, new)), dtype="<u4")) != "".join(new).encode("utf-8", "surrogatepass"):
+                fresh.update(new)
+        # All in one are compared first. A chunk that was learned before may be one that differs, as well.
+        self.odd.update(c for c in fresh if any(t.spelled(np.frombuffer(t.memo[c], dtype="<u4")) != c.encode("utf-8", "surrogatepass") for t in (self.a, self.b)))
+        return chunks - self.odd if self.odd else chunks
 
     def align(self, texts: list[str | None], digest: bool) -> list[dict]:
         """n_a, n_b, n_groups, n_links, groups and pairs (packed) of each text."""
-        found = [self.tokens(t) for t in texts]
+        found = self.tokens(texts)
         out = [{"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "pairs": None} for _ in texts]
         held = [k for k, f in enumerate(found) if f is not None]
         if not held:
