@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from heronlake.operators import dedup, rollups, search, trends
+from heronlake.operators import dedup, rollups, search, substring, trends
 from heronlake.plans import adapters as A
 from heronlake.sources.tables import in_months, write_monthly
 
@@ -41,6 +41,7 @@ def main() -> None:
     daily_entity = stored(rollups.rollup(entities, rollups.DAILY_ENTITY), "daily_entity")
     articles = stored(dedup.near_dup_groups(A.articles(spark, sf_dir), ["id"]), "articles")
     index = search.SearchIndex.write(articles, f"{folder}/index")
+    grams = substring.TrigramIndex.write(articles, f"{folder}/grams")
     write_monthly(events, f"{folder}/monthly", sort=["publish_date", "keyword"])
     monthly = spark.read.parquet(f"{folder}/monthly")
     load = time.perf_counter() - began
@@ -63,6 +64,10 @@ def main() -> None:
         "all_tokens_count_scan": lambda: articles.filter(search.has_all_tokens("the idiot", ["title", "content"])).groupBy().count(),
         "like_count": lambda: articles.filter(search.like("the and", ["title", "content"])).groupBy().count(),
         "ilike_count": lambda: articles.filter(search.like("the and", ["title", "content"], ignore_case=True)).groupBy().count(),
+        "like_rare_scan": lambda: articles.filter(search.like("worthless idiot", ["title", "content"])).groupBy().count(),
+        "ilike_rare_scan": lambda: articles.filter(search.like("Worthless Idiot", ["title", "content"], ignore_case=True)).groupBy().count(),
+        "like_rare_indexed": lambda: grams.like("worthless idiot").groupBy().count(),
+        "ilike_rare_indexed": lambda: grams.like("Worthless Idiot", ignore_case=True).groupBy().count(),
         "entity_count": lambda: articles.filter(search.has_entity("The", "PER")).groupBy().count(),
         "bm25_top": lambda: search.search(articles, "idiot clown", index=index),
         "bm25_top_scan": lambda: search.search(articles, "idiot clown"),

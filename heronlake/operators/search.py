@@ -125,23 +125,6 @@ class SearchIndex:
         return hits.filter(F.col("field").isin(list(boosts))).groupBy("id").agg((F.greatest(*best) if len(best) > 1 else best[0]).alias("score"))
 
 
-def bm25(self, query: str, boosts: dict[str, float] | None = None) -> DataFrame:
-        """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted."""
-        boosts = boosts or BOOSTS
-        hits = self.matches(self.query_tokens(query)).filter(F.col("field").isin(list(boosts)))
-        # One row for each field and token of the query.
-        df = hits.groupBy("field", "token").agg(F.count("*").alias("df"))
-        docs, mean, boost = (F.lit(0.0) for _ in range(3))
-        for f, by in boosts.items():
-            n, m = self.statistics.get(f, (0, 1.0))
-            own = F.col("field") == f
-            docs, mean, boost = F.when(own, F.lit(float(n))).otherwise(docs), F.when(own, F.lit(float(m))).otherwise(mean), F.when(own, F.lit(by)).otherwise(boost)
-        idf = F.log1p((docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        part = boost * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
-        by_field = hits.join(F.broadcast(df), ["field", "token"]).groupBy("id", "field").agg(F.sum(part).alias("score"))
-        return by_field.groupBy("id").agg(F.max("score").alias("score"))
-
-
 def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS) -> DataFrame:
     """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted.
 

@@ -190,7 +190,7 @@ SELECT doc_id, raw, {mapped("raw", V.CATEGORY_GROUPS)} AS base, {mapped("raw", V
 SELECT id, trim(regexp_replace(title || ' <b> "éệ"', '\s+', ' ', 'g')) AS cleaned FROM t""",
     "tok1_folded_tokens": rf"""SELECT id, array_to_string(list_filter(string_split_regex(replace(strip_accents(lower('Đường Nguyễn Ê-kíp, ' || title)), 'đ', 'd'), '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> ''), '|') AS tokens FROM ({ART})""",
     "flt04_search_documents": f"SELECT id, title, url, has_full_content, '{'|'.join(SEARCH_FIELDS)}' AS fields, NULL::VARCHAR AS word_count FROM ({ART})",
-    "flt08_date_range": f"SELECT id, publish_date FROM ({ART}) WHERE category = 'en' AND publish_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    "flt08_date_range": f"SELECT id, publish_date FROM ({ART}) WHERE category = 'en' AND publish_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-02'",
     "flt11_exists": f"SELECT count(title) AS title, count(event_time) AS event_time, count(publish_date) AS publish_date, count(source) AS source FROM ({ART})",
     "win2_time_order": f"SELECT id, strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS published_at FROM ({ART})",
     "src2_jsonl_round_trip": f"SELECT id, title, md5(content) AS content, source FROM ({ART})",
@@ -222,3 +222,10 @@ SELECT articles AS articles_before, articles AS articles_after, 0::BIGINT AS ent
 SQL["sch1_bm25_indexed"] = SQL["sch1_bm25"]
 SQL["sch2_all_tokens_indexed"] = SQL["sch2_all_tokens"]
 SQL["sch3_token_count"] = f"SELECT count(*) AS n FROM (SELECT {TOKENS} AS t FROM ({ART})) WHERE list_contains(t, 'the') AND list_contains(t, 'and') AND list_contains(t, 'of')"
+SQL["flt12_like_indexed"] = SQL["flt12_like"]
+SQL["flt13_ilike_indexed"] = f"SELECT id FROM ({ART}) WHERE title ILIKE '%THE%reth_%' OR content ILIKE '%THE%reth_%'"
+LOADS = f"SELECT md5(content) AS id, id AS n, title, source, publish_date, n % 3 <> 0 AS early, n % 2 = 0 OR n % 3 = 0 AS late FROM ({ART})"
+SQL["snk4_stored_upsert"] = f"""WITH r AS ({LOADS}), e AS (SELECT id, n, title, source, publish_date, 1 AS load FROM r WHERE early UNION ALL SELECT id, n, title, 'again-' || source, publish_date, 2 FROM r WHERE late)
+SELECT id, n, title, source, publish_date FROM e QUALIFY row_number() OVER (PARTITION BY id ORDER BY load DESC, n DESC) = 1"""
+SQL["snk8_stored_inserts"] = f"""WITH r AS ({LOADS}), e AS (SELECT id, n, title, source, publish_date, 1 AS load FROM r WHERE early UNION ALL SELECT id, n, title, 'again-' || source, publish_date, 2 FROM r WHERE late)
+SELECT id, n, title, source, publish_date FROM e QUALIFY row_number() OVER (PARTITION BY id ORDER BY load, n) = 1"""

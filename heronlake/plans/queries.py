@@ -15,9 +15,9 @@ from heronlake.functions import text as X
 from heronlake.functions import times as TM
 from heronlake.functions import urls as U
 from heronlake.functions import vocab as V
-from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, trends
+from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, trends
 from heronlake.plans import adapters as A
-from heronlake.sources import legacy_csv, rss, tables
+from heronlake.sources import legacy_csv, rss, stored, tables
 from heronlake.sources.html_article import extract_articles
 from heronlake.streaming import rollups as stream
 
@@ -452,6 +452,16 @@ def flt13_ilike(s: SparkSession, d: str) -> DataFrame:
     return A.articles(s, d).filter(search.like("THE", ["title", "content"], ignore_case=True)).select("id")
 
 
+@query
+def flt12_like_indexed(s: SparkSession, d: str) -> DataFrame:
+    return substring.TrigramIndex.write(A.articles(s, d), _shared(s, "trigrams")).like("the and").select("id")
+
+
+@query
+def flt13_ilike_indexed(s: SparkSession, d: str) -> DataFrame:
+    return substring.TrigramIndex.write(A.articles(s, d), _shared(s, "trigrams")).like("THE%reth_", ignore_case=True).select("id")
+
+
 @query
 def flt14_entity_search(s: SparkSession, d: str) -> DataFrame:
     return A.articles(s, d).filter(search.has_entity("The", "PER")).select("id", "title")
@@ -520,7 +530,7 @@ def flt04_search_documents(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def flt08_date_range(s: SparkSession, d: str) -> DataFrame:
-    rows = search.restrict(A.articles(s, d), category="en", date_from=datetime.date(2024, 1, 5), date_to=datetime.date(2024, 1, 20))
+    rows = search.restrict(A.articles(s, d), category="en", date_from=datetime.date(2024, 1, 1), date_to=datetime.date(2024, 1, 2))
     return rows.select("id", "publish_date")
 
 
@@ -583,6 +593,30 @@ def src7_rss(s: SparkSession, d: str) -> DataFrame:
     return made.select("id", "url", "title", "published_at", "source", "category_raw", "category_normalized", "content_length", _joined(F.col("keywords")).alias("keywords"))
 
 
+def _two_loads(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Articles by the hash of their text: most of them, and then every other one under another name, and the rest."""
+    rows = A.articles(s, d).select(F.md5("content").alias("id"), F.col("id").alias("n"), "title", "source", "publish_date")
+    return rows.filter("n % 3 <> 0"), rows.filter("n % 2 = 0 OR n % 3 = 0").withColumn("source", F.concat(F.lit("again-"), "source"))
+
+
+@query
+def snk4_stored_upsert(s: SparkSession, d: str) -> DataFrame:
+    first, second = _two_loads(s, d)
+    table = stored.StoredTable.create(s, _shared(s, "stored"), first.schema, "id", buckets=8)
+    table.upsert(first, ["n"])
+    table.upsert(second, ["n"])
+    return table.read()
+
+
+@query
+def snk8_stored_inserts(s: SparkSession, d: str) -> DataFrame:
+    first, second = _two_loads(s, d)
+    table = stored.StoredTable.create(s, _shared(s, "stored"), first.schema, "id", buckets=8)
+    table.insert_absent(first, ["n"])
+    table.insert_absent(second, ["n"])
+    return table.read()
+
+
 @query
 def snk7_repeated_keys(s: SparkSession, d: str) -> DataFrame:
     return load.repeated_keys(A.articles(s, d).select(F.md5("content").alias("key")), "key")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,14 +27,17 @@ SEARCH_FIELDS = [
 
 
 def expand_inputs(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """The files that glob patterns name: patterns in their order, files of one by `partition_order`, each file once."""
+    """The files that glob patterns name: patterns in their order, files of one by their whole paths, each file once.
+
+    So `x.jsonl` comes before `x_2026-05.jsonl`. Partition sets have an order of their own, see `partition_order`.
+    """
     names: list[str] = []
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for pattern in patterns:
         where = hadoop.Path(pattern)
         found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
         paths = [str(f.getPath()) for f in found]
-        names += sorted(paths, key=lambda p: (not _PART.search(p), p.rpartition("/")[2]))
+        names += sorted(paths)
     return list(dict.fromkeys(names))
 
 
@@ -62,10 +64,6 @@ def with_sequence(rows: DataFrame, rank: int | Column = 0) -> DataFrame:
     return rows.select("*", F.struct(rank.alias("rank"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("_seq"))
 
 
-#: The name of a part of a set that isn't its current file.
-_PART = re.compile(r"_\d{4}-\d{2}(_\d+)?\.jsonl")
-
-
 def partition_order(path: Column) -> Column:
     """Orders a partition set as base_2024-01.jsonl, base_2024-02.jsonl, ..., base.jsonl: the current file last."""
     name = F.regexp_extract(path, r"([^/]+)$", 1)
