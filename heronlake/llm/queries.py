@@ -144,7 +144,7 @@ fits AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS action
   FROM split, rules WHERE ('.' || host) LIKE '%.' || h AND starts_with(path, p) GROUP BY page_id)
 SELECT s.page_id, coalesce(s.host, '') AS host, coalesce(s.path, '') AS path, f.rule,
-       coalesce(f.action, CASE WHEN regexp_matches('.' || s.host || chr(10), '\.(spam-[^.\n]*|cheap-pills|casino-[^.\n]*|free-money)\.') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(f.action, CASE WHEN regexp_matches('.' || s.host, '\.(spam-[^.]*|cheap-pills|casino-[^.]*|free-money)\.') THEN 'block' ELSE 'allow' END) AS verdict
 FROM split s LEFT JOIN fits f USING (page_id)""",
     "op6_exact_dedup": """
 WITH keyed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents)

@@ -166,6 +166,7 @@ def test_url_rules(spark):
     urls = [
         None, "", "no scheme", "http://Shop.EXAMPLE.com/en/7x?q", "http://example.com/en/8", "http://xcom/en/", "https://a.net/de/8", "https://b.example.net/de/8/x#t", "https://b.example.net/de/",
         "https://c.org/es/", "https://c.org/ES/", "http://spam-farm.example.org/fr/1", "http://notspam.example.org/fr/1", "http://cheap-pills.io", "x://com/en/", "http://u@h.com:80/en/1", "a://" + "x" * 100_000,
+        "http://a.xyz/foo.com\n/en/1", "http://a\nb.com/en/1", "http://a.com\n/en/1", "http://c.com/\n/en/1", "http://a.net/de/\n8", "http://x\ny.spam-a\nb.io/", "http://io/z.spam-a.b", "\n://x.org/es/\n",
     ]
     rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit("own"))
     made = {r["page_id"]: r for r in url_filter.filter_urls(rows).collect()}
@@ -177,6 +178,8 @@ def test_url_rules(spark):
         if best:
             assert made[k]["verdict"] == best.action
     assert [made[k]["verdict"] for k in (0, 2, 11, 12, 13)] == ["allow", "allow", "block", "allow", "block"]
+    assert [made[k]["rule"] for k in range(17, 25)] == [None, "com/en/", None, None, "net/de/", None, None, "org/es/"]
+    assert [made[k]["verdict"] for k in (17, 22, 23)] == ["allow", "block", "allow"]
     assert url_filter.filter_urls(rows.limit(0)).count() == 0
     index = url_filter.RuleIndex(url_filter.SITE_RULES + url_filter.SPAM_PATTERNS, {"com": 100, "en": 50, "example": 10})
     assert sorted(index.by_token) == ["casino", "com", "en", "es", "example", "free", "cheap", "net", "spam"] or all(len(v) for v in index.by_token.values())
