@@ -14,6 +14,13 @@ all under three characters has no trigram; it is answered by a scan of the index
 
 from __future__ import annotations
 
+import zlib
+from array import array
+from collections import defaultdict
+from functools import reduce
+from operator import or_
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +31,7 @@ from heronlake.operators.search import like
 BLOCK = 32768
 FOLDERS = 64
 #: Candidates that are fetched by their numbers, and blocks that are fetched by theirs; beyond, candidates are joined.
-MAX_NUMBERS, MAX_BLOCKS = 1000, 64
+MAX_NUMBERS, MAX_BLOCKS = 5000, 256
 
 
 def fold(x: Column) -> Column:
@@ -52,20 +59,49 @@ def grams_of(text: str) -> set[str]:
     return {text[i : i + 3] for i in range(len(text) - 2)}
 
 
-def _grams(texts: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """(field, block, place, gram): the distinct trigrams of each field of each article."""
+def folder_of(gram: str, folders: int) -> int:
+    return zlib.crc32(gram.encode()) % folders
+
+
+def _maps(texts: DataFrame, fields: tuple[str, ...], at_once: int = 1 << 25) -> DataFrame:
+    """(field, gram, block, bitmap) of the texts that a task reads: a bitmap for each block and trigram, or several where one
+    block has more than `at_once` trigrams of articles. Nothing is shuffled."""
+
+    def bitmap(places: array) -> bytes:
+        bits = np.zeros(BLOCK, dtype=np.uint8)
+        bits[np.frombuffer(places, dtype=np.uint16)] = 1
+        return np.packbits(bits, bitorder="little").tobytes()
+
+    def made(held: dict, field: str, block: int):
+        grams = list(held)
+        for at in range(0, len(grams), 2000):
+            part = grams[at : at + 2000]
+            maps = pa.array([bitmap(held[g]) for g in part], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([field] * len(part), pa.string()), pa.array(part, pa.string()), pa.array([block] * len(part), pa.int64()), maps], names=["field", "gram", "block", "bitmap"])
 
     def run(batches):
+        held, size, block = {f: defaultdict(lambda: array("H")) for f in fields}, 0, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for k, field in enumerate(fields):
-                    grams = pa.array([list(grams_of(t)) for t in part.column(k + 1).to_pylist()], pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([pa.array([field] * part.num_rows, pa.string()), part.column(0), grams], names=["field", "n", "grams"])
+            numbers = batch.column(0).to_pylist()
+            columns = [batch.column(k + 1) for k in range(len(fields))]
+            for i, n in enumerate(numbers):
+                if block is not None and n // BLOCK != block or size > at_once:
+                    for f in fields:
+                        yield from made(held[f], f, block)
+                        held[f].clear()
+                    size = 0
+                block, place = n // BLOCK, n % BLOCK
+                for f, column in zip(fields, columns, strict=True):
+                    grams, own = grams_of(column[i].as_py()), held[f]
+                    size += len(grams)
+                    for g in grams:
+                        own[g].append(place)
+        if block is not None:
+            for f in fields:
+                yield from made(held[f], f, block)
 
     folded = texts.select("n", *(F.coalesce(fold(F.col(f)), F.lit("")) for f in fields))
-    rows = folded.mapInArrow(run, "field string, n bigint, grams array<string>")
-    return rows.select("field", F.expr(f"n div {BLOCK}").alias("block"), (F.col("n") % BLOCK).alias("place"), F.explode("grams").alias("gram"))
+    return folded.mapInArrow(run, "field string, gram string, block bigint, bitmap binary")
 
 
 class TrigramIndex:
@@ -75,62 +111,77 @@ class TrigramIndex:
         self.spark, self.texts = spark, spark.read.parquet(f"{path}/texts")
         self.grams = spark.read.schema("field string, gram string, block bigint, bitmap binary, folder int").parquet(f"{path}/grams")
         options = spark.read.json(f"{path}/options").first()
-        self.fields, self.folders = tuple(options["fields"]), options["folders"]
+        self.fields, self.folders, self.blocks = tuple(options["fields"]), options["folders"], options["blocks"]
+        #: Whether a trigram has several bitmaps in a block, which are united before they are compared.
+        self.partial = options["partial"]
 
     @classmethod
     def write(cls, articles: DataFrame, path: str, fields: tuple[str, ...] = ("title", "content"), folders: int = FOLDERS) -> TrigramIndex:
         """Index articles (id and the fields) under path, which must not exist, and open the index.
 
-        Numbers follow the partitions in which articles are read, so they take no shuffle, and a block is all in one task: the
-        bitmaps are nearly done when they are dealt to folders.
+        Numbers follow the partitions in which articles are read, so they take no shuffle, and a block is written by one
+        task. Tasks make the bitmaps of what they read; only these are dealt to folders, where a block that two tasks have
+        read gets two bitmaps of a trigram.
         """
         spark = articles.sparkSession
         # A partition's numbers start at a multiple of 2^33, so no block is in two.
         articles.select("id", *fields).withColumn("n", F.monotonically_increasing_id()).write.parquet(f"{path}/texts")
         texts = spark.read.parquet(f"{path}/texts")
-        maps = _grams(texts, fields).groupBy("field", "gram", "block").agg(F.expr("bitmap_construct_agg(place)").alias("bitmap"))
-        maps = maps.withColumn("folder", F.pmod(F.xxhash64("gram"), F.lit(folders)).cast("int"))
+        maps = _maps(texts, fields).withColumn("folder", (F.crc32("gram") % folders).cast("int"))
         maps.hint("rebalance", "folder").sortWithinPartitions("folder", "gram", "field", "block").write.option("compression", "zstd").partitionBy("folder").parquet(f"{path}/grams")
-        spark.range(1).select(F.array(*map(F.lit, fields)).alias("fields"), F.lit(folders).alias("folders")).write.json(f"{path}/options")
+        blocks = texts.select(F.expr(f"n div {BLOCK}").alias("block")).agg(F.count_distinct("block").alias("blocks"))
+        partial = not spark.read.schema("field string, gram string, block bigint").parquet(f"{path}/grams").groupBy("field", "gram", "block").count().filter("count > 1").isEmpty()
+        blocks.select(F.array(*map(F.lit, fields)).alias("fields"), F.lit(folders).alias("folders"), "blocks", F.lit(partial).alias("partial")).write.json(f"{path}/options")
         return cls(spark, path)
 
-    def candidates(self, query: str) -> DataFrame | None:
-        """(block, bitmap) of the articles that may hold the query in a field; None where it has no trigram."""
-        # A local relation: the fold and the hash run while the plan is made, without a job.
+    def grams_in(self, query: str) -> list[str]:
+        """The trigrams that a text with the query must have."""
         runs = literals(query)
         if not any(len(r) >= 3 for r in runs):
-            return None
+            return []
+        # A local relation: the fold runs while the plan is made, without a job.
         folded = self.spark.sql("SELECT r FROM VALUES (:r) AS t(r)", args={"r": "\0".join(runs)}).select(fold(F.col("r"))).first()[0]
-        wanted = sorted(set().union(*map(grams_of, folded.split("\0"))))
-        if not wanted:
-            return None
-        listed = self.spark.sql("SELECT :g AS g", args={"g": "\0".join(wanted)}).select(F.transform(F.split("g", "\0"), lambda x: F.pmod(F.xxhash64(x), F.lit(self.folders)).cast("int")))
-        folders = sorted(set(listed.first()[0]))
+        return sorted(set().union(*map(grams_of, folded.split("\0"))))
+
+    def candidates(self, wanted: list[str]) -> DataFrame:
+        """(block, and a bitmap for each field) of the articles that hold all wanted trigrams in that field."""
+        folders = sorted({folder_of(g, self.folders) for g in wanted})
         maps = self.grams.filter(F.col("folder").isin(folders) & F.col("gram").isin(wanted))
-        both = maps.groupBy("field", "block").agg(F.count("*").alias("n"), F.bitmap_and_agg("bitmap").alias("bitmap"))
-        every = both.filter((F.col("n") == len(wanted)) & (F.bitmap_count("bitmap") > 0))
-        return every.groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+        if self.partial:
+            maps = maps.groupBy("block", "gram", "field").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+        own = [F.col("field") == f for f in self.fields]
+        counts = [F.count_if(o).alias(f"n{k}") for k, o in enumerate(own)]
+        # An AND of nothing has all bits set, and so has one of nulls; the counts tell.
+        both = [F.bitmap_and_agg(F.when(o, F.col("bitmap"))).alias(f"bitmap{k}") for k, o in enumerate(own)]
+        met = maps.groupBy("block").agg(*counts, *both)
+        kept = [F.when(F.col(f"n{k}") == len(wanted), F.col(f"bitmap{k}")).alias(f"bitmap{k}") for k in range(len(own))]
+        return met.select("block", *kept).filter(" OR ".join(f"bitmap_count(bitmap{k}) > 0" for k in range(len(own))))
 
     def like(self, query: str, ignore_case: bool = False) -> DataFrame:
         """(id, and the fields) of the articles with %query% in a field; the same rows as a scan finds."""
         matches = like(query, list(self.fields), ignore_case)
-        found = self.candidates(query)
-        if found is None:
+        wanted = self.grams_in(query)
+        if not wanted:
             return self.texts.filter(matches).drop("n")
-        # 4 KB a block, and no more blocks than MAX_BLOCKS.
-        blocks = found.limit(MAX_BLOCKS + 1).collect()
+        found = self.candidates(wanted)
+        # 4 KB a block and field, and no more than MAX_BLOCKS.
+        blocks = (found if self.blocks <= MAX_BLOCKS else found.limit(MAX_BLOCKS + 1)).collect()
         if len(blocks) > MAX_BLOCKS:
-            at = F.expr("cast(conv(hex(substring(bitmap, cast(place div 8 as int) + 1, 1)), 16, 10) as int)")
-            set_bit = F.expr("(shiftright(byte, cast(place % 8 as int)) & 1) = 1")
+            def has(k: int) -> Column:
+                byte = f"cast(conv(hex(substring(bitmap{k}, cast(place div 8 as int) + 1, 1)), 16, 10) as int)"
+                return F.coalesce(F.expr(f"(shiftright({byte}, cast(place % 8 as int)) & 1) = 1"), F.lit(False))
+
             dealt = self.texts.withColumns({"block": F.expr(f"n div {BLOCK}"), "place": F.col("n") % BLOCK})
-            met = dealt.join(found, "block").withColumn("byte", at).filter(set_bit)
-            return met.filter(matches).select("id", *self.fields)
-        numbers = [r["block"] * BLOCK + 8 * i + b for r in blocks for i, byte in enumerate(r["bitmap"]) if byte for b in range(8) if byte >> b & 1]
+            either = has(0)
+            for k in range(1, len(self.fields)):
+                either = either | has(k)
+            return dealt.join(found, "block").filter(either).filter(matches).select("id", *self.fields)
+        sets = {r["block"]: reduce(or_, (np.frombuffer(m, dtype=np.uint8) for m in r[1:] if m is not None)) for r in blocks}
+        numbers = [block * BLOCK + int(i) for block, bits in sets.items() for i in np.flatnonzero(np.unpackbits(bits, bitorder="little"))]
         near = F.lit(False)
         if 0 < len(numbers) <= MAX_NUMBERS:
-            near = F.col("n").isin(numbers)
+            near = F.expr(f"n IN ({', '.join(map(str, numbers))})")
         elif numbers:
-            for r in blocks:
-                first = r["block"] * BLOCK
-                near = near | F.col("n").between(first, first + BLOCK - 1)
+            for block in sets:
+                near = near | F.col("n").between(block * BLOCK, block * BLOCK + BLOCK - 1)
         return self.texts.filter(near).filter(matches).drop("n")
