@@ -89,30 +89,49 @@ def gazetteer_tagger(names: dict[str, str]) -> Tagger:
     return tag
 
 
-def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | None = None, id_column: str = "id", title_only: bool = False, chars: int | None = V.NER_CHARS) -> DataFrame:
+def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | None = None, id_column: str = "id", title_only: bool = False, chars: int | None = V.NER_CHARS, errors: str | None = None) -> DataFrame:
     """articles with entities of their title and of the first `chars` characters of their content (None: all of it; the
-    default is the reference's limit); ids in done are left out. A text that the tagger fails on has none. Only the texts go through Python."""
+    default is the reference's limit); ids in done are left out. Only the texts go through Python.
+
+    A text that the tagger fails on has none; `errors` names a column for how many of an article's two texts failed. A tagger
+    with `tag_all` is given the texts of a batch at once, and one by one where that fails."""
     rows = articles if done is None else not_yet_done(articles, done, id_column)
     kept = [c for c in rows.columns if c != "entities"]
     content = F.col("content") if chars is None else F.substring("content", 1, chars)
     cut = rows.select(F.struct(*kept).alias("row"), F.coalesce("title", F.lit("")).alias("t"), (F.lit("") if title_only else F.coalesce(content, F.lit(""))).alias("c"))
     kind = pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())]))
 
-    def safely(text: str) -> list[dict]:
+    def safely(text: str) -> list[tuple[str, str]] | None:
         try:
-            return [{"token": a, "tag": b} for a, b in tagger(text)] if text else []
+            return tagger(text) if text else []
         except Exception:  # noqa: BLE001  whatever a tagger raises
-            return []
+            return None
+
+    def tag_all(texts: list[str]) -> list[list[tuple[str, str]] | None]:
+        try:
+            return tagger.tag_all(texts)
+        except Exception:  # noqa: BLE001
+            return list(map(safely, texts))
 
     def run(batches):
-        for batch in batches:
-            tags = [pa.array([safely(t) for t in batch.column(i).to_pylist()], kind) for i in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *tags], names=["row", "t", "c"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                found = [tag_all(batch.column(i).to_pylist()) for i in (1, 2)]
+                failed = [sum(x is None for x in pair) for pair in zip(*found, strict=True)]
+                # Tokens outside of entities end one, and are told by that alone.
+                tags = [pa.array([[{"token": a if b != "O" else "", "tag": b} for a, b in _ends(x or [])] for x in side], kind) for side in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *tags, pa.array(failed, pa.int32())], names=["row", "t", "c", "failed"])
 
     row = cut.schema["row"].dataType.simpleString()
-    tagged = cut.mapInArrow(run, f"row {row}, t array<struct<token:string,tag:string>>, c array<struct<token:string,tag:string>>")
+    tagged = cut.mapInArrow(run, f"row {row}, t array<struct<token:string,tag:string>>, c array<struct<token:string,tag:string>>, failed int")
     found = distinct_entities(F.concat(merge_bio(F.col("t")), merge_bio(F.col("c"))))
-    return tagged.select("row.*", found.alias("entities"))
+    return tagged.select("row.*", found.alias("entities"), *([F.col("failed").alias(errors)] if errors else []))
+
+
+def _ends(tagged: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The tokens of entities, and one O of each run of those outside: all that merging them takes."""
+    return [x for i, x in enumerate(tagged) if x[1] != "O" or (i and tagged[i - 1][1] != "O")]
 
 
 def clean_article_entities(articles: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from heronlake.functions import text as X
 from heronlake.functions import times as TM
 from heronlake.functions import urls as U
 from heronlake.functions import vocab as V
-from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, trends
+from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, tagging, trends
 from heronlake.plans import adapters as A
 from heronlake.sources import legacy_csv, rss, stored, tables
 from heronlake.sources.html_article import extract_articles
@@ -372,6 +372,20 @@ def ner_recognise(s: SparkSession, d: str) -> DataFrame:
     return found.select("id", _joined(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))).alias("entities"))
 
 
+def _learns() -> Column:
+    """Whether a tagger may learn from an article."""
+    return F.crc32(F.col("id").cast("string")) % 3 != 1
+
+
+@query
+def ner_learned(s: SparkSession, d: str) -> DataFrame:
+    """Entities of whole articles by a tagger that learned from the titles of other ones."""
+    rows = A.articles(s, d)
+    tagger = tagging.train(rows.filter(_learns()))
+    found = cleaning.recognise_entities(rows.filter(~_learns()), tagger, chars=None, errors="failed")
+    return found.select("id", _joined(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))).alias("entities"), "failed")
+
+
 @query
 def flt01_validity(s: SparkSession, d: str) -> DataFrame:
     published = F.when(F.col("id") % 7 == 0, "").otherwise("2024-01-01")
