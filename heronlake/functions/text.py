@@ -18,6 +18,7 @@ _PLAIN = {
 }
 _FROM = "".join(_PLAIN.values())
 _TO = "".join(k * len(v) for k, v in _PLAIN.items())
+PLAIN_LETTERS = dict(zip(_FROM, _TO, strict=True))
 
 
 def trimmed(x: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heronlake.functions.highlight import highlight
 from heronlake.functions.text import tokens
 from heronlake.operators.access import visible
 from heronlake.sources.tables import SEARCH_FIELDS
@@ -112,28 +113,35 @@ class SearchIndex:
         bit = F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(len(wanted)))), place)
         return hits.groupBy("id").agg(F.bit_or(bit).alias("bits")).filter(F.col("bits") == (1 << len(wanted)) - 1).select("id")
 
-    def bm25(self, query: str, boosts: dict[str, float] | None = None) -> DataFrame:
-        """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted."""
+    def bm25(self, query: str, boosts: dict[str, float] | None = None, idf_of: str | None = None) -> DataFrame:
+        """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted.
+
+        idf_of: a field for which idf is added, the weights of the query's tokens that an article's field holds, others 0.
+        """
         boosts = boosts or BOOSTS
-        _, hits = self.look_up(query)
-        best = []
+        wanted, hits = self.look_up(query)
+        best, weights = [], []
         for f, boost in boosts.items():
             docs, mean = self.statistics.get(f, (0, 1.0))
             idf = F.log1p((docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
             part = boost * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
             best.append(F.sum(F.when(F.col("field") == f, part).otherwise(0.0)))
-        return hits.filter(F.col("field").isin(list(boosts))).groupBy("id").agg((F.greatest(*best) if len(best) > 1 else best[0]).alias("score"))
+            if f == idf_of:
+                weights = [F.coalesce(F.max(F.when((F.col("field") == f) & (F.col("token") == t), idf)), F.lit(0.0)) for t in wanted]
+        added = [F.array(*weights).cast("array<double>").alias("idf")] if idf_of else []
+        return hits.filter(F.col("field").isin(list(boosts))).groupBy("id").agg((F.greatest(*best) if len(best) > 1 else best[0]).alias("score"), *added)
 
 
-def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS) -> DataFrame:
-    """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted.
+def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS, idf_of: str | None = None) -> DataFrame:
+    """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted; idf_of: see the index.
 
     Only the query's tokens leave the scan, as counts in each document's row: no token is shuffled. The statistics
     (documents, mean lengths, document frequencies) are one aggregate of a single row.
     """
-    wanted = sorted(set(_query_tokens(articles, query, folded)))
+    wanted = list(dict.fromkeys(_query_tokens(articles, query, folded)))
     if not wanted:
-        return articles.select("id", F.lit(0.0).alias("score")).limit(0)
+        none = [F.array().cast("array<double>").alias("idf")] if idf_of else []
+        return articles.select("id", F.lit(0.0).alias("score"), *none).limit(0)
     rows = articles.select("id", *(tokens(F.col(f), folded).alias(f) for f in boosts))
     columns, statistics = [], [F.count("*").alias("docs")]
     for f in boosts:
@@ -159,7 +167,12 @@ def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str
             norm = K1 * (1 - B + B * F.col(f"len_{f}") / F.col(f"mean_{f}"))
             total = total + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + norm)).otherwise(0.0)
         best.append(total * boost)
-    return scored.select("id", F.greatest(*best).alias("score") if len(best) > 1 else best[0].alias("score"))
+    weights = []
+    if idf_of:
+        df, n = [F.col(f"df_{idf_of}_{k}") for k in range(len(wanted))], F.col(f"docs_{idf_of}")
+        held = [F.when(F.col(f"tf_{idf_of}_{k}") > 0, F.log1p((n - d + 0.5) / (d + 0.5))).otherwise(0.0) for k, d in enumerate(df)]
+        weights = [F.array(*held).alias("idf")]
+    return scored.select("id", F.greatest(*best).alias("score") if len(best) > 1 else best[0].alias("score"), *weights)
 
 
 def _occurrences(column: str, token: str) -> Column:
@@ -167,23 +180,8 @@ def _occurrences(column: str, token: str) -> Column:
 
 
 def _query_tokens(articles: DataFrame, query: str, folded: bool) -> list[str]:
-    return articles.sparkSession.range(1).select(tokens(F.lit(query), folded).alias("t")).first()["t"]
-
-
-def highlight(title: Column, content: Column, query: str, width: int = 75) -> Column:
-    """A fragment around the content's first match, or else the title, with matches in <mark>."""
-    pattern = r"(?iu)(?<![\p{L}\p{N}_])(" + "|".join(sorted({_quoted(t) for t in query.split()})) + r")(?![\p{L}\p{N}_])"
-    at = F.regexp_instr(content, F.lit(pattern))
-    piece = F.substring(content, F.greatest(at - width, F.lit(1)), F.lit(2 * width))
-
-    def mark(x: Column) -> Column:
-        return F.regexp_replace(x, pattern, "<mark>$1</mark>")
-
-    return F.when(at > 0, mark(piece)).when(title.rlike(pattern), mark(title))
-
-
-def _quoted(token: str) -> str:
-    return r"\Q" + token.replace(r"\E", "") + r"\E"
+    # A local relation: the analyzer runs while the plan is made, without a job.
+    return articles.sparkSession.sql("SELECT q FROM VALUES (:q) AS t(q)", args={"q": query}).select(tokens(F.col("q"), folded).alias("t")).first()["t"]
 
 
 #: Results that one search may ask for, at most.
@@ -206,7 +204,9 @@ def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20,
     """
     _checked(query, size)
     rows = visible(articles, role)
-    scored = bm25(rows, query, folded) if index is None else index.bm25(query)
+    fold = folded if index is None else index.folded
+    wanted = list(dict.fromkeys(_query_tokens(rows, query, fold)))
+    scored = bm25(rows, query, folded, idf_of="content") if index is None else index.bm25(query, idf_of="content")
     best = (F.col("score").desc(), "id")
     if role != "admin" or any(v is not None for v in filters.values()):
         scored = scored.join(restrict(rows, **filters).select("id"), "id")
@@ -214,12 +214,10 @@ def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20,
         found = rows.join(F.broadcast(scored.orderBy(*best).limit(size)), "id")  # `size` rows
     else:
         # `size` ids at most: as literals, they reach the scan that fetches their articles.
-        top = {r["id"]: r["score"] for r in scored.orderBy(*best).limit(size).collect()}
-        pairs = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(x).alias("score")) for i, x in top.items())) if top else None
-        chosen = rows.filter(F.col("id").isin(list(top)))
-        score = F.filter(pairs, lambda p: p["id"] == F.col("id"))[0]["score"] if top else F.lit(0.0)
-        found = chosen.withColumn("score", score)
-    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), query)).orderBy(*best)
+        top = scored.orderBy(*best).limit(size).collect()
+        kept = rows.sparkSession.createDataFrame([tuple(r) for r in top], scored.schema)
+        found = rows.filter(F.col("id").isin([r["id"] for r in top])).join(F.broadcast(kept), "id")  # `size` rows
+    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), wanted, F.col("idf"), fold)).drop("idf").orderBy(*best)
 
 
 def search_by_entity(articles: DataFrame, text: str, kind: str | None = None, category: str | None = None, role: str = "guest", size: int = 20) -> DataFrame:

@@ -229,3 +229,6 @@ SQL["snk4_stored_upsert"] = f"""WITH r AS ({LOADS}), e AS (SELECT id, n, title,
 SELECT id, n, title, source, publish_date FROM e QUALIFY row_number() OVER (PARTITION BY id ORDER BY load DESC, n DESC) = 1"""
 SQL["snk8_stored_inserts"] = f"""WITH r AS ({LOADS}), e AS (SELECT id, n, title, source, publish_date, 1 AS load FROM r WHERE early UNION ALL SELECT id, n, title, 'again-' || source, publish_date, 2 FROM r WHERE late)
 SELECT id, n, title, source, publish_date FROM e QUALIFY row_number() OVER (PARTITION BY id ORDER BY load, n) = 1"""
+SQL["src7_feed_source"] = rf"""WITH a AS (SELECT *, trim(regexp_replace(regexp_replace(content, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM ({ART}) WHERE event_time IS NOT NULL)
+SELECT 'https://dantri.com.vn/suc-khoe/' || id AS url, trim(title) AS title, strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published_at, 'health' AS category_normalized, md5(text) AS content,
+  length(text)::INTEGER AS content_length FROM a WHERE (event_time + INTERVAL 7 HOUR)::DATE >= DATE '2024-01-02' AND length(text) >= {V.MIN_LENGTH_RSS} AND trim(title) <> ''"""

@@ -17,7 +17,7 @@ from heronlake.functions import urls as U
 from heronlake.functions import vocab as V
 from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, tagging, trends
 from heronlake.plans import adapters as A
-from heronlake.sources import legacy_csv, rss, stored, tables
+from heronlake.sources import feed_source, legacy_csv, rss, stored, tables
 from heronlake.sources.html_article import extract_articles
 from heronlake.streaming import rollups as stream
 
@@ -631,6 +631,44 @@ def snk8_stored_inserts(s: SparkSession, d: str) -> DataFrame:
     return table.read()
 
 
+def _escaped(x: Column) -> Column:
+    """Text as XML holds it; characters that XML can't hold are left out."""
+    t = F.regexp_replace(x, r"[\x00-\x08\x0B\x0C\x0D\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
+    return F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _stored_feeds(s: SparkSession, items: DataFrame, n: Column) -> str:
+    """A folder with feeds of some 100 items (title, link, at, text); every third is Atom."""
+    base, atom = _shared(s, "feeds"), F.expr("feed % 3 = 0")
+    t, u, x = (_escaped(F.col(c)) for c in ("title", "link", "text"))
+    rss_item = F.concat(F.lit("<item><title>"), t, F.lit("</title><link>"), u, F.lit("</link><pubDate>"), F.date_format("at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate><description>"), x, F.lit("</description></item>"))
+    entry = F.concat(F.lit("<entry><title>"), t, F.lit('</title><link rel="alternate" href="'), u, F.lit('"/><updated>'), F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</updated><summary>"), x, F.lit("</summary></entry>"))
+    dealt = items.withColumn("feed", n).select("feed", F.when(atom, entry).otherwise(rss_item).alias("item"))
+    whole = F.array_join(F.collect_list("item"), "")
+    feeds = dealt.groupBy("feed").agg(F.when(atom, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), whole, F.lit("</feed>"))).otherwise(F.concat(F.lit("<rss><channel>"), whole, F.lit("</channel></rss>"))).alias("value"))
+    feeds.select("value").write.option("maxRecordsPerFile", 1).option("lineSep", " ").text(base)
+    return base
+
+
+@query
+def src7_feed_source(s: SparkSession, d: str) -> DataFrame:
+    """Titles and texts of articles through stored feeds and the feed source, from the second day on."""
+    rows = A.articles(s, d).filter("event_time IS NOT NULL")
+    items = rows.select("id", "title", F.concat(F.lit("https://dantri.com.vn/suc-khoe/"), F.col("id").cast("string")).alias("link"), F.col("event_time").alias("at"), F.col("content").alias("text"))
+    made = rss.articles_from_feed(feed_source.read_feeds(s, _stored_feeds(s, items, F.expr("id div 100")), datetime.date(2024, 1, 2)))
+    return made.select("url", "title", "published_at", "category_normalized", F.md5("content").alias("content"), "content_length")
+
+
+@query
+def fn28_feed_with_pages(s: SparkSession, d: str) -> DataFrame:
+    """Items of pages, with short titles and texts, filled up from the pages behind their links."""
+    pages = A.table(s, d, "pages")
+    events = A.table(s, d, "events").select("event_id", F.col("ts").alias("at"))
+    items = pages.join(events, F.col("page_id") == F.col("event_id")).select("page_id", F.lit("T").alias("title"), F.col("url").alias("link"), "at", F.lit("s").alias("text"))
+    made = rss.articles_from_feed(feed_source.read_feeds(s, _stored_feeds(s, items, F.expr("page_id div 20"))), pages=extract_articles(pages))
+    return made.select("url", "title", "published_at", "category_raw", "author", F.md5("content").alias("content"), "content_length", _joined(F.col("keywords")).alias("keywords"))
+
+
 @query
 def snk7_repeated_keys(s: SparkSession, d: str) -> DataFrame:
     return load.repeated_keys(A.articles(s, d).select(F.md5("content").alias("key")), "key")

@@ -18,6 +18,7 @@ ITEM = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link",
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Items by Spark's own XML reader; `feed_source` reads Atom as well and pushes the start date down."""
     return spark.read.format("xml").schema(ITEM).option("rowTag", "item").load(path)
 
 
@@ -26,8 +27,10 @@ def articles_from_feed(items: DataFrame, pages: DataFrame | None = None, start_d
     longer title; items of known dates before start_date are left out."""
     text = clean_content(F.regexp_replace(F.coalesce("description", F.lit("")), r"<[^>]*>", " "))
     terms = F.filter(F.transform(F.coalesce("category", F.array().cast("array<string>")), trimmed), lambda k: k != "")
+    # The feed source has read the times already.
+    at = F.col("at") if "at" in items.columns else F.coalesce(to_utc(F.col("pubDate")), to_utc(F.col("updated")))
     rows = items.select(
-        normalize_url(F.col("link")).alias("url"), trimmed(F.coalesce("title", F.lit(""))).alias("title"), F.coalesce(to_utc(F.col("pubDate")), to_utc(F.col("updated"))).alias("at"),
+        normalize_url(F.col("link")).alias("url"), trimmed(F.coalesce("title", F.lit(""))).alias("title"), at.alias("at"),
         text.alias("summary"), F.array_distinct(terms).alias("terms"),
     )
     rows = rows.filter((F.col("url") != "") & F.col("at").isNotNull())
