@@ -232,3 +232,7 @@ SELECT id, n, title, source, publish_date FROM e QUALIFY row_number() OVER (PART
 SQL["src7_feed_source"] = rf"""WITH a AS (SELECT *, trim(regexp_replace(regexp_replace(content, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM ({ART}) WHERE event_time IS NOT NULL)
 SELECT 'https://dantri.com.vn/suc-khoe/' || id AS url, trim(title) AS title, strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published_at, 'health' AS category_normalized, md5(text) AS content,
   length(text)::INTEGER AS content_length FROM a WHERE (event_time + INTERVAL 7 HOUR)::DATE >= DATE '2024-01-02' AND length(text) >= {V.MIN_LENGTH_RSS} AND trim(title) <> ''"""
+SQL["fn25_planted_bodies"] = r"""WITH l AS (SELECT doc_id, i, trim(regexp_replace(line, '\s+', ' ', 'g')) AS line, length(trim(line, ' ')) >= 25 AS long
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+c AS (SELECT doc_id, string_agg(line, ' ' ORDER BY i) FILTER (length(line) > 10) AS content FROM l GROUP BY 1 HAVING bool_or(long))
+SELECT doc_id, md5(content) AS content, length(content)::INTEGER AS content_length, 'page' AS content_from FROM c"""

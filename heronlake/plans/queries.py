@@ -714,7 +714,25 @@ def etl_daily_run(s: SparkSession, d: str) -> DataFrame:
 @query
 def fn26_extract_articles(s: SparkSession, d: str) -> DataFrame:
     found = extract_articles(A.table(s, d, "pages"))
-    return found.select("page_id", "title", F.length("content").alias("content_length"), "category_raw", "domain")
+    return found.select(
+        "page_id", "title", "published_at", "author", _joined(F.col("keywords")).alias("keywords"), F.md5("content").alias("content"), F.length("content").alias("content_length"), "content_from", "category_raw", "domain"
+    )
+
+
+@query
+def fn25_planted_bodies(s: SparkSession, d: str) -> DataFrame:
+    """Texts of documents, a line a paragraph, amid menus, lists of links, an aside and comments; what is found of them."""
+    rows, n = A.table(s, d, "documents"), F.col("doc_id")
+    rows = rows.filter(F.exists(F.split("text", "\n"), lambda x: F.length(F.trim(x)) >= 25))
+    links = F.expr("array_join(transform(sequence(1, 12), i -> concat('<li><a href=\"/', i, '\">Some headline, with commas, number ', i, '</a></li>')), '')")
+    wrap = F.when(n % 3 == 0, F.lit("section")).when(n % 3 == 1, F.lit("div")).otherwise(F.lit("main"))
+    body = F.concat(F.lit("<p>"), F.replace(_escaped(F.col("text")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))
+    html = F.concat(
+        F.lit("<html><head><title>t</title><style>p{}</style></head><body><nav><ul>"), links, F.lit("</ul></nav><div class='x'><ul>"), links, F.lit("</ul></div><div><"), wrap, F.lit(" class='y'>"), body,
+        F.lit("</"), wrap, F.lit("></div><aside><p>An aside of some length, which isn't part of it.</p></aside><div id='comments'><p>A comment, which isn't part of it, either, at all.</p></div><footer>end</footer></body></html>"),
+    )
+    found = extract_articles(rows.select(n.alias("page_id"), F.lit("https://h.example/a").alias("url"), html.alias("html")))
+    return found.select(F.col("page_id").alias("doc_id"), F.md5("content").alias("content"), F.length("content").alias("content_length"), "content_from")
 
 
 # Reports

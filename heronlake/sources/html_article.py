@@ -14,6 +14,7 @@ from heronlake.functions import vocab as V
 from heronlake.functions.text import clean_content, trimmed
 from heronlake.functions.times import iso, to_utc
 from heronlake.functions.urls import category_of_url, domain
+from heronlake.sources.readability import main_text
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening tag of their kind closes, and what keeps it from doing so.
@@ -186,8 +187,9 @@ def body_text(root: Node, selectors: list[str]) -> str:
     return ""
 
 
-def extract(html: str | None, url: str | None, selectors: dict[str, list[str]] = V.BODY_SELECTORS, default: tuple[str, ...] = ("article",)) -> dict:
-    """JSON-LD, then meta tags for what is missing, then the site's selectors, then `default` for short bodies."""
+def extract(html: str | None, url: str | None, selectors: dict[str, list[str]] = V.BODY_SELECTORS) -> dict:
+    """JSON-LD, then meta tags for what is missing, then the site's selectors, then for short bodies the page's main text
+    if that is longer. content_from tells which gave the content: json-ld, site or page."""
     if not html:
         return {}
     root = parse(html)
@@ -196,21 +198,24 @@ def extract(html: str | None, url: str | None, selectors: dict[str, list[str]] =
     # Where a page's time may stand, in the order of trust; the first that can be read counts.
     out["times"] = [t for t in (out.pop("published_at", ""), *meta.pop("times", ())) if t]
     out |= {k: v for k, v in meta.items() if not out.get(k)}
+    out["content_from"] = "json-ld" if out.get("content") else None
     if not out.get("content"):
         site = next((s for known, s in selectors.items() if known in (url or "").lower()), [])
         out["content"] = body_text(root, site)
+        out["content_from"] = "site" if out["content"] else None
     if len(out["content"]) < 200:
-        longer = body_text(root, list(default))
-        out["content"] = longer if len(longer) > len(out["content"]) else out["content"]
+        longer = main_text(root, _is_noise)
+        if len(longer) > len(out["content"]):
+            out |= {"content": longer, "content_from": "page"}
     return out
 
 
-FIELDS = "title string, times array<string>, author string, category_raw string, keywords array<string>, content string"
+FIELDS = "title string, times array<string>, author string, category_raw string, keywords array<string>, content string, content_from string"
 
 
 def extract_articles(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(id, url, title, published_at, author, category_raw, keywords, content, domain), a row for each page; published_at
-    is in UTC, from the first of the page's times that can be read, and null without one.
+    """(id, url, title, published_at, author, category_raw, keywords, content, content_from, domain), a row for each page;
+    content_from tells whether json-ld, the site's selectors or the page's main text gave the content; published_at is in UTC, from the first of the page's times that can be read, and null without one.
 
     Parsing runs in Arrow batches; cleaning and the category from the URL stay in the JVM.
     """
@@ -229,5 +234,5 @@ def extract_articles(pages: DataFrame, id_column: str = "page_id", url: str = "u
     section = F.coalesce(F.col("category_raw"), F.lit(""))
     keywords = F.filter(F.transform(F.col("keywords"), trimmed), lambda k: k != "")
     known = F.filter(F.transform("times", lambda t: to_utc(t)), lambda t: t.isNotNull())
-    parsed = parsed.select(id_column, url, "title", iso(F.try_element_at(known, F.lit(1))).alias("published_at"), "author", "category_raw", "keywords", "content")
+    parsed = parsed.select(id_column, url, "title", iso(F.try_element_at(known, F.lit(1))).alias("published_at"), "author", "category_raw", "keywords", "content", "content_from")
     return parsed.withColumns({"content": clean_content(F.col("content")), "category_raw": F.when(section == "", category_of_url(F.col(url))).otherwise(section), "keywords": keywords}).withColumn("domain", domain(F.col(url)))

@@ -175,7 +175,7 @@ def test_jsonld_goes_before_meta():
 
 def test_body_selectors_skip_noise():
     html = '<div class="detail-content"><p>First long paragraph<p>short<div class="ads"><p>advertisement text</p></div><p><b>Second</b> long paragraph</p></div>'
-    assert html_article.extract(html, "https://tuoitre.vn/a", default=())["content"] == "First long paragraph Second long paragraph"
+    assert html_article.extract(html, "https://tuoitre.vn/a")["content"] == "First long paragraph Second long paragraph"
     assert html_article.extract(None, None) == {}
 
 
