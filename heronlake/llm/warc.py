@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heronlake.llm.exact_dedup import RepeatFilter
+from heronlake.llm.exact_dedup import RepeatedDigests
 from heronlake.llm.support import file_system, scratch_path, written
 
 MIN_REVISIT = 100
@@ -42,25 +42,20 @@ def response_id(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.UUID(hashlib.md5(f'{page_id}/{digest}'.encode()).hexdigest())}>"
 
 
-def plan_records(pages: DataFrame, id_column: str, payload: str, min_revisit: int) -> DataFrame:
+def plan_records(pages: DataFrame, id_column: str, payload: str, min_revisit: int, **options) -> DataFrame:
     """pages with digest, record_type and refers_to (the id of the response that a revisit points at)."""
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = pages.withColumn("digest", F.sha2(body.cast("binary"), 256)).withColumn("n_bytes", F.octet_length(body).cast("long"))
     # Only rows whose payload is large, and may occur again, shuffle. Narrow rows decide which.
     prints = written(rows.filter(F.col("n_bytes") >= min_revisit).select("digest", id_column), "warc-prints")
-    known = RepeatFilter(prints, "digest")
-    groups = (
-        known.flag(prints).filter("__maybe").groupBy("digest", id_column).agg(F.count("*").alias("m"))
-        .groupBy("digest").agg(F.min(id_column).alias("first"), F.sum("m").alias("n"), F.min_by("m", id_column).alias("ties"))
-    )
-    # The key is rewritten so that both sides are dealt anew and Spark can split a common payload among tasks.
-    groups = groups.select(F.concat("digest", F.lit("")).alias("__digest"), "first", F.coalesce("ties", "n").alias("ties"), (F.col("n") > 1).alias("shared"))
-    groups = written(groups, "warc-groups")
+    known = RepeatedDigests(prints, "digest", id_column, largest=False, **options)
+    groups = known.groups.select(F.col("__key").alias("__digest"), "first", F.col("same").alias("ties"))
     flagged = known.flag(rows).withColumn("__maybe", F.col("__maybe") & (F.col("n_bytes") >= min_revisit))
     columns = [*pages.columns, "digest", "n_bytes"]
     alone = flagged.filter("not __maybe").select(*columns, F.lit("response").alias("record_type"), F.lit(None).cast(pages.schema[id_column].dataType).alias("refers_to"), F.lit(False).alias("shared"))
     large = flagged.filter("__maybe").select(*columns)
-    settled = large.join(groups, F.col("digest") == F.col("__digest")).withColumn("__lead", F.col(id_column).eqNullSafe(F.col("first")))
+    settled = large.join(groups, F.col("digest") == F.col("__digest"), "left").withColumn("shared", F.col("__digest").isNotNull())
+    settled = settled.withColumn("__lead", ~F.col("shared") | F.col(id_column).eqNullSafe(F.col("first"))).withColumn("ties", F.coalesce("ties", F.lit(1)))
     if not groups.filter("ties > 1").isEmpty():
         order = Window.partitionBy("digest", id_column).orderBy(F.xxhash64(*pages.columns))
         tied = settled.filter("__lead and ties > 1").withColumn("__lead", F.row_number().over(order) == 1)

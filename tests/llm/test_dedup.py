@@ -71,6 +71,28 @@ def test_exact_dedup_of_ties_nulls_and_nothing(spark):
     assert exact_dedup.exact_dedup(spark.createDataFrame([], DOC)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 8])
+def test_exact_dedup_in_rounds(spark, tmp_path, rounds):
+    """Ties, nulls and repeated rows through one and eight rounds; the text is read for prints, and once each way for the rows."""
+    rows = corpus() + [(i, t) for i, t in corpus()[::3]] + [(None, "n"), (None, "n"), (None, None), (10**6, ""), (10**6, "")]
+    spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], DOC + ", more long").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    bits = -(-16 * len(rows) // rounds)
+    made = exact_dedup.exact_dedup(docs, max_bits=bits)
+    best: dict = {}
+    for i, t in rows:
+        best.setdefault(t or "", []).append(i)
+    found = made.collect()
+    for r in found:
+        ids = best[r["text"] or ""]
+        assert r["group_size"] == len(ids) and r["keep_id"] == max((i for i in ids if i is not None), default=None)
+    kept = [r["text"] or "" for r in found if r["kept"]]
+    assert sorted(kept) == sorted(best) and len(found) == len(rows)
+    assert all(r["doc_id"] == r["keep_id"] for r in found if r["kept"])
+    plan = exact_dedup.drop_repeats(docs.filter("more < 100"), max_bits=bits)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [doc_id") <= 3 and plan.count("BroadcastExchange") <= 7
+
+
 def brute_print(text: str | None) -> int:
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
     if not words:

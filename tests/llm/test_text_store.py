@@ -286,3 +286,14 @@ def test_tokens_with_clashing_columns(spark):
     rows = spark.createDataFrame([(1, "a b", "own", 5), (1, "a b", "own", 5), (2, "c", "own", 5)], "doc_id long, text string, ids string, shard int")
     made = token_store.token_round_trip(rows, BYTE).collect()
     assert sorted((r["id"], r["start"]) for r in made) == [(1, 0), (1, 3), (2, 6)]
+
+
+def test_records_planned_in_rounds(spark):
+    """Equal payloads, ties and nulls give the same records through one and eight rounds."""
+    texts = [None, "", "s" * 50, "a" * 100, "b" * 200, "c" * 300]
+    rows = [(k if k % 7 else None, texts[k % 6]) for k in range(40)] + [(3, "a" * 100), (3, "a" * 100), (500, "only " * 40)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    one, eight = (sorted(map(tuple, warc.plan_records(pages, "page_id", "html", 100, **o).collect()), key=repr) for o in ({}, {"max_bits": 16 * 30 // 8}))
+    assert one == eight and len(one) == len(rows)
+    responses = [r for r in one if r[4] == "response" and r[3] >= 100]
+    assert len({r[2] for r in responses}) == len(responses) == 4
