@@ -236,3 +236,9 @@ SQL["fn25_planted_bodies"] = r"""WITH l AS (SELECT doc_id, i, trim(regexp_replac
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
 c AS (SELECT doc_id, string_agg(line, ' ' ORDER BY i) FILTER (length(line) > 10) AS content FROM l GROUP BY 1 HAVING bool_or(long))
 SELECT doc_id, md5(content) AS content, length(content)::INTEGER AS content_length, 'page' AS content_from FROM c"""
+SQL["str2_late_buckets"] = f"""WITH e AS ({KE}), s AS (SELECT *, min(event_time) OVER () + (max(event_time) OVER () - min(event_time) OVER ()) / 4 AS quarter FROM e),
+l AS (SELECT *, article_id % 50 = 0 AND event_time < quarter AS late FROM s)
+SELECT strftime(time_bucket(INTERVAL 4 HOUR, event_time), '%Y-%m-%dT%H') AS bucket, count(*) AS n, (SELECT count(*) FROM l WHERE late) AS dropped FROM l WHERE NOT late GROUP BY 1"""
+SQL["str3_first_seen"] = SQL["str3_append_new"]
+SQL["snk6_bucketed_join"] = f"""WITH c AS (SELECT article_id, count(*) AS mentions, min(publish_hour)::INTEGER AS first_hour FROM ({KE}) GROUP BY 1)
+SELECT id, source AS site, mentions, first_hour FROM ({ART}) JOIN c ON id = article_id"""

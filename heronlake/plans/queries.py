@@ -17,7 +17,7 @@ from heronlake.functions import urls as U
 from heronlake.functions import vocab as V
 from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, tagging, trends
 from heronlake.plans import adapters as A
-from heronlake.sources import feed_source, legacy_csv, rss, stored, tables
+from heronlake.sources import catalog, feed_source, legacy_csv, rss, stored, tables
 from heronlake.sources.html_article import extract_articles
 from heronlake.streaming import rollups as stream
 
@@ -669,6 +669,23 @@ def fn28_feed_with_pages(s: SparkSession, d: str) -> DataFrame:
     return made.select("url", "title", "published_at", "category_raw", "author", F.md5("content").alias("content"), "content_length", _joined(F.col("keywords")).alias("keywords"))
 
 
+def _bucketed(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    base, name = _shared(s, "catalog"), f"heronlake_{uuid.uuid4().hex}"
+    events = A.keyword_events(s, d).select("article_id", "keyword", "publish_hour")
+    return (
+        catalog.save_bucketed(A.articles(s, d).select("id", "title", F.col("source").alias("site")), f"{name}_articles", ["id"], buckets=8, path=f"{base}/articles"),
+        catalog.save_bucketed(events, f"{name}_events", ["article_id"], ["keyword"], buckets=8, path=f"{base}/events"),
+    )
+
+
+@query
+def snk6_bucketed_join(s: SparkSession, d: str) -> DataFrame:
+    """Articles and how often each is mentioned at which hours, joined and grouped by id where they lie."""
+    articles, events = _bucketed(s, d)
+    counted = events.groupBy("article_id").agg(F.count("*").alias("mentions"), F.min("publish_hour").alias("first_hour"))
+    return articles.hint("merge").join(counted, F.col("id") == F.col("article_id")).select("id", "site", "mentions", "first_hour")
+
+
 @query
 def snk7_repeated_keys(s: SparkSession, d: str) -> DataFrame:
     return load.repeated_keys(A.articles(s, d).select(F.md5("content").alias("key")), "key")
@@ -798,13 +815,52 @@ def str2_buckets(s: SparkSession, d: str) -> DataFrame:
     return stream.buckets(A.keyword_events(s, d))
 
 
+#: Later than all events by far: such a row closes the windows of all others.
+FAR = "TIMESTAMP_NTZ '2050-01-01 00:00:00'"
+
+
+def _in_turn(s: SparkSession, base: str, *parts: DataFrame) -> DataFrame:
+    """Tables as a stream with a micro-batch for each, in this order."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{base}/events")
+    return s.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+
+
+def _closing(rows: DataFrame) -> DataFrame:
+    return rows.limit(1).withColumn("event_time", F.expr(FAR))
+
+
 @query
 def str2_streamed_buckets(s: SparkSession, d: str) -> DataFrame:
-    base = _shared(s, "stream")
-    # Every event is in time, whatever file it comes in; a watermark behind all of them lets the last batch emit.
-    counted = stream.buckets(_event_stream(s, d, base), lateness="3650 days")
-    counted.writeStream.outputMode("complete").format("memory").queryName(name := f"buckets_{uuid.uuid4().hex}").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return s.table(name)
+    """Every event is in time, whatever file it comes in."""
+    base, rows = _shared(s, "stream"), A.keyword_events(s, d)
+    events = _in_turn(s, base, rows.filter("article_id % 3 = 1"), rows.filter("article_id % 3 <> 1"), _closing(rows))
+    stream.maintain_buckets(events, f"{base}/buckets", f"{base}/state", lateness="3650 days").awaitTermination()
+    return s.read.parquet(f"{base}/buckets")
+
+
+@query
+def str2_late_buckets(s: SparkSession, d: str) -> DataFrame:
+    """Every fiftieth event of the first quarter comes after the second half, too late for its window."""
+    base, rows = _shared(s, "stream"), A.keyword_events(s, d)
+    first, last = rows.agg(F.min("event_time"), F.max("event_time")).first()
+    quarter, half = first + (last - first) / 4, first + (last - first) / 2
+    late = (F.col("article_id") % 50 == 0) & (F.col("event_time") < F.lit(quarter).cast("timestamp_ntz"))
+    early = F.col("event_time") < F.lit(half).cast("timestamp_ntz")
+    events = _in_turn(s, base, rows.filter(early & ~late), rows.filter(~early & ~late), rows.filter(late), _closing(rows))
+    run = stream.maintain_buckets(events, f"{base}/buckets", f"{base}/state")
+    run.awaitTermination()
+    counted = s.read.parquet(f"{base}/buckets")
+    return counted.withColumn("dropped", F.lit(stream.late_rows(run, counted, still_open=1)).cast("long"))
+
+
+@query
+def str3_first_seen(s: SparkSession, d: str) -> DataFrame:
+    """Keys of events that come in two batches, and all once more."""
+    base, rows = _shared(s, "stream"), A.keyword_events(s, d).withColumn("key", F.concat_ws("/", "keyword", "category"))
+    events = _in_turn(s, base, rows.filter("article_id % 2 = 0"), rows.filter("article_id % 2 = 1"), rows)
+    stream.maintain_first_seen(events, "key", f"{base}/seen", f"{base}/state", within="3650 days").awaitTermination()
+    return s.read.parquet(f"{base}/seen").select("key")
 
 
 @query

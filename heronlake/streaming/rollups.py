@@ -51,6 +51,32 @@ def buckets(events: DataFrame, time: str = "event_time", hours: int = 4, latenes
     return rows.groupBy(F.window("__t", f"{hours} hours").alias("w")).agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd'T'HH").alias("bucket"), "n")
 
 
+def maintain_buckets(events: DataFrame, path: str, checkpoint: str, time: str = "event_time", hours: int = 4, lateness: str = "1 hour", available_now: bool = True) -> StreamingQuery:
+    """Append the counts of each window to files at path once no row of it can be in time any more.
+
+    Rows that come after their window has closed are dropped; `late_rows` tells how many. State is bounded by the windows
+    that are still open.
+    """
+    counted = buckets(events, time, hours, lateness)
+    writer = counted.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def late_rows(query: StreamingQuery, counted: DataFrame, still_open: int = 0) -> int:
+    """How many rows a query over windows has read and not counted, apart from those of windows that are still open.
+
+    Spark's own number of dropped rows is taken behind the partial counts of a batch, so it isn't one of rows.
+    """
+    read = sum(p["numInputRows"] for p in query.recentProgress)
+    return read - (counted.agg(F.sum("n")).first()[0] or 0) - still_open
+
+
+def maintain_first_seen(events: DataFrame, key: str, path: str, checkpoint: str, time: str = "event_time", within: str = "7 days", available_now: bool = True) -> StreamingQuery:
+    """Append the first row of each key to files at path; see first_seen."""
+    writer = first_seen(events, key, time, within).writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def first_seen(events: DataFrame, key: str, time: str = "event_time", within: str = "7 days") -> DataFrame:
     """The first row of each key of a stream, with state bounded by a watermark."""
     rows = events.withColumn("__t", F.col(time).cast("timestamp")).withWatermark("__t", within)

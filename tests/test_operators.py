@@ -189,3 +189,11 @@ def test_reports_are_written(spark, tmp_path):
     assert [r["scenario"] for r in reports.count_mismatches(summary).collect()] == ["s"]
     spark.range(5).write.parquet(str(tmp_path / "p"))
     assert reports.table_sizes(spark, {"p": str(tmp_path / "p")}).first()["disk_size"] > 0
+
+
+def test_time_order_is_the_order_of_the_rows(spark):
+    from heronlake.plans.queries import QUERIES
+    from tests.compare import SMALL
+
+    rows = [(r["published_at"] or "", r["id"]) for r in QUERIES["win2_time_order"](spark, SMALL).collect()]
+    assert rows == sorted(rows) and len(rows) > 100
