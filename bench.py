@@ -40,7 +40,9 @@ def main() -> None:
     daily = stored(rollups.rollup(events, rollups.DAILY_KEYWORD), "daily_keyword")
     daily_entity = stored(rollups.rollup(entities, rollups.DAILY_ENTITY), "daily_entity")
     articles = stored(dedup.near_dup_groups(A.articles(spark, sf_dir), ["id"]), "articles")
+    before = time.perf_counter()
     index = search.SearchIndex.write(articles, f"{folder}/index")
+    indexing = time.perf_counter() - before
     grams = substring.TrigramIndex.write(articles, f"{folder}/grams")
     write_monthly(events, f"{folder}/monthly", sort=["publish_date", "keyword"])
     monthly = spark.read.parquet(f"{folder}/monthly")
@@ -83,7 +85,9 @@ def main() -> None:
             times.append(time.perf_counter() - t)
         seconds[name] = round(statistics.median(times[WARM_UP:]), 4)
     spark.stop()
-    print(json.dumps({"metric": "sum of median seconds of the headline queries", "value": round(sum(v for k, v in seconds.items() if not k.endswith(("_scan", "_monthly"))), 3), "unit": "sec", "queries": seconds, "sf": sf_dir.rsplit("sf", 1)[-1], "load_seconds": round(load, 2)}))
+    # The two searches by scans instead of the index, as in round 1.
+    by_scans = round(sum(v for k, v in seconds.items() if not k.endswith(("_monthly", "_indexed")) and k not in ("all_tokens_count", "bm25_top") and "rare" not in k), 3)
+    print(json.dumps({"metric": "sum of median seconds of the headline queries", "value": round(sum(v for k, v in seconds.items() if not k.endswith(("_scan", "_monthly", "_indexed"))), 3), "unit": "sec", "queries": seconds, "sf": sf_dir.rsplit("sf", 1)[-1], "load_seconds": round(load, 2), "index_seconds": round(indexing, 2), "value_by_scans": by_scans}))
 
 
 if __name__ == "__main__":
