@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heronlake.functions import vocab as V
 from heronlake.functions.entities import normalize_text
+from heronlake.operators.ranks import values_at
 
 
 def shares(rows: DataFrame, column: str) -> DataFrame:
@@ -20,18 +21,12 @@ def shares(rows: DataFrame, column: str) -> DataFrame:
 def length_profile(rows: DataFrame, length: str = "content_length") -> DataFrame:
     """Mean, and the upper nearest-rank median and 95th percentile (0-based ranks n / 2 and 0.95 n, rounded down).
 
-    Ranks come from running sums over the distinct lengths, so no task sorts all rows.
+    Ranks come from counts of lengths in ranges, so no task sorts or holds all distinct lengths.
     """
-    counts = rows.groupBy(F.coalesce(F.col(length), F.lit(0)).cast("long").alias("v")).agg(F.count("*").alias("c"))
-    upto = counts.withColumn("upto", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    total = F.sum("c").over(Window.partitionBy())
-    placed = upto.withColumn("n", total)
-    return placed.agg(
-        (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
-        F.min(F.when(F.expr("upto > n div 2"), F.col("v"))).alias("p50"),
-        F.min(F.when(F.expr("upto > cast(floor(n * 0.95D) as bigint)"), F.col("v"))).alias("p95"),
-        F.min("v").alias("shortest"), F.max("v").alias("longest"), F.sum("c").alias("n"),
-    )
+    rows = rows.select(F.coalesce(F.col(length), F.lit(0)).cast("long").alias("v"))
+    made = rows.agg(F.avg("v").alias("mean"), F.min("v").alias("shortest"), F.max("v").alias("longest"), F.count("*").alias("n"))
+    ranked = values_at(rows, [], "v", {"p50": F.expr("n div 2"), "p95": F.expr("cast(floor(n * 0.95D) as bigint)")})
+    return made.crossJoin(F.broadcast(ranked)).select("mean", "p50", "p95", "shortest", "longest", "n")  # one row each
 
 
 def presence(articles: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import math
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from heronlake.functions.highlight import highlight
 from heronlake.functions.text import tokens
-from heronlake.operators.access import visible
+from heronlake.operators.access import HIDDEN_FROM_GUESTS, visible
 from heronlake.sources.tables import SEARCH_FIELDS
 
 K1, B = 1.2, 0.75
@@ -41,56 +45,67 @@ def has_field(column: str) -> Column:
 
 
 def restrict(rows: DataFrame, category: str | None = None, source: str | None = None, date_from=None, date_to=None) -> DataFrame:
-    for column, value in (("category", category), ("source", source)):
-        rows = rows if value is None else rows.filter(F.col(column) == value)
-    rows = rows if date_from is None else rows.filter(F.col("publish_date") >= F.lit(date_from))
-    return rows if date_to is None else rows.filter(F.col("publish_date") <= F.lit(date_to))
+    return rows.filter(_conditions("admin", category, source, date_from, date_to))
 
 
-#: Folders that the tokens of an index are dealt to by their hash.
+#: Folders that the tokens and the articles of an index are dealt to by their hash.
 TOKEN_FOLDERS = 64
+#: Columns that postings carry, where articles have them, so that roles and filters need no join.
+CARRIED = ("is_canonical", "category", "source", "publish_date")
+#: Ids that a search may broadcast: those of its rare tokens, whose number the index knows before it reads them.
+RARE_IDS = 250_000
 
 
-def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool = False) -> DataFrame:
-    """(field, token, id, tf, len): how often a token stands in a field of an article, and how many tokens that has."""
+def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(field, token, id, tf, len, carried columns): how often a token stands in a field of an article, and how many tokens that has."""
     parts = None
     for field in fields:
-        own = articles.select(F.lit(field).alias("field"), "id", tokens(F.col(field), folded).alias("t"))
-        own = own.select("field", "id", F.size("t").alias("len"), F.explode("t").alias("token"))
+        own = articles.select(F.lit(field).alias("field"), "id", *carried, tokens(F.col(field), folded).alias("t"))
+        own = own.select("field", "id", *carried, F.size("t").alias("len"), F.explode("t").alias("token"))
         parts = own if parts is None else parts.unionByName(own)
-    return parts.groupBy("field", "token", "id").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
+    return parts.groupBy("field", "token", "id").agg(F.count("*").alias("tf"), F.first("len").alias("len"), *(F.first(c).alias(c) for c in carried))
 
 
-def _folder(token: Column, folders: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(folders)).cast("int")
+def _folder(value: Column, folders: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(folders)).cast("int")
 
 
 class SearchIndex:
     """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, each with its
-    token's document frequency, and one row of statistics for each field. A query reads the folders of its tokens and, in
-    them, the row groups of its tokens."""
+    token's document frequency and the columns that roles and filters ask for; the frequencies alone; the articles in folders
+    by the hash of their id, sorted by id; and one row of statistics for each field. A query reads the folders of its tokens
+    and, in them, the row groups of its tokens; a fetch the folders and row groups of its ids."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.postings = spark, spark.read.parquet(f"{path}/postings")
+    def __init__(self, spark: SparkSession, path: str, rare: int = RARE_IDS):
         options = spark.read.json(f"{path}/options").first()
+        self.spark, self.rare = spark, rare
+        # With their schemas, tables without rows, and so without files, can be read.
+        self.postings, self.tokens, self.articles = (spark.read.schema(StructType.fromJson(json.loads(options[t]))).parquet(f"{path}/{t}") for t in ("postings", "tokens", "articles"))
         self.folded, self.folders = options["folded"], options["folders"]
+        self.carried = [c for c in CARRIED if c in self.postings.columns]
         # One row for each field.
         self.statistics = {r["field"]: (r["docs"], r["mean"]) for r in spark.read.parquet(f"{path}/fields").collect()}
 
     @classmethod
     def write(cls, articles: DataFrame, path: str, folded: bool = False, boosts: dict[str, float] | None = None, folders: int = TOKEN_FOLDERS) -> SearchIndex:
         """Index the fields of articles under path, which must not exist, and open the index."""
-        spark, fields = articles.sparkSession, tuple(boosts or BOOSTS)
-        postings(articles, fields, folded).write.parquet(f"{path}/counts")
+        spark, fields, carried = articles.sparkSession, tuple(boosts or BOOSTS), tuple(c for c in CARRIED if c in articles.columns)
+        kept = articles.withColumn("__folder", _folder(F.col("id"), folders))
+        kept.hint("rebalance", "__folder").sortWithinPartitions("__folder", "id").write.partitionBy("__folder").parquet(f"{path}/articles")
+        postings(spark.read.schema(kept.schema).parquet(f"{path}/articles"), fields, folded, carried).write.parquet(f"{path}/counts")
         rows = spark.read.parquet(f"{path}/counts")
-        df = rows.groupBy(F.col("field").alias("__f"), F.col("token").alias("__t")).agg(F.count("*").alias("df"))
+        df = rows.groupBy("field", "token").agg(F.count("*").alias("df")).withColumn("folder", _folder(F.col("token"), folders))
+        df.hint("rebalance", "folder").sortWithinPartitions("folder", "token").write.partitionBy("folder").parquet(f"{path}/tokens")
+        schemas = {"articles": kept.schema, "tokens": df.schema}
+        df = spark.read.schema(df.schema).parquet(f"{path}/tokens").select(F.col("field").alias("__f"), F.col("token").alias("__t"), "df")
         # Spark splits a frequent token's side of the join, and it may spread over several files of its folder.
         rows = rows.join(df, (F.col("field") == F.col("__f")) & (F.col("token") == F.col("__t"))).drop("__f", "__t")
         rows = rows.withColumn("folder", _folder(F.col("token"), folders))
         rows.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "id").write.partitionBy("folder").parquet(f"{path}/postings")
         lengths = spark.read.parquet(f"{path}/counts").groupBy("field", "id").agg(F.first("len").alias("len"))
         lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("mean")).write.parquet(f"{path}/fields")
-        spark.range(1).select(F.lit(folded).alias("folded"), F.lit(folders).alias("folders")).write.json(f"{path}/options")
+        schemas["postings"] = rows.schema
+        spark.range(1).select(F.lit(folded).alias("folded"), F.lit(folders).alias("folders"), *(F.lit(v.json()).alias(k) for k, v in schemas.items())).write.json(f"{path}/options")
         return cls(spark, path)
 
     def look_up(self, query: str) -> tuple[list[str], DataFrame]:
@@ -101,10 +116,34 @@ class SearchIndex:
         wanted, folders = found["t"], sorted(set(found["f"]))
         return wanted, self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
 
+    def _frequencies(self, wanted: list[str], fields: list[str]) -> dict[str, dict[str, int]] | None:
+        """Document frequencies of the tokens by field; None, without a job, where all their postings are few anyhow."""
+        if sum(self.statistics.get(f, (0, 1.0))[0] for f in fields) * len(wanted) <= self.rare:
+            return None
+        found: dict[str, dict[str, int]] = {t: dict.fromkeys(fields, 0) for t in wanted}
+        rows = self.tokens.filter(F.col("folder").isin(self._folders(wanted)) & F.col("token").isin(wanted) & F.col("field").isin(fields))
+        for r in rows.collect():  # a row for each token of the query and field
+            found[r["token"]][r["field"]] = r["df"]
+        return found
+
+    def _folders(self, values: list) -> list[int]:
+        one = self.spark.range(1).select(F.array(*(_folder(F.lit(v), self.folders) for v in values)).alias("f"))
+        return sorted(set(one.first()["f"]))
+
     def all_tokens(self, query: str, fields: tuple[str, ...] = ("title", "content")) -> DataFrame:
-        """(id) of the articles whose fields together hold every token of the query; none for a query without tokens."""
+        """(id) of the articles whose fields together hold every token of the query; none for a query without tokens.
+
+        Where the rarest token's articles are few, their ids are broadcast and the other tokens' postings only pass by them;
+        else all postings meet in one aggregation.
+        """
         wanted, hits = self.look_up(query)
         hits = hits.filter(F.col("field").isin(list(fields)))
+        df = self._frequencies(wanted, list(fields)) if len(wanted) > 1 else None
+        if df is not None:
+            rarest = min(wanted, key=lambda t: sum(df[t].values()))
+            if sum(df[rarest].values()) <= self.rare:
+                few = hits.filter(F.col("token") == rarest).select("id").distinct()
+                hits = hits.join(F.broadcast(few), "id", "left_semi")  # `rare` ids at most
         if not 1 <= len(wanted) <= 60:
             held = hits.groupBy("id").agg(F.count_distinct("token").alias("n"))
             return held.filter((F.col("n") == len(wanted)) & (F.col("n") > 0)).select("id")
@@ -118,8 +157,9 @@ class SearchIndex:
 
         idf_of: a field for which idf is added, the weights of the query's tokens that an article's field holds, others 0.
         """
-        boosts = boosts or BOOSTS
-        wanted, hits = self.look_up(query)
+        return self._scored(*self.look_up(query), boosts or BOOSTS, idf_of)
+
+    def _scored(self, wanted: list[str], hits: DataFrame, boosts: dict[str, float], idf_of: str | None) -> DataFrame:
         best, weights = [], []
         for f, boost in boosts.items():
             docs, mean = self.statistics.get(f, (0, 1.0))
@@ -131,6 +171,41 @@ class SearchIndex:
         added = [F.array(*weights).cast("array<double>").alias("idf")] if idf_of else []
         return hits.filter(F.col("field").isin(list(boosts))).groupBy("id").agg((F.greatest(*best) if len(best) > 1 else best[0]).alias("score"), *added)
 
+    def top(self, query: str, size: int, keep: Column | None = None, ids: DataFrame | None = None, boosts: dict[str, float] | None = None, idf_of: str | None = None) -> tuple[list[str], list[Row]]:
+        """(tokens of the query, the best `size` of bm25 with the folder of their ids, ties by id), of the postings that keep
+        holds for and the articles whose id is among ids.
+
+        Where a query has rare and frequent tokens, the articles with a rare one are scored first, by all tokens. If the last
+        of the best has more than the frequent tokens can give together, no other article can be among them; else all are
+        scored. So the frequent tokens' postings are read, but mostly not shuffled.
+        """
+        boosts = boosts or BOOSTS
+        wanted, hits = self.look_up(query)
+        hits = hits if keep is None else hits.filter(keep)
+
+        def best(rows: DataFrame) -> list[Row]:
+            scored = self._scored(wanted, rows, boosts, idf_of)
+            scored = scored if ids is None else scored.join(ids, "id", "left_semi")
+            return scored.orderBy(F.col("score").desc(), "id").limit(size).withColumn("folder", _folder(F.col("id"), self.folders)).collect()
+
+        df, rare, most = self._frequencies(wanted, list(boosts)), [], 0
+        for t in sorted(df or (), key=lambda t: sum(df[t].values())):
+            most += sum(df[t].values())
+            rare += [t] if most <= self.rare else []
+        if rare and len(rare) < len(wanted):
+            few = hits.filter(F.col("token").isin(rare) & F.col("field").isin(list(boosts))).select("id").distinct()
+            found = best(hits.join(F.broadcast(few), "id", "left_semi"))  # `rare` ids at most
+            docs = {f: self.statistics.get(f, (0, 1.0))[0] for f in boosts}
+            rest = sum(max(boost * (K1 + 1) * math.log1p((docs[f] - df[t][f] + 0.5) / (df[t][f] + 0.5)) for f, boost in boosts.items()) for t in wanted if t not in rare)
+            if len(found) == size and found[-1]["score"] > rest * (1 + 1e-9):
+                return wanted, found
+        return wanted, best(hits)
+
+    def fetch(self, rows: list[Row]) -> DataFrame:
+        """The indexed articles with the ids and folders of the rows: of their folders and row groups only."""
+        found = self.articles.filter(F.col("__folder").isin(sorted({r["folder"] for r in rows})) & F.col("id").isin([r["id"] for r in rows]))
+        return found.drop("__folder")
+
 
 def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS, idf_of: str | None = None) -> DataFrame:
     """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted; idf_of: see the index.
@@ -198,26 +273,49 @@ def _checked(query: str | None, size: int) -> None:
 def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20, folded: bool = False, index: SearchIndex | None = None, **filters) -> DataFrame:
     """The best `size` articles for a query, with score and highlight.
 
-    Scores come from the index if there is one, else from a scan of the articles. Ranks are settled on ids and scores;
-    only the chosen articles' texts are fetched. Statistics are those of all articles that the role sees, whatever the
-    filters; an index has those of the articles that it was made of.
+    Without an index, scores come from a scan of the articles, ranks are settled on ids and scores, and the chosen articles
+    join; the statistics are those of all articles that the role sees, whatever the filters. With one, scores, roles, filters
+    and texts are those of the index, and statistics those of all articles in it; articles are read only for a filter that
+    its postings don't carry.
     """
     _checked(query, size)
     rows = visible(articles, role)
-    fold = folded if index is None else index.folded
-    wanted = list(dict.fromkeys(_query_tokens(rows, query, fold)))
-    scored = bm25(rows, query, folded, idf_of="content") if index is None else index.bm25(query, idf_of="content")
     best = (F.col("score").desc(), "id")
-    if role != "admin" or any(v is not None for v in filters.values()):
+    if index is not None:
+        return _search_index(index, rows, query, role, size, filters).orderBy(*best).limit(size)
+    wanted = list(dict.fromkeys(_query_tokens(rows, query, folded)))
+    scored = bm25(rows, query, folded, idf_of="content")
+    if any(v is not None for v in filters.values()):
         scored = scored.join(restrict(rows, **filters).select("id"), "id")
-    if index is None:
-        found = rows.join(F.broadcast(scored.orderBy(*best).limit(size)), "id")  # `size` rows
+    found = rows.join(F.broadcast(scored.orderBy(*best).limit(size)), "id")  # `size` rows
+    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), wanted, F.col("idf"), folded)).drop("idf").orderBy(*best)
+
+
+def _search_index(index: SearchIndex, rows: DataFrame, query: str, role: str, size: int, filters: dict) -> DataFrame:
+    filters = {k: v for k, v in filters.items() if v is not None}
+    asked = {"publish_date" if k.startswith("date_") else k for k in filters} | ({"is_canonical"} if role != "admin" else set())
+    if asked <= set(index.carried):
+        kept = None if not asked else _conditions(role, **filters)
+        wanted, top = index.top(query, size, keep=kept, idf_of="content")
     else:
-        # `size` ids at most: as literals, they reach the scan that fetches their articles.
-        top = scored.orderBy(*best).limit(size).collect()
-        kept = rows.sparkSession.createDataFrame([tuple(r) for r in top], scored.schema)
-        found = rows.filter(F.col("id").isin([r["id"] for r in top])).join(F.broadcast(kept), "id")  # `size` rows
-    return found.withColumn("highlight", highlight(F.col("title"), F.col("content"), wanted, F.col("idf"), fold)).drop("idf").orderBy(*best)
+        wanted, top = index.top(query, size, ids=restrict(rows, **filters).select("id"), idf_of="content")
+    found = index.fetch(top)
+    found = found if role == "admin" else found.drop(*HIDDEN_FROM_GUESTS)
+    if not top:
+        return found.select("*", F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("highlight")).limit(0)
+    # `size` ids at most, as literals: no join.
+    marks = F.create_map(*(x for r in top for x in (F.lit(r["id"]), F.struct(F.lit(r["score"]).alias("score"), F.array(*map(F.lit, r["idf"])).alias("idf")))))
+    found = found.withColumn("__mark", F.element_at(marks, F.col("id")))
+    shown = highlight(F.col("title"), F.col("content"), wanted, F.col("__mark.idf"), index.folded)
+    return found.withColumn("score", F.col("__mark.score")).withColumn("highlight", shown).drop("__mark")
+
+
+def _conditions(role: str, category: str | None = None, source: str | None = None, date_from=None, date_to=None) -> Column:
+    held = F.lit(True) if role == "admin" else F.col("is_canonical")
+    for column, value in (("category", category), ("source", source)):
+        held = held if value is None else held & (F.col(column) == value)
+    held = held if date_from is None else held & (F.col("publish_date") >= F.lit(date_from))
+    return held if date_to is None else held & (F.col("publish_date") <= F.lit(date_to))
 
 
 def search_by_entity(articles: DataFrame, text: str, kind: str | None = None, category: str | None = None, role: str = "guest", size: int = 20) -> DataFrame:

@@ -62,6 +62,45 @@ def test_an_index_gives_the_scores_of_a_scan(spark, tmp_path):
     assert len(found) == 5 and [r["score"] for r in found] == sorted((r["score"] for r in found), reverse=True) and "<mark>" in found[0]["highlight"]
 
 
+def test_rare_tokens_first_gives_the_same(spark, tmp_path):
+    rows = dedup.near_dup_groups(A.articles(spark, SMALL), ["id"])
+    search.SearchIndex.write(rows, f"{tmp_path}/index", folders=2)
+    indexes = [search.SearchIndex(spark, f"{tmp_path}/index", rare=rare) for rare in (1, 12, 60)]
+    assert any(i._frequencies(["the", "idiot"], ["title", "content"]) for i in indexes)
+    for query in ("the idiot clown", "the nothingofthekind worthless"):
+        scores = {r["id"]: round(r["score"], 9) for r in indexes[0].bm25(query).collect()}
+        held = {r["id"] for r in rows.filter(search.has_all_tokens(query, ["title", "content"])).collect()}
+        for index in indexes:
+            assert {r["id"] for r in index.all_tokens(query).collect()} == held
+            for size in (2, 100):
+                found = [(r["id"], round(r["score"], 9)) for r in index.top(query, size)[1]]
+                assert [s for _, s in found] == sorted(scores.values(), reverse=True)[:size] and all(scores[i] == s for i, s in found)
+
+
+def test_fetches_and_filters_stay_within_the_index(spark, tmp_path):
+    rows = dedup.near_dup_groups(A.articles(spark, SMALL), ["id"])
+    index = search.SearchIndex.write(rows, f"{tmp_path}/index", folders=4)
+    for filters in ({}, {"category": "en"}, {"date_from": datetime.date(2024, 1, 1), "date_to": datetime.date(2024, 1, 2)}, {"source": rows.first()["source"]}):
+        found = search.search(rows, "the idiot", size=100, index=index, **filters)
+        scores = {r["id"]: r["score"] for r in index.bm25("the idiot").join(search.restrict(rows.filter("is_canonical"), **filters).select("id"), "id").collect()}
+        best = sorted(scores, key=lambda i: (-round(scores[i], 9), i))[:100]
+        made = {r["id"]: r for r in found.collect()}
+        assert set(made) == set(best) and all(abs(made[i]["score"] - scores[i]) < 1e-9 for i in best)
+        texts = {r["id"]: (r["title"], r["content"]) for r in rows.collect()}
+        assert all((r["title"], r["content"]) == texts[i] for i, r in made.items()) and not {"url", "author", "__folder"} & set(found.columns)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "__folder" in plan.split("PartitionFilters: [")[1].split("]")[0] and "id" in plan.split("PushedFilters: [")[1].split("]")[0] and "Join" not in plan
+    # Without the carried columns, roles and filters come from the articles.
+    bare = search.SearchIndex.write(rows.drop("is_canonical", "category"), f"{tmp_path}/bare", folders=2)
+    assert bare.carried == ["source", "publish_date"]
+    again = search.search(rows, "the idiot", size=100, index=bare, category="en")
+    assert {r["id"] for r in again.collect()} == {r["id"] for r in search.search(rows, "the idiot", size=100, index=index, category="en").collect()}
+    none = search.search(rows, "nothingofthekind", index=index)
+    assert none.count() == 0 and none.columns == found.columns
+    empty = search.SearchIndex.write(rows.limit(0), f"{tmp_path}/empty", folders=2)
+    assert search.search(rows, "the", index=empty).count() == 0 and empty.all_tokens("the").count() == 0
+
+
 def test_parameters_are_checked(spark):
     rows = A.articles(spark, SMALL)
     for wrong in (lambda: search.search(rows, " "), lambda: search.search(rows, "x", size=0), lambda: search.search(rows, "x", size=101), lambda: trends.top_keywords(rows, DAY, 0), lambda: trends.hot_keywords(rows, DAY, limit=0), lambda: trends.hourly(rows, DAY, 400)):
