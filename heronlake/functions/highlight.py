@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from heronlake.functions.text import PLAIN_LETTERS
+from heronlake.functions.text import PLAIN_LETTERS, folded_word
 
 WORD = re.compile(r"\w+")
+BOUNDARY = regex.compile(r"(?V1w)\b")
 _TABLE = str.maketrans(PLAIN_LETTERS)
 
 
@@ -21,14 +24,20 @@ def folded(word: str) -> str:
     return "".join(c for c in word.lower().translate(_TABLE) if unicodedata.category(c) != "Mn")
 
 
-def hits(text: str, terms: dict[str, float], fold: bool = False) -> list[tuple[int, int, str]]:
-    """(start, end, term) of the words that are terms, in order."""
-    found = []
-    for m in WORD.finditer(text):
-        word = folded(m[0]) if fold else m[0].lower()
-        if word in terms:
-            found.append((m.start(), m.end(), word))
-    return found
+def _words(text: str, fold: bool | str) -> Iterator[tuple[int, int, str]]:
+    if fold == "words":
+        at = 0
+        for word in BOUNDARY.split(text):
+            yield at, at + len(word), folded_word(word)
+            at += len(word)
+    else:
+        for m in WORD.finditer(text):
+            yield m.start(), m.end(), folded(m[0]) if fold else m[0].lower()
+
+
+def hits(text: str, terms: dict[str, float], fold: bool | str = False) -> list[tuple[int, int, str]]:
+    """(start, end, term) of the words that are terms, in order. With fold "words", Thai has no hits: its words need a dictionary."""
+    return [w for w in _words(text, fold) if w[2] in terms]
 
 
 def best_passage(found: list[tuple[int, int, str]], terms: dict[str, float], size: int) -> int | None:
@@ -67,7 +76,7 @@ def marked(text: str, found: list[tuple[int, int, str]], start: int, end: int) -
     return "".join([*out, text[at:end]])
 
 
-def fragment(title: str | None, content: str | None, terms: dict[str, float], fold: bool = False, size: int = 150) -> str | None:
+def fragment(title: str | None, content: str | None, terms: dict[str, float], fold: bool | str = False, size: int = 150) -> str | None:
     """The content's best passage, or else the whole title, with the hits marked; None where neither has one."""
     if found := hits(content or "", terms, fold):
         start = best_passage(found, terms, size)
@@ -76,7 +85,7 @@ def fragment(title: str | None, content: str | None, terms: dict[str, float], fo
     return marked(title, found, 0, len(title)) if found else None
 
 
-def highlight(title: Column, content: Column, tokens: list[str], weights: Column, fold: bool = False, size: int = 150) -> Column:
+def highlight(title: Column, content: Column, tokens: list[str], weights: Column, fold: bool | str = False, size: int = 150) -> Column:
     """fragment as a column; weights holds an array with a weight for each token."""
 
     @F.pandas_udf(StringType())

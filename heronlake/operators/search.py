@@ -18,7 +18,7 @@ K1, B = 1.2, 0.75
 BOOSTS = {"title": 3.0, "content": 1.0}
 
 
-def has_all_tokens(query: str, columns: list[str], folded: bool = False) -> Column:
+def has_all_tokens(query: str, columns: list[str], folded: bool | str = False) -> Column:
     """Whether the columns together hold every token of the query."""
     text = F.concat_ws(" ", *columns)
     wanted = tokens(F.lit(query), folded)
@@ -56,7 +56,7 @@ CARRIED = ("is_canonical", "category", "source", "publish_date")
 RARE_IDS = 250_000
 
 
-def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool | str = False, carried: tuple[str, ...] = ()) -> DataFrame:
     """(field, token, id, tf, len, carried columns): how often a token stands in a field of an article, and how many tokens that has."""
     parts = None
     for field in fields:
@@ -87,7 +87,7 @@ class SearchIndex:
         self.statistics = {r["field"]: (r["docs"], r["mean"]) for r in spark.read.parquet(f"{path}/fields").collect()}
 
     @classmethod
-    def write(cls, articles: DataFrame, path: str, folded: bool = False, boosts: dict[str, float] | None = None, folders: int = TOKEN_FOLDERS) -> SearchIndex:
+    def write(cls, articles: DataFrame, path: str, folded: bool | str = False, boosts: dict[str, float] | None = None, folders: int = TOKEN_FOLDERS) -> SearchIndex:
         """Index the fields of articles under path, which must not exist, and open the index."""
         spark, fields, carried = articles.sparkSession, tuple(boosts or BOOSTS), tuple(c for c in CARRIED if c in articles.columns)
         kept = articles.withColumn("__folder", _folder(F.col("id"), folders))
@@ -207,7 +207,7 @@ class SearchIndex:
         return found.drop("__folder")
 
 
-def bm25(articles: DataFrame, query: str, folded: bool = False, boosts: dict[str, float] = BOOSTS, idf_of: str | None = None) -> DataFrame:
+def bm25(articles: DataFrame, query: str, folded: bool | str = False, boosts: dict[str, float] = BOOSTS, idf_of: str | None = None) -> DataFrame:
     """(id, score) of the articles with at least one token of the query: the best field's BM25, boosted; idf_of: see the index.
 
     Only the query's tokens leave the scan, as counts in each document's row: no token is shuffled. The statistics
@@ -270,7 +270,7 @@ def _checked(query: str | None, size: int) -> None:
         raise ValueError(f"size must be from 1 to {MAX_SIZE}, not {size}")
 
 
-def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20, folded: bool = False, index: SearchIndex | None = None, **filters) -> DataFrame:
+def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20, folded: bool | str = False, index: SearchIndex | None = None, **filters) -> DataFrame:
     """The best `size` articles for a query, with score and highlight.
 
     Without an index, scores come from a scan of the articles, ranks are settled on ids and scores, and the chosen articles

@@ -220,6 +220,11 @@ SELECT articles AS articles_before, articles AS articles_after, 0::BIGINT AS ent
 }
 
 SQL["sch1_bm25_indexed"] = SQL["sch1_bm25"]
+SQL["sch1_guest_indexed"] = f"""WITH s AS ({SQL["sch1_bm25"]})
+SELECT id, title, md5(content) AS content, score FROM s JOIN (SELECT id, title, content FROM ({DUP}) WHERE is_canonical AND category = 'en' AND publish_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-02') USING (id)
+ORDER BY score DESC, id LIMIT 50"""
+SQL["agg17_length_percentiles"] = """SELECT source, round(quantile_cont(length(text), 0.1), 6) AS p10, round(quantile_cont(length(text), 0.5), 6) AS median, round(quantile_cont(length(text), 0.95), 6) AS p95,
+  round(quantile_cont(length(text), 0.999), 6) AS p999 FROM documents GROUP BY 1"""
 SQL["sch2_all_tokens_indexed"] = SQL["sch2_all_tokens"]
 SQL["sch3_token_count"] = f"SELECT count(*) AS n FROM (SELECT {TOKENS} AS t FROM ({ART})) WHERE list_contains(t, 'the') AND list_contains(t, 'and') AND list_contains(t, 'of')"
 SQL["flt12_like_indexed"] = SQL["flt12_like"]

@@ -15,7 +15,7 @@ from heronlake.functions import text as X
 from heronlake.functions import times as TM
 from heronlake.functions import urls as U
 from heronlake.functions import vocab as V
-from heronlake.operators import access, cleaning, dedup, load, profile, reports, rollups, search, substring, tagging, trends
+from heronlake.operators import access, cleaning, dedup, load, profile, ranks, reports, rollups, search, substring, tagging, trends
 from heronlake.plans import adapters as A
 from heronlake.sources import catalog, feed_source, legacy_csv, rss, stored, tables
 from heronlake.sources.html_article import extract_articles
@@ -37,6 +37,10 @@ def _shared(s: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}" if base else "file://" + tempfile.mkdtemp(prefix=f"heronlake-{name}-") + "/data"
 
 
+#: Lines that tok1_words puts before texts.
+PLANTED_WORDS = ("Đường Nguyễn Ê-kíp", "我们喜欢北京。", "ﬁne ｆｕｌｌ Ⅳ ① Straße", "don't U.S.A. 1,000.5 rock·n·roll", "カタカナ ひらがな 한국어", "")
+
+
 def _joined(x: Column) -> Column:
     return F.array_join(x, "|")
 
@@ -405,6 +409,13 @@ def agg17_length_profile(s: SparkSession, d: str) -> DataFrame:
     return profile.length_profile(A.articles(s, d))
 
 
+@query
+def agg17_length_percentiles(s: SparkSession, d: str) -> DataFrame:
+    rows = A.table(s, d, "documents").select("source", F.length("text").alias("length"))
+    made = ranks.percentiles(rows, ["source"], "length", {"p10": 0.1, "median": 0.5, "p95": 0.95, "p999": 0.999})
+    return made.select("source", *(F.round(c, 6).alias(c) for c in ("p10", "median", "p95", "p999")))
+
+
 @query
 def agg18_presence(s: SparkSession, d: str) -> DataFrame:
     return profile.presence(dedup.near_dup_groups(A.articles(s, d), ["id"]))
@@ -519,6 +530,16 @@ def sch1_bm25_indexed(s: SparkSession, d: str) -> DataFrame:
     return index.bm25("the idiot").select("id", F.round("score", 6).alias("score"))
 
 
+@query
+def sch1_guest_indexed(s: SparkSession, d: str) -> DataFrame:
+    """A guest's filtered search: role, filters and texts from the index alone."""
+    rows = dedup.near_dup_groups(A.articles(s, d), ["id"])
+    index = search.SearchIndex.write(rows, _shared(s, "index"))
+    day = datetime.date(2024, 1, 1)
+    found = search.search(rows, "the idiot", size=50, index=index, category="en", date_from=day, date_to=day + datetime.timedelta(days=1))
+    return found.select("id", "title", F.md5("content").alias("content"), F.round("score", 6).alias("score"))
+
+
 @query
 def sch2_all_tokens_indexed(s: SparkSession, d: str) -> DataFrame:
     return search.SearchIndex.write(A.articles(s, d), _shared(s, "index")).all_tokens("The of")
@@ -536,6 +557,14 @@ def tok1_folded_tokens(s: SparkSession, d: str) -> DataFrame:
     return rows.select("id", _joined(X.tokens(F.col("title"), folded=True)).alias("tokens"))
 
 
+@query
+def tok1_words(s: SparkSession, d: str) -> DataFrame:
+    """Words of whole documents behind a line of their own, in several scripts and forms."""
+    planted = F.concat(F.element_at(F.array(*map(F.lit, PLANTED_WORDS)), (F.col("doc_id") % len(PLANTED_WORDS) + 1).cast("int")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    found = A.table(s, d, "documents").select("doc_id", X.word_tokens(planted).alias("t"))
+    return found.select("doc_id", F.size("t").cast("long").alias("n_words"), F.md5(_joined(F.col("t"))).alias("words"))
+
+
 @query
 def flt04_search_documents(s: SparkSession, d: str) -> DataFrame:
     kept = search.search_documents(A.articles(s, d).withColumn("language", F.lit("vi")))
