@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
+import xxhash
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -110,10 +112,8 @@ class SearchIndex:
 
     def look_up(self, query: str) -> tuple[list[str], DataFrame]:
         """(tokens of the query, their postings)."""
-        # A local relation: the analyzer runs while the plan is made, without a job.
-        one = self.spark.sql("SELECT q FROM VALUES (:q) AS t(q)", args={"q": query}).select(F.array_distinct(tokens(F.col("q"), self.folded)).alias("t"))
-        found = one.select("t", F.transform("t", lambda x: _folder(x, self.folders)).alias("f")).first()
-        wanted, folders = found["t"], sorted(set(found["f"]))
+        wanted = query_tokens(self.spark, query, self.folded)
+        folders = self._folders(wanted)
         return wanted, self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
 
     def _frequencies(self, wanted: list[str], fields: list[str]) -> dict[str, dict[str, int]] | None:
@@ -126,9 +126,10 @@ class SearchIndex:
             found[r["token"]][r["field"]] = r["df"]
         return found
 
-    def _folders(self, values: list) -> list[int]:
-        one = self.spark.range(1).select(F.array(*(_folder(F.lit(v), self.folders) for v in values)).alias("f"))
-        return sorted(set(one.first()["f"]))
+    def _folders(self, wanted: list[str]) -> list[int]:
+        # What _folder gives for strings: XXH64 of UTF-8 with seed 42, as a signed number.
+        hashes = (xxhash.xxh64_intdigest(t.encode(), seed=42) for t in wanted)
+        return sorted({(h - (h >> 63 << 64)) % self.folders for h in hashes})
 
     def all_tokens(self, query: str, fields: tuple[str, ...] = ("title", "content")) -> DataFrame:
         """(id) of the articles whose fields together hold every token of the query; none for a query without tokens.
@@ -213,7 +214,7 @@ def bm25(articles: DataFrame, query: str, folded: bool | str = False, boosts: di
     Only the query's tokens leave the scan, as counts in each document's row: no token is shuffled. The statistics
     (documents, mean lengths, document frequencies) are one aggregate of a single row.
     """
-    wanted = list(dict.fromkeys(_query_tokens(articles, query, folded)))
+    wanted = query_tokens(articles.sparkSession, query, folded)
     if not wanted:
         none = [F.array().cast("array<double>").alias("idf")] if idf_of else []
         return articles.select("id", F.lit(0.0).alias("score"), *none).limit(0)
@@ -254,9 +255,14 @@ def _occurrences(column: str, token: str) -> Column:
     return F.size(F.filter(column, lambda x: x == token))
 
 
-def _query_tokens(articles: DataFrame, query: str, folded: bool) -> list[str]:
-    # A local relation: the analyzer runs while the plan is made, without a job.
-    return articles.sparkSession.sql("SELECT q FROM VALUES (:q) AS t(q)", args={"q": query}).select(tokens(F.col("q"), folded).alias("t")).first()["t"]
+def query_tokens(spark: SparkSession, query: str, folded: bool | str) -> list[str]:
+    """The distinct tokens of a query, in order."""
+    if query.isascii() and folded != "words":
+        found = (t for t in re.split(r"[^a-z0-9_]+", query.lower()) if t)
+    else:
+        # A local relation: the analyzers but that of words run while the plan is made, without a job.
+        found = spark.sql("SELECT q FROM VALUES (:q) AS t(q)", args={"q": query}).select(tokens(F.col("q"), folded).alias("t")).first()["t"]
+    return list(dict.fromkeys(found))
 
 
 #: Results that one search may ask for, at most.
@@ -283,7 +289,7 @@ def search(articles: DataFrame, query: str, role: str = "guest", size: int = 20,
     best = (F.col("score").desc(), "id")
     if index is not None:
         return _search_index(index, rows, query, role, size, filters).orderBy(*best).limit(size)
-    wanted = list(dict.fromkeys(_query_tokens(rows, query, folded)))
+    wanted = query_tokens(rows.sparkSession, query, folded)
     scored = bm25(rows, query, folded, idf_of="content")
     if any(v is not None for v in filters.values()):
         scored = scored.join(restrict(rows, **filters).select("id"), "id")
@@ -303,9 +309,9 @@ def _search_index(index: SearchIndex, rows: DataFrame, query: str, role: str, si
     found = found if role == "admin" else found.drop(*HIDDEN_FROM_GUESTS)
     if not top:
         return found.select("*", F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("highlight")).limit(0)
-    # `size` ids at most, as literals: no join.
-    marks = F.create_map(*(x for r in top for x in (F.lit(r["id"]), F.struct(F.lit(r["score"]).alias("score"), F.array(*map(F.lit, r["idf"])).alias("idf")))))
-    found = found.withColumn("__mark", F.element_at(marks, F.col("id")))
+    # `size` ids at most, as one literal: no join, and one call to the JVM.
+    marks = F.from_json(F.lit(json.dumps({str(r["id"]): {"score": r["score"], "idf": r["idf"]} for r in top})), "map<string, struct<score: double, idf: array<double>>>")
+    found = found.withColumn("__mark", F.element_at(marks, F.col("id").cast("string")))
     shown = highlight(F.col("title"), F.col("content"), wanted, F.col("__mark.idf"), index.folded)
     return found.withColumn("score", F.col("__mark.score")).withColumn("highlight", shown).drop("__mark")
 

@@ -77,6 +77,17 @@ def test_rare_tokens_first_gives_the_same(spark, tmp_path):
                 assert [s for _, s in found] == sorted(scores.values(), reverse=True)[:size] and all(scores[i] == s for i, s in found)
 
 
+def test_query_tokens_and_folders_are_those_of_the_analyzer(spark):
+    index = object.__new__(search.SearchIndex)
+    index.folders = 1000
+    queries = ["The  IDIOT_1 the, don't", "Đường ĐƯỜNG 北京 \U0001f600a", "...", "a" * 100 + " \t\nB\x00c\x7f"]
+    rows = spark.createDataFrame([(i, q) for i, q in enumerate(queries)], "i int, q string")
+    for fold in (False, True, "words"):
+        made = rows.select("i", F.array_distinct(search.tokens(F.col("q"), fold)).alias("t")).select("i", "t", F.array_sort(F.array_distinct(F.transform("t", lambda t: search._folder(t, 1000)))).alias("f"))
+        for r in made.collect():
+            assert search.query_tokens(spark, queries[r["i"]], fold) == r["t"] and index._folders(r["t"]) == r["f"]
+
+
 def test_fetches_and_filters_stay_within_the_index(spark, tmp_path):
     rows = dedup.near_dup_groups(A.articles(spark, SMALL), ["id"])
     index = search.SearchIndex.write(rows, f"{tmp_path}/index", folders=4)
