@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Ranges that a group's distinct values are cut into; one task sorts those of one range.
 RANGES = 128
+#: Values for each range that a group's cuts are chosen from.
+SAMPLE = 10
 
 
 def values_at(rows: DataFrame, keys: list[str], value: str, ranks: dict[str, Column], ranges: int = RANGES) -> DataFrame:
@@ -16,15 +18,19 @@ def values_at(rows: DataFrame, keys: list[str], value: str, ranks: dict[str, Col
     whose ranks lie outside, or which has no values, has no row. Without keys there is one row, of nulls if need be. Null
     keys are a group; NaN is the greatest value. Other columns, whatever their names, play no part.
 
-    Equal values are counted first. A sketch cuts the distinct values of a group into ranges, an exact histogram tells which
-    ranges hold the ranks, and only these are sorted. The sketch settles how even the ranges are, never a result.
+    Equal values are counted first. A sample by hash cuts the distinct values of a group into ranges, an exact histogram tells
+    which ranges hold the ranks, and only these are sorted. The sample settles how even the ranges are, never a result. The cuts
+    are needed twice and may be made twice, so they follow from the values alone; a sketch's follow from the order of merging too.
     """
     names = [f"__k{i}" for i in range(len(keys))]
     rows = rows.filter(F.col(value).isNotNull()).select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(value).alias("__v"))
     counts = rows.groupBy(*names, "__v").agg(F.count("*").alias("__c"))
-    cuts = [(i + 1) / ranges for i in range(ranges - 1)]
-    bounds = counts.groupBy(*names).agg(F.percentile_approx("__v", cuts, 10 * ranges).alias("__cuts"), F.sum("__c").alias("n"))
-    placed = join_groups(counts, bounds.withColumn("__cuts", F.array_distinct("__cuts")), names)
+    distinct = counts.groupBy(*names).agg(F.count("*").alias("__m"))
+    # About SAMPLE values for each range, of a group with fewer values all.
+    chosen = F.when(F.pmod(F.xxhash64("__v"), F.col("__m")) < SAMPLE * ranges, F.col("__v"))
+    bounds = join_groups(counts, distinct, names).groupBy(*names).agg(F.sort_array(F.collect_list(chosen)).alias("__chosen"), F.sum("__c").alias("n"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("__chosen", F.floor(i * F.size("__chosen") / ranges).cast("int")))
+    placed = join_groups(counts, bounds.withColumn("__cuts", F.array_distinct(at)).drop("__chosen"), names)
     placed = placed.withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
     # At most `ranges` rows a group.
     sizes = placed.groupBy(*names, "__range").agg(F.sum("__c").alias("__size"), F.first("n").alias("n"))
