@@ -60,16 +60,30 @@ def clean_entity(entity: Column) -> Column:
     return F.when(keep, F.struct(new_text.alias("text"), new_type.alias("type")))
 
 
+def _with(value: Column, use) -> Column:
+    """use(value), with the value computed once: what a lambda takes from outside is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _first_of_each(items: Column, key) -> Column:
+    """The items whose key is the first of its kind, in order, by one sort of the keys."""
+
+    def firsts(own: Column) -> Column:
+        placed = F.sort_array(F.transform(own, lambda e, i: F.struct(key(e).alias("k"), i.alias("i"))))
+        kept = _with(placed, lambda p: F.filter(p, lambda x, j: (j == 0) | ~F.get(p, j - 1)["k"].eqNullSafe(x["k"])))
+        return F.transform(F.sort_array(F.transform(kept, lambda x: x["i"])), lambda i: F.get(own, i))
+
+    return _with(items, firsts)
+
+
 def distinct_entities(entities: Column) -> Column:
     """First of each lower-cased text and type, in order."""
-    keys = F.transform(entities, lambda e: F.struct(F.lower(e["text"]), e["type"]))
-    return F.filter(entities, lambda e, i: F.array_position(keys, F.struct(F.lower(e["text"]), e["type"])) == i + 1)
+    return _first_of_each(entities, lambda e: F.struct(F.lower(e["text"]), e["type"]))
 
 
 def distinct_keywords(keywords: Column) -> Column:
     """First of each lower-cased keyword, in order."""
-    low = F.transform(keywords, F.lower)
-    return F.filter(keywords, lambda k, i: F.array_position(low, F.lower(k)) == i + 1)
+    return _first_of_each(F.filter(keywords, lambda k: k.isNotNull()), F.lower)
 
 
 def clean_entities(entities: Column) -> Column:
