@@ -74,7 +74,9 @@ def best_paths(scores: list[np.ndarray], steps: np.ndarray) -> list[np.ndarray]:
     if not order:
         return out
     longest, n_tags = len(scores[order[0]]), steps.shape[1]
-    alive = [sum(len(scores[k]) > i for k in order) for i in range(longest)]
+    lengths = np.array([len(scores[k]) for k in order])
+    # How many sentences have a token i; counted once, as one long sentence would have all others counted for each of its tokens.
+    alive = np.bincount(lengths, minlength=longest + 1)[::-1].cumsum()[::-1][1:].tolist()
     now = np.stack([scores[k][0] for k in order]) + steps[-1]
     back = []
     finals = np.empty((len(order), n_tags))
