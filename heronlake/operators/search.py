@@ -58,14 +58,27 @@ CARRIED = ("is_canonical", "category", "source", "publish_date")
 RARE_IDS = 250_000
 
 
-def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool | str = False, carried: tuple[str, ...] = ()) -> DataFrame:
-    """(field, token, id, tf, len, carried columns): how often a token stands in a field of an article, and how many tokens that has."""
+def _counted(articles: DataFrame, fields: tuple[str, ...], folded: bool | str, carried: tuple[str, ...]) -> DataFrame:
+    """(id, carried columns, field, len, token, tf) of articles, a row for each distinct token of a field.
+
+    An article's tokens stand in one row, so they are counted where they are made: sorted, and cut where they change.
+    """
     parts = None
     for field in fields:
-        own = articles.select(F.lit(field).alias("field"), "id", *carried, tokens(F.col(field), folded).alias("t"))
-        own = own.select("field", "id", *carried, F.size("t").alias("len"), F.explode("t").alias("token"))
+        own = articles.select("id", *carried, F.lit(field).alias("field"), F.sort_array(tokens(F.col(field), folded)).alias("t"))
+        # The places of a token's first occurrences, and behind the last one the end.
+        first = F.filter(F.sequence(F.lit(0), F.size("t") - 1), lambda i: (i == 0) | (F.get("t", i) != F.get("t", i - 1)))
+        own = own.filter(F.size("t") > 0).withColumn("at", F.concat(first, F.array(F.size("t"))))
+        runs = F.transform(F.slice("at", 1, F.size("at") - 1), lambda i, k: F.struct(F.get("t", i).alias("token"), (F.get("at", k + 1) - i).cast("long").alias("tf")))
+        own = own.select("id", *carried, "field", F.size("t").alias("len"), F.explode(runs).alias("run")).select("id", *carried, "field", "len", "run.token", "run.tf")
         parts = own if parts is None else parts.unionByName(own)
-    return parts.groupBy("field", "token", "id").agg(F.count("*").alias("tf"), F.first("len").alias("len"), *(F.first(c).alias(c) for c in carried))
+    return parts
+
+
+def postings(articles: DataFrame, fields: tuple[str, ...] = ("title", "content"), folded: bool | str = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(field, token, id, tf, len, carried columns): how often a token stands in a field of an article, and how many tokens that
+    has. Nothing is shuffled; an id stands for one article."""
+    return _counted(articles, fields, folded, carried).select("field", "token", "id", "tf", "len", *carried)
 
 
 def _folder(value: Column, folders: int) -> Column:
@@ -73,8 +86,8 @@ def _folder(value: Column, folders: int) -> Column:
 
 
 class SearchIndex:
-    """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, each with its
-    token's document frequency and the columns that roles and filters ask for; the frequencies alone; the articles in folders
+    """A written inverted index of articles: postings in folders by the hash of their token, sorted by token, each with
+    the columns that roles and filters ask for; the document frequencies of the tokens; the articles in folders
     by the hash of their id, sorted by id; and one row of statistics for each field. A query reads the folders of its tokens
     and, in them, the row groups of its tokens; a fetch the folders and row groups of its ids."""
 
@@ -94,27 +107,30 @@ class SearchIndex:
         spark, fields, carried = articles.sparkSession, tuple(boosts or BOOSTS), tuple(c for c in CARRIED if c in articles.columns)
         kept = articles.withColumn("__folder", _folder(F.col("id"), folders))
         kept.hint("rebalance", "__folder").sortWithinPartitions("__folder", "id").write.partitionBy("__folder").parquet(f"{path}/articles")
-        postings(spark.read.schema(kept.schema).parquet(f"{path}/articles"), fields, folded, carried).write.parquet(f"{path}/counts")
-        rows = spark.read.parquet(f"{path}/counts")
-        df = rows.groupBy("field", "token").agg(F.count("*").alias("df")).withColumn("folder", _folder(F.col("token"), folders))
+        stored = spark.read.schema(kept.schema).parquet(f"{path}/articles")
+        rows = postings(stored, fields, folded, carried).withColumn("folder", _folder(F.col("token"), folders))
+        # The only shuffle of postings; a frequent token may spread over several files of its folder.
+        rows.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "id").write.option("compression", "zstd").partitionBy("folder").parquet(f"{path}/postings")
+        written = spark.read.schema(rows.schema).parquet(f"{path}/postings")
+        df = written.groupBy("field", "token").agg(F.count("*").alias("df")).withColumn("folder", _folder(F.col("token"), folders))
         df.hint("rebalance", "folder").sortWithinPartitions("folder", "token").write.partitionBy("folder").parquet(f"{path}/tokens")
-        schemas = {"articles": kept.schema, "tokens": df.schema}
-        df = spark.read.schema(df.schema).parquet(f"{path}/tokens").select(F.col("field").alias("__f"), F.col("token").alias("__t"), "df")
-        # Spark splits a frequent token's side of the join, and it may spread over several files of its folder.
-        rows = rows.join(df, (F.col("field") == F.col("__f")) & (F.col("token") == F.col("__t"))).drop("__f", "__t")
-        rows = rows.withColumn("folder", _folder(F.col("token"), folders))
-        rows.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "id").write.partitionBy("folder").parquet(f"{path}/postings")
-        lengths = spark.read.parquet(f"{path}/counts").groupBy("field", "id").agg(F.first("len").alias("len"))
+        schemas = {"articles": kept.schema, "tokens": df.schema, "postings": rows.schema}
+        lengths = None
+        for field in fields:
+            own = stored.select(F.lit(field).alias("field"), F.size(tokens(F.col(field), folded)).alias("len")).filter("len > 0")
+            lengths = own if lengths is None else lengths.unionByName(own)
         lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("mean")).write.parquet(f"{path}/fields")
-        schemas["postings"] = rows.schema
         spark.range(1).select(F.lit(folded).alias("folded"), F.lit(folders).alias("folders"), *(F.lit(v.json()).alias(k) for k, v in schemas.items())).write.json(f"{path}/options")
         return cls(spark, path)
 
     def look_up(self, query: str) -> tuple[list[str], DataFrame]:
         """(tokens of the query, their postings)."""
         wanted = query_tokens(self.spark, query, self.folded)
-        folders = self._folders(wanted)
-        return wanted, self.postings.filter(F.col("folder").isin(folders) & F.col("token").isin(wanted))
+        mine = F.col("folder").isin(self._folders(wanted)) & F.col("token").isin(wanted)
+        # A row for each field and token of the query.
+        df = self.tokens.filter(mine).select(F.col("field").alias("__f"), F.col("token").alias("__t"), "df")
+        hits = self.postings.filter(mine).join(F.broadcast(df), (F.col("field") == F.col("__f")) & (F.col("token") == F.col("__t")))
+        return wanted, hits.drop("__f", "__t")
 
     def _frequencies(self, wanted: list[str], fields: list[str]) -> dict[str, dict[str, int]] | None:
         """Document frequencies of the tokens by field; None, without a job, where all their postings are few anyhow."""
