@@ -602,11 +602,13 @@ def src2_jsonl_round_trip(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def src4_file_order(s: SparkSession, d: str) -> DataFrame:
-    """Rows of two files with equal titles: the first file in the list wins, and in it the first line."""
+    """Rows of two sets of files with equal titles: the first set in the list wins, and in it the first line.
+
+    Files of a set are ranges of its order, named in that order, so no task sorts or writes a whole set."""
     base, rows = _shared(s, "order"), A.articles(s, d).select("id", "title", "source")
     parts = []
     for rank, part in enumerate((rows.filter("id % 2 = 1"), rows.filter("id % 2 = 0"))):
-        part.coalesce(1).orderBy(F.col("id").desc()).coalesce(1).write.json(f"{base}/{rank}")
+        part.orderBy(F.col("id").desc()).write.json(f"{base}/{rank}")
         parts.append(tables.with_sequence(tables.read_jsonl(s, f"{base}/{rank}"), rank))
     return dedup.first_wins(tables.union_all(*parts), "title", ["_seq"]).select("title", F.col("id").cast("long").alias("id"))
 
