@@ -77,9 +77,14 @@ def folded_word(t: str) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFKD", once).translate(_DROPPED))
 
 
+def folded_text(t: str) -> str:
+    """folded_word of a text line by line, as nothing composes across a line feed: lines of ASCII are only lower-cased."""
+    return "\n".join(w.lower() if w.isascii() else folded_word(w) for w in t.split("\n"))
+
+
 @F.pandas_udf(StringType())
 def _fold_others(x: pd.Series) -> pd.Series:
-    return x.map(folded_word, na_action="ignore")
+    return x.map(folded_text, na_action="ignore")
 
 
 def fold_fully(x: Column) -> Column:

@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from heronlake.functions import entities as E
+from heronlake.functions import text as X
 from heronlake.operators import tagging
 
 
@@ -37,3 +38,10 @@ def test_one_long_sentence_among_many():
     assert time.time() - began < 4
     assert [len(x) for x in found] == [len(x) for x in scores]
     assert all((a == tagging.best_paths([s], steps)[0]).all() for a, s in zip(found[:40], scores[:40], strict=True))
+
+
+def test_folding_line_by_line():
+    r = random.Random(2)
+    letters = ["a", "B", " ", "\n", "é", "e\u0301", "\u0301", "İ", "ſ", "ß", "ﬁ", "Ⅳ", "đ", "ς", "Σ", "\u1100", "\u1161", "\u0323", "Z9"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(12))) for _ in range(5000)]
+    assert [X.folded_text(t) for t in texts] == [X.folded_word(t) for t in texts]
