@@ -130,3 +130,11 @@ def test_bio_tags_merge(spark):
     rows = spark.createDataFrame([(tags,), ([],)], "tags array<struct<token:string,tag:string>>")
     found = [[tuple(e) for e in r[0]] for r in rows.select(E.merge_bio(F.col("tags"))).collect()]
     assert found == [[("Hồ Minh", "PER"), ("Hà", "LOC"), ("Nội", "LOC"), ("x y", "ORG")], []]
+
+
+def test_rows_of_one_category_stay_in_their_tasks(spark):
+    """A join by the raw value would deal all of them to one task, and need their source twice."""
+    rows = spark.range(0, 400, 1, 4).select("id", F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 50 == 1, "zzz").otherwise("The-Thao").alias("raw"), F.lit("old").alias("label"))
+    made = C.with_category(rows, "raw", "label")
+    assert made.columns == ["id", "raw", "label"] and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {(r["part"], r["label"]): r["n"] for r in made.groupBy(F.spark_partition_id().alias("part"), "label").agg(F.count("*").alias("n")).collect()} == {(k, v): n for k in range(4) for v, n in (("other", 4), ("sports", 96))}
