@@ -22,8 +22,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts linked by a similarity of 0.8 over five-word shingles the document with the smallest id.
 
-    Texts meet by min-hashes, long SimHash fingerprints rank those that meet, and whole sets of shingles decide; the README
-    says why SimHash alone can't find these pairs.
+    Texts meet by segments of long SimHash fingerprints, whose pigeonring has budgets for every chain from there; whole sets of
+    shingles decide.
     """
     return near_dedup.drop_near_copies(docs)
 

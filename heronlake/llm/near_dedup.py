@@ -4,17 +4,22 @@ Texts link when the Jaccard similarity of their sets of shingles is `similarity`
 simhash's: lower-cased (A-Z) runs of characters that aren't ASCII white space, hashed by XXH64. Groups are the connected
 components of the links.
 
-Candidates: min-hashes of a set, ROWS to a band; texts meet that are equal in a band. A pair at similarity s is equal in a
-band with a chance of s^ROWS, so BANDS bands miss a pair at 0.8 with a chance of 1.1e-6, and pairs over it more rarely.
-Bits of a SimHash can't take their place: at 0.8 they differ with a chance of about 0.15 each, too many for keys.
-
-But a long SimHash ranks what meets: a bucket is spanned by a tree of the smallest Hamming distances between its
-fingerprints, and each text adds its NEAREST; distances that a pair at the threshold exceeds with a chance of 1e-5 are
-left out. So a bucket yields a few pairs a text, never all of them. A bucket of over BUCKET texts is dealt as pairs of
-blocks to several tasks; trees of all pairs of blocks hold a tree of the whole.
-
-Every such pair is verified by its whole sets before it links. A link is lost only if it is neither among its texts'
-nearest nor in the tree, and no row of verified pairs connects them.
+Candidates: a long SimHash of the set is a ring of segments, as in simhash, and texts meet that are equal in a segment. From
+there the pigeonring's chains decide: each longer chain of bits from that start has a budget of differences, and a
+pair that exceeds one is left out at that start. At 0.8 a bit differs with a chance of 0.15 (0.1875 for the worst sizes of
+sets, four shingles of five), so no budgets that hold for certain leave a segment free of differences, and these are drawn from
+the chance instead: Ring takes as many segments as miss a pair at 0.8 with a chance of MISS, by the worst sizes; pairs over
+it are missed more rarely. A segment has half the bits of the number of texts, so that about the square root of that
+number, or twice it, meet by chance.
+
+Of the pairs that keep their chains, those go on whose first BITS of the ring differ in no more bits than a pair at the threshold
+exceeds with a chance of 1e-5. A bucket whose texts have up to NEAREST such partners each yields all its pairs. A denser
+one is spanned by a tree of the smallest Hamming distances, and each text adds its NEAREST, so it yields a few pairs a text. A
+bucket of over BUCKET texts is dealt as pairs of blocks to several tasks; trees of all pairs of blocks hold a tree
+of the whole.
+
+Every such pair is verified by its whole sets before it links. In a crowd a link is lost only if it is
+neither among its texts' nearest nor in the tree, and no row of verified pairs connects them.
 
 Defined cases: texts with equal sets are one node from the start; texts without words, empty or null have equal (empty)
 sets; fewer words than a shingle make one shingle; rows may repeat; rows without an id stay.
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +41,12 @@ from heronlake.llm.components import connected_components
 from heronlake.llm.simhash import shingle_hashes
 from heronlake.llm.support import let_go, row_hash, written
 
-WIDTH, ROWS, BANDS, SEED = 5, 4, 26, 9
+WIDTH, SEED = 5, 9
 SIMILARITY = Fraction(4, 5)
 #: Bits of the fingerprints that rank the texts of a bucket, the pairs that each adds, and the texts that a task compares.
-BITS, NEAREST, BUCKET = 512, 6, 1 << 12
+BITS, NEAREST, BUCKET = 256, 6, 1 << 13
+#: The chance of missing a pair at the similarity, and the bits after a start's segment at which its chains are judged.
+MISS, CHAIN = 1e-6, (16, 32, 48, 64)
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -51,39 +59,94 @@ def digest(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
 
 
-def factors() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def binomial(n: int, p: float) -> list[float]:
+    return [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
+@cache
+def differ(similarity: Fraction, sizes: int = 32) -> float:
+    """The highest chance that a bit of two fingerprints differs at this similarity, over all pairs of sizes up to `sizes`, and
+    for large sets that of the angle between them."""
+    worst = math.acos(2 * float(similarity) / (1 + float(similarity))) / math.pi
+    for a in range(1, sizes + 1):
+        for b in range(a, sizes + 1):
+            c = math.ceil(similarity * (a + b) / (1 + similarity))
+            if c > a:
+                break
+            more = [(n, binomial(n - c, 0.5)) for n in (a, b)]
+            total = 0.0
+            for x, chance in enumerate(binomial(c, 0.5)):
+                p, q = (sum(w for k, w in enumerate(own) if 2 * (x + k) > n) for n, own in more)
+                total += chance * (p * (1 - q) + q * (1 - p))
+            worst = max(worst, total)
+    return worst
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """(sets, BANDS) keys; equal ones meet."""
-    by, least = factors(), np.full((len(sets), ROWS * BANDS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for k, hashes in enumerate(sets):
-        for at in range(0, len(hashes), 256):
-            np.minimum(least[k], (hashes[at : at + 256, None] * by).min(axis=0), out=least[k])
-    least = least.reshape(len(sets), BANDS, ROWS)
-    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(sets), BANDS)).copy()
-    for r in range(ROWS):
-        keys = (keys ^ least[:, :, r]) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
-    return keys.view(np.int64)
+def most_bits(similarity: Fraction, bits: int = BITS, deviations: float = 4.3) -> int:
+    """The Hamming distance that a pair at this similarity exceeds with a chance of 1e-5, by default."""
+    p = differ(similarity)
+    return math.ceil(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+class Ring:
+    """Segments of a fingerprint of `words` 64-bit words for about `texts` texts, and the budgets of the chains from each.
+
+    A start finds a pair if its segment is equal and every chain keeps its budget; `found` is the chance of that at the
+    similarity, and `segments` the number of starts that all fail with a chance of MISS.
+    """
+
+    def __init__(self, texts: int, similarity: Fraction = SIMILARITY):
+        p = differ(similarity)
+        self.width = max(4, (texts.bit_length() - 1) // 2)
+        self.budgets = [most_bits(similarity, bits, 2.5) for bits in CHAIN]
+        alive, before = {0: (1 - p) ** self.width}, 0
+        for bits, budget in zip(CHAIN, self.budgets, strict=True):
+            now: dict[int, float] = {}
+            for had, chance in alive.items():
+                for more, weight in enumerate(binomial(bits - before, p)):
+                    if had + more <= budget:
+                        now[had + more] = now.get(had + more, 0.0) + chance * weight
+            alive, before = now, bits
+        self.found = sum(alive.values())
+        self.segments = math.ceil(math.log(MISS) / math.log1p(-self.found))
+        self.words = max(BITS, self.segments * self.width + 63) // 64
+
+    def factors(self) -> np.ndarray:
+        return np.random.default_rng(SEED + 1).integers(0, 1 << 63, self.words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def starts(self, rings: list[bytes], chains: bool = True):
+        """(keys, chains) from each start, an array of all rings each; equal keys meet."""
+        bits = np.unpackbits(np.frombuffer(b"".join(rings), dtype=np.uint8).reshape(len(rings), -1), axis=1)
+        places = np.arange(self.width + CHAIN[-1])
+        for start in range(self.segments):
+            own = bits.take((start * self.width + places) % bits.shape[1], axis=1)
+            keys = own[:, : self.width] @ (1 << np.arange(self.width)) | start << 40
+            yield keys, np.packbits(np.ascontiguousarray(own[:, self.width :]), axis=1).view(">u8").ravel().astype(np.uint64) if chains else None
+
+    def keeps(self, differences: np.ndarray) -> np.ndarray:
+        """Which chains (64 bits after a start's segment, the first one highest) keep all budgets."""
+        kept = np.ones(len(differences), dtype=bool)
+        for bits, budget in zip(CHAIN, self.budgets, strict=True):
+            kept &= np.bitwise_count(differences >> np.uint64(64 - bits)) <= budget
+        return kept
 
 
 def fingerprint(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
-    """A SimHash of BITS bits, as 64-bit words: a bit is set if it is set in over half of the shingles' hashes."""
-    ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), 2048):
-        words = hashes[at : at + 2048, None] * by
+    """A SimHash of as many 64-bit words as `by`: a bit is set if it is set in over half of the shingles' hashes."""
+    ones = np.zeros(64 * len(by), dtype=np.int64)
+    for at in range(0, len(hashes), 255):
+        words = hashes[at : at + 255, None] * by
         words ^= words >> np.uint64(32)
         words *= np.uint64(0x9E3779B97F4A7C15)
         words ^= words >> np.uint64(29)
-        ones += np.unpackbits(words.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+        # No more than 255 ones to a bit.
+        ones += np.unpackbits(words.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
     return np.packbits(2 * ones > len(hashes)).view(np.uint64)
 
 
-def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, row, digest, n, keys, print) of (id, row, text)."""
-    by = np.random.default_rng(SEED + 1).integers(0, 1 << 63, BITS // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def sketches(docs: DataFrame, ring: Ring, width: int = WIDTH) -> DataFrame:
+    """(id, row, digest, n, ring) of (id, row, text)."""
+    by = ring.factors()
 
     def run(batches):
         let_go()
@@ -91,24 +154,16 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
                 sets = [shingle_set(t, width) for t in part.column(2).to_pylist()]
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(band_keys(sets).ravel()))
-                prints = pa.array([fingerprint(s, by).tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), keys, prints], names=["id", "row", "digest", "n", "keys", "print"])
-
-    return docs.mapInArrow(run, "id bigint, row bigint, digest bigint, n bigint, keys array<bigint>, print binary")
+                rings = pa.array([fingerprint(s, by).tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), rings], names=["id", "row", "digest", "n", "ring"])
 
-
-def most_bits(similarity: Fraction) -> int:
-    """The Hamming distance that a pair of equal sizes at this similarity exceeds with a chance of 1e-5."""
-    s = float(similarity)
-    p = math.acos(2 * s / (1 + s)) / math.pi
-    return math.ceil(BITS * p + 4.3 * math.sqrt(BITS * p * (1 - p)))
+    return docs.mapInArrow(run, "id bigint, row bigint, digest bigint, n bigint, ring binary")
 
 
 def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: int, nearest: int = NEAREST) -> set[tuple[int, int]]:
     """Pairs (i, j), i < j: a spanning tree of the smallest distances up to `most`, and the nearest of each."""
     k = len(prints)
-    far = BITS + 1
+    far = 64 * prints.shape[1] + 1
     best, parent, open_ = np.full(k, far), np.zeros(k, dtype=np.int64), np.ones(k, dtype=bool)
     pairs, at = set(), 0
     for _ in range(k):
@@ -130,36 +185,99 @@ def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: i
     return pairs
 
 
-def spanned(similarity: Fraction, nearest: int):
-    """(a, b) over rows (key, block, node, n, print) sorted by key and block."""
+def met_pairs(ring: Ring, chains: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float, most: int, nearest: int = NEAREST) -> set[tuple[int, int]]:
+    """Pairs (i, j), i < j, of a bucket that keep the budgets of all chains, fit by size and differ in up to `most` bits of their
+    prints; of a bucket where a text has over `nearest` partners only the tree and the nearest of each."""
+    k = len(chains)
+    partners, held, n_held = np.zeros(k, dtype=np.int64), [], 0
+    step = max(1, (1 << 16) // k)
+    for at in range(0, k, step):
+        i, j = np.nonzero(np.bitwise_count(chains[at : at + step, None] ^ chains[at:]) <= ring.budgets[-1])
+        later = i < j
+        i, j = i[later] + at, j[later] + at
+        kept = ring.keeps(chains[i] ^ chains[j])
+        kept &= np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-9
+        i, j = i[kept], j[kept]
+        kept = np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.int64) <= most
+        i, j = i[kept], j[kept]
+        partners += np.bincount(i, minlength=k) + np.bincount(j, minlength=k)
+        n_held += len(i)
+        if n_held <= nearest * k:
+            held.append((i, j))
+    if partners.max() <= nearest:
+        return {pair for i, j in held for pair in zip(i.tolist(), j.tolist(), strict=True)}
+    # The chains are other bits from each start, so each ranks a crowd anew.
+    crowd = np.flatnonzero(partners)
+    pairs = tree_pairs(np.column_stack([chains, prints])[crowd], sizes[crowd], similarity, most + ring.budgets[-1], nearest)
+    return {(int(crowd[i]), int(crowd[j])) for i, j in pairs}
+
+
+RANKS = [f"rank{k}" for k in range(BITS // 64)]
+
+
+def on_ring(nodes: DataFrame, ring: Ring) -> DataFrame:
+    """(key, node, n, chain, and the RANKS) of nodes (node, n, ring), a row for each start."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                rings = part.column(2).to_pylist()
+                keys, chains = (np.concatenate(x) for x in zip(*ring.starts(rings), strict=True))
+                ranks = np.frombuffer(b"".join(r[: BITS // 8] for r in rings), dtype=np.int64).reshape(len(rings), -1)
+                again = [np.tile(c, ring.segments) for c in (part.column(0).to_numpy(), part.column(1).to_numpy())]
+                columns = [keys, *again, chains.view(np.int64), *(np.tile(ranks[:, k], ring.segments) for k in range(len(RANKS)))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "node", "n", "chain", *RANKS])
+
+    return nodes.select("node", "n", "ring").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("key", "node", "n", "chain", *RANKS)))
+
+
+def key_counts(nodes: DataFrame, ring: Ring) -> DataFrame:
+    """(key, m): texts of a bucket, summed within batches before they are summed by key."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                for keys, _ in ring.starts(batch.column(0).slice(at, 2000).to_pylist(), chains=False):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in np.unique(keys, return_counts=True)], names=["key", "m"])
+
+    return nodes.select("ring").mapInArrow(run, "key bigint, m bigint").groupBy("key").agg(F.sum("m").alias("m"))
+
+
+def spanned(ring: Ring, similarity: Fraction, nearest: int):
+    """(a, b) over rows (key, block, node, n, chain, ranks) sorted by key and block."""
     most = most_bits(similarity)
 
     def run(batches):
-        held: list[tuple] = []
-        out: list[tuple[int, int]] = []
+        held_key, held = None, []
+        out: list[np.ndarray] = []
 
         def close():
-            if len(held) == 2:
-                (_, _, a, n, x), (_, _, b, m, y) = held
-                if min(n, m) >= float(similarity) * max(n, m) - 1e-9 and (int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= most:
-                    out.append((min(a, b), max(a, b)))
-            elif len(held) > 2:
-                prints = np.frombuffer(b"".join(r[4] for r in held), dtype=np.uint64).reshape(len(held), -1)
-                pairs = tree_pairs(prints, np.array([r[3] for r in held]), float(similarity), most, nearest)
-                out.extend((min(held[i][2], held[j][2]), max(held[i][2], held[j][2])) for i, j in pairs)
+            rows = np.concatenate(held) if held else np.zeros((0, 0), dtype=np.int64)
             held.clear()
+            if len(rows) > 1:
+                chains, prints = np.ascontiguousarray(rows[:, 2]).view(np.uint64), np.ascontiguousarray(rows[:, 3:]).view(np.uint64)
+                pairs = met_pairs(ring, chains, prints, rows[:, 1], float(similarity), most, nearest)
+                if pairs:
+                    out.append(np.sort(rows[:, 0][np.array(sorted(pairs))], axis=1))
 
         def flush():
-            a, b = zip(*out, strict=True)
+            made = np.concatenate(out)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][:2] != row[:2]:
+            if not batch.num_rows:
+                continue
+            key, block = (batch.column(i).to_numpy() for i in range(2))
+            rows = np.stack([batch.column(i).to_numpy() for i in range(2, batch.num_columns)], axis=1)
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
+                if (key[s], block[s]) != held_key:
                     close()
-                held.append(row)
-            if len(out) > 10_000:
+                    held_key = (key[s], block[s])
+                held.append(rows[s:e])
+            if sum(map(len, out)) > 10_000:
                 yield flush()
         close()
         if out:
@@ -192,19 +310,21 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFra
     return both.filter(common * similarity.denominator >= (F.size("set_a") + F.size("set_b") - common) * similarity.numerator).select("a", "b")
 
 
-def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY, nearest: int = NEAREST, bucket: int = BUCKET) -> DataFrame:
-    """(node, component) for nodes of nodes (node, first, n, keys, print) that link with others."""
-    rows = nodes.select(F.explode("keys").alias("key"), "node", "n", "print")
-    shared = written(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "near-keys")
-    members = rows.join(shared.select((F.col("key") + 0).alias("__key"), "m"), F.col("key") == F.col("__key")).drop("__key")
+def links(docs: DataFrame, nodes: DataFrame, ring: Ring, width: int = WIDTH, similarity: Fraction = SIMILARITY, nearest: int = NEAREST, bucket: int = BUCKET) -> DataFrame:
+    """(node, component) for nodes of nodes (node, first, n, ring) that link with others."""
+    rows = on_ring(nodes, ring)
+    large = written(key_counts(nodes, ring).filter(F.col("m") > bucket), "near-large")
     # A bucket over the limit is dealt as pairs of blocks; every block meets every other, and itself.
-    blocks = F.ceil(F.col("m") / bucket).cast("long")
-    mine = F.pmod(F.xxhash64("node"), blocks)
-    placed = members.withColumn("__mine", mine).withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    low, high = F.least("__mine", "__other"), F.greatest("__mine", "__other")
-    placed = placed.select("key", (high * (high + 1) / 2 + low).cast("long").alias("block"), "node", "n", "print")
+    block = F.lit(0).cast("long")
+    if not large.isEmpty():
+        blocks = F.coalesce(F.ceil(F.col("m") / bucket).cast("long"), F.lit(1))
+        placed = rows.join(large, "key", "left").withColumn("__mine", F.pmod(F.xxhash64("node"), blocks))
+        rows = placed.withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        low, high = F.least("__mine", "__other"), F.greatest("__mine", "__other")
+        block = (high * (high + 1) / 2 + low).cast("long")
+    placed = rows.select("key", block.alias("block"), "node", "n", "chain", *RANKS)
     dealt = placed.repartition("key", "block").sortWithinPartitions("key", "block")
-    pairs = written(dealt.mapInArrow(spanned(similarity, nearest), "a bigint, b bigint").distinct(), "near-pairs")
+    pairs = written(dealt.mapInArrow(spanned(ring, similarity, nearest), "a bigint, b bigint").distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
     sets = written(sets_of(docs, wanted, width), "near-sets")
     return connected_components(verified(pairs, sets, similarity))
@@ -213,9 +333,10 @@ def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, similarity: Fra
 def grouped(docs: DataFrame, id_column: str, text: str, width: int, similarity: Fraction, **options) -> DataFrame:
     """(id, row, component, component_id), a row for each document with an id; row is a hash of its columns."""
     own = docs.select(F.col(id_column).cast("long").alias("id"), row_hash(docs).alias("row"), F.col(text).cast("string").alias("text")).filter("id is not null")
-    made = written(sketches(own, width), "near-sketches")
-    nodes = written(made.groupBy(F.col("digest").alias("node")).agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("print").alias("print")), "near-nodes")
-    parts = links(own.select("id", "text"), nodes, width, similarity, **options)
+    ring = Ring(own.count(), similarity)
+    made = written(sketches(own, ring, width), "near-sketches")
+    nodes = written(made.groupBy(F.col("digest").alias("node")).agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("ring").alias("ring")), "near-nodes")
+    parts = links(own.select("id", "text"), nodes, ring, width, similarity, **options)
     named = nodes.join(parts, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     least = named.groupBy(F.col("component").alias("__c")).agg(F.min("first").alias("component_id"))
     named = named.join(least.select((F.col("__c") + 0).alias("__c"), "component_id"), F.col("component") == F.col("__c")).select((F.col("node") + 0).alias("__digest"), "component", "component_id")
