@@ -63,24 +63,48 @@ def folder_of(gram: str, folders: int) -> int:
     return zlib.crc32(gram.encode()) % folders
 
 
+class Places:
+    """The places of a block's articles that have a trigram: numbers of 2 bytes, or a bitmap once that is smaller."""
+
+    def __init__(self):
+        self.few: dict[str, array] = defaultdict(lambda: array("H"))
+        self.many: dict[str, np.ndarray] = {}
+
+    def grams(self) -> list[str]:
+        return [*self.few, *(g for g in self.many if g not in self.few)]
+
+    def fold(self) -> None:
+        """Put what takes more than a bitmap into one. Numbers that are left take up to BLOCK / 8 bytes a trigram."""
+        for g in [g for g, places in self.few.items() if len(places) > BLOCK // 16]:
+            self.many[g] = self._united(g)
+
+    def taken(self, gram: str) -> bytes:
+        """The trigram's bitmap, which is then forgotten."""
+        bits = self._united(gram)
+        self.many.pop(gram, None)
+        return bits.tobytes()
+
+    def _united(self, gram: str) -> np.ndarray:
+        bits = np.zeros(BLOCK, dtype=np.uint8)
+        if gram in self.few:
+            bits[np.frombuffer(self.few.pop(gram), dtype=np.uint16)] = 1
+        bits = np.packbits(bits, bitorder="little")
+        return bits | self.many[gram] if gram in self.many else bits
+
+
 def _maps(texts: DataFrame, fields: tuple[str, ...], at_once: int = 1 << 25) -> DataFrame:
     """(field, gram, block, bitmap) of the texts that a task reads: a bitmap for each block and trigram, or several where one
     block has more than `at_once` trigrams of articles. Nothing is shuffled."""
 
-    def bitmap(places: array) -> bytes:
-        bits = np.zeros(BLOCK, dtype=np.uint8)
-        bits[np.frombuffer(places, dtype=np.uint16)] = 1
-        return np.packbits(bits, bitorder="little").tobytes()
-
-    def made(held: dict, field: str, block: int):
-        grams = list(held)
-        for at in range(0, len(grams), 2000):
-            part = grams[at : at + 2000]
-            maps = pa.array([bitmap(held[g]) for g in part], pa.binary())
+    def made(held: Places, field: str, block: int):
+        grams = held.grams()
+        for at in range(0, len(grams), 250):
+            part = grams[at : at + 250]
+            maps = pa.array([held.taken(g) for g in part], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([field] * len(part), pa.string()), pa.array(part, pa.string()), pa.array([block] * len(part), pa.int64()), maps], names=["field", "gram", "block", "bitmap"])
 
     def run(batches):
-        held, size, block = {f: defaultdict(lambda: array("H")) for f in fields}, 0, None
+        held, size, block, seen = {f: Places() for f in fields}, 0, None, 0
         for batch in batches:
             numbers = batch.column(0).to_pylist()
             columns = [batch.column(k + 1) for k in range(len(fields))]
@@ -88,14 +112,15 @@ def _maps(texts: DataFrame, fields: tuple[str, ...], at_once: int = 1 << 25) ->
                 if block is not None and n // BLOCK != block or size > at_once:
                     for f in fields:
                         yield from made(held[f], f, block)
-                        held[f].clear()
                     size = 0
-                block, place = n // BLOCK, n % BLOCK
+                block, place, seen = n // BLOCK, n % BLOCK, seen + 1
                 for f, column in zip(fields, columns, strict=True):
-                    grams, own = grams_of(column[i].as_py()), held[f]
+                    grams, own = grams_of(column[i].as_py()), held[f].few
                     size += len(grams)
                     for g in grams:
                         own[g].append(place)
+                    if seen % 1024 == 0:
+                        held[f].fold()
         if block is not None:
             for f in fields:
                 yield from made(held[f], f, block)

@@ -65,3 +65,17 @@ def test_an_empty_index(spark, tmp_path):
 
 def test_literals():
     assert substring.literals(r"a%b_cd\%e\\f%") == ["a", "b", r"cd%e\f"]
+
+
+def test_a_frequent_trigram_takes_no_more_than_a_bitmap():
+    places = substring.Places()
+    for k in range(0, substring.BLOCK, 2):
+        places.few["abc"].append(k)
+        if k % 1000 == 0:
+            places.few["rar"].append(k)
+        if k % 1024 == 0:
+            places.fold()
+            assert all(len(x) <= substring.BLOCK // 16 for x in places.few.values())
+    assert set(places.grams()) == {"abc", "rar"} and len(places.grams()) == 2 and "abc" in places.many and "rar" not in places.many
+    assert places.taken("abc") == b"\x55" * (substring.BLOCK // 8)
+    assert sum(b.bit_count() for b in places.taken("rar")) == len(range(0, substring.BLOCK, 1000)) and places.grams() == []
