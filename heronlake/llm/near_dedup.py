@@ -14,12 +14,13 @@ number, or twice it, meet by chance.
 
 Of the pairs that keep their chains, those go on whose first BITS of the ring differ in no more bits than a pair at the threshold
 exceeds with a chance of 1e-5. A bucket whose texts have up to NEAREST such partners each yields all its pairs. A denser
-one is spanned by a tree of the smallest Hamming distances, and each text adds its NEAREST, so it yields a few pairs a text. A
-bucket of over BUCKET texts is dealt as pairs of blocks to several tasks; trees of all pairs of blocks hold a tree
-of the whole.
+one is spanned by a tree of the smallest Hamming distances, so it yields less than a pair a text. A bucket of over BUCKET
+texts is dealt as pairs of blocks to several tasks; trees of all pairs of blocks hold a tree of the whole.
 
-Every such pair is verified by its whole sets before it links. In a crowd a link is lost only if it is
-neither among its texts' nearest nor in the tree, and no row of verified pairs connects them.
+These pairs only say which texts may link: their connected components are clusters. All texts of a cluster meet once, with
+their whole sets, and there every two of them are compared (by lists of each shingle's holders), unless links already connect
+them. So a crowd loses no link however dense it is, and moves a row a text, not a row a pair. A cluster of over CLUSTER texts
+or ELEMENTS shingles is dealt as pairs of blocks, each to be compared by a task of its own.
 
 Defined cases: texts with equal sets are one node from the start; texts without words, empty or null have equal (empty)
 sets; fewer words than a shingle make one shingle; rows may repeat; rows without an id stay.
@@ -43,8 +44,11 @@ from heronlake.llm.support import let_go, row_hash, written
 
 WIDTH, SEED = 5, 9
 SIMILARITY = Fraction(4, 5)
-#: Bits of the fingerprints that rank the texts of a bucket, the pairs that each adds, and the texts that a task compares.
+#: Bits of the fingerprints that rank the texts of a bucket, the partners of a text up to which a bucket yields all pairs, and
+#: the texts that a task compares.
 BITS, NEAREST, BUCKET = 256, 6, 1 << 13
+#: Texts and shingles in a block of a cluster.
+CLUSTER, ELEMENTS = 1 << 10, 1 << 20
 #: The chance of missing a pair at the similarity, and the bits after a start's segment at which its chains are judged.
 MISS, CHAIN = 1e-6, (16, 32, 48, 64)
 
@@ -160,8 +164,8 @@ def sketches(docs: DataFrame, ring: Ring, width: int = WIDTH) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, row bigint, digest bigint, n bigint, ring binary")
 
 
-def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: int, nearest: int = NEAREST) -> set[tuple[int, int]]:
-    """Pairs (i, j), i < j: a spanning tree of the smallest distances up to `most`, and the nearest of each."""
+def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: int) -> set[tuple[int, int]]:
+    """Pairs (i, j), i < j: a spanning forest of the smallest distances up to `most`."""
     k = len(prints)
     far = 64 * prints.shape[1] + 1
     best, parent, open_ = np.full(k, far), np.zeros(k, dtype=np.int64), np.ones(k, dtype=bool)
@@ -171,8 +175,6 @@ def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: i
         distance = np.bitwise_count(prints ^ prints[at]).sum(axis=1, dtype=np.int64)
         distance[np.minimum(sizes, sizes[at]) < similarity * np.maximum(sizes, sizes[at]) - 1e-9] = far
         distance[at] = far
-        close = np.argpartition(distance, nearest)[:nearest] if k > nearest + 1 else np.arange(k)
-        pairs.update((min(at, j), max(at, j)) for j in close[distance[close] <= most].tolist())
         closer = open_ & (distance < best)
         best[closer], parent[closer] = distance[closer], at
         left = np.flatnonzero(open_)
@@ -187,7 +189,7 @@ def tree_pairs(prints: np.ndarray, sizes: np.ndarray, similarity: float, most: i
 
 def met_pairs(ring: Ring, chains: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float, most: int, nearest: int = NEAREST) -> set[tuple[int, int]]:
     """Pairs (i, j), i < j, of a bucket that keep the budgets of all chains, fit by size and differ in up to `most` bits of their
-    prints; of a bucket where a text has over `nearest` partners only the tree and the nearest of each."""
+    prints; of a bucket where a text has over `nearest` partners a forest that connects the same texts, if not more."""
     k = len(chains)
     partners, held, n_held = np.zeros(k, dtype=np.int64), [], 0
     step = max(1, (1 << 16) // k)
@@ -206,9 +208,8 @@ def met_pairs(ring: Ring, chains: np.ndarray, prints: np.ndarray, sizes: np.ndar
             held.append((i, j))
     if partners.max() <= nearest:
         return {pair for i, j in held for pair in zip(i.tolist(), j.tolist(), strict=True)}
-    # The chains are other bits from each start, so each ranks a crowd anew.
     crowd = np.flatnonzero(partners)
-    pairs = tree_pairs(np.column_stack([chains, prints])[crowd], sizes[crowd], similarity, most + ring.budgets[-1], nearest)
+    pairs = tree_pairs(prints[crowd], sizes[crowd], similarity, most)
     return {(int(crowd[i]), int(crowd[j])) for i, j in pairs}
 
 
@@ -232,16 +233,24 @@ def on_ring(nodes: DataFrame, ring: Ring) -> DataFrame:
     return nodes.select("node", "n", "ring").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("key", "node", "n", "chain", *RANKS)))
 
 
-def key_counts(nodes: DataFrame, ring: Ring) -> DataFrame:
-    """(key, m): texts of a bucket, summed within batches before they are summed by key."""
+def counted(ring: Ring):
+    """(key, m) over batches whose first column is a ring: a row for each key, however many batches there are."""
 
     def run(batches):
+        counts = np.zeros((ring.segments, 1 << ring.width), dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
-                for keys, _ in ring.starts(batch.column(0).slice(at, 2000).to_pylist(), chains=False):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in np.unique(keys, return_counts=True)], names=["key", "m"])
+                for start, (keys, _) in enumerate(ring.starts(batch.column(0).slice(at, 2000).to_pylist(), chains=False)):
+                    counts[start] += np.bincount(keys & (1 << ring.width) - 1, minlength=1 << ring.width)
+        starts, own = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(own | starts << 40), pa.array(counts[starts, own])], names=["key", "m"])
+
+    return run
 
-    return nodes.select("ring").mapInArrow(run, "key bigint, m bigint").groupBy("key").agg(F.sum("m").alias("m"))
+
+def key_counts(nodes: DataFrame, ring: Ring) -> DataFrame:
+    """(key, m): texts of a bucket, summed within tasks before they are summed by key."""
+    return nodes.select("ring").mapInArrow(counted(ring), "key bigint, m bigint").groupBy("key").agg(F.sum("m").alias("m"))
 
 
 def spanned(ring: Ring, similarity: Fraction, nearest: int):
@@ -287,30 +296,97 @@ def spanned(ring: Ring, similarity: Fraction, nearest: int):
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(node, set) for each node of wanted (node, first): a row of docs (id, text) whose id is first holds it."""
+    """(node, cluster, mine, blocks, set) for each node of wanted (the same, and first): rows of docs (id, text) whose id is first hold it."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sets = [shingle_set(t, width) for t in part.column(1).to_pylist()]
+                sets = [shingle_set(t, width) for t in part.column(4).to_pylist()]
                 right = [i for i, (s, d) in enumerate(zip(sets, part.column(0).to_pylist(), strict=True)) if digest(s) == d]
-                values = [pa.array(sets[i].view(np.int64)) for i in right]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(right, pa.int64())), pa.array(values, pa.list_(pa.int64()))], names=["node", "set"])
+                values = pa.array([pa.array(sets[i].view(np.int64)) for i in right], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(part.column(k).take(pa.array(right, pa.int64())) for k in range(4)), values], names=["node", "cluster", "mine", "blocks", "set"])
+
+    texts = docs.join(wanted, docs["id"] == wanted["first"]).select("node", "cluster", "mine", "blocks", "text")
+    return texts.mapInArrow(run, "node bigint, cluster bigint, mine bigint, blocks bigint, set array<bigint>")
+
+
+def joined(sets: list[np.ndarray], sides: np.ndarray, similarity: Fraction) -> list[tuple[int, int]]:
+    """Links (i, j) that connect whatever is linked among the sets; if both sides, 0 and then 1, are there, between them alone."""
+    k, sizes, both = len(sets), np.array([len(s) for s in sets]), sides[0] != sides[-1]
+    _, places, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = np.repeat(np.arange(k), sizes)[np.argsort(places, kind="stable")]
+    first, ends = np.cumsum(holders) - holders, np.cumsum(sizes)
+    label, pairs = np.arange(k), []
+    step = max(1, (1 << 20) // k)
+    for i in range(int((sides == 0).sum()) if both else k):
+        others = slice(int((sides == 0).sum()) if both else i + 1, k)
+        if (label[others] == label[i]).all():
+            continue
+        own = places[ends[i] - sizes[i] : ends[i]]
+        own = own[holders[own] > 1]
+        common = np.zeros(k, dtype=np.int64)
+        for at in range(0, len(own), step):
+            m, start = holders[own[at : at + step]], first[own[at : at + step]]
+            common += np.bincount(held[np.repeat(start - np.cumsum(m) + m, m) + np.arange(m.sum())], minlength=k)
+        like = common * similarity.denominator >= (sizes + sizes[i] - common) * similarity.numerator
+        for j in (np.flatnonzero(like[others]) + others.start).tolist():
+            if label[j] != label[i]:
+                pairs.append((i, j))
+                label[label == label[j]] = label[i]
+    return pairs
 
-    texts = docs.join(wanted, docs["id"] == wanted["first"]).select("node", "text")
-    return texts.mapInArrow(run, "node bigint, set array<bigint>").dropDuplicates(["node"])
+
+def linked(similarity: Fraction):
+    """(a, b) over rows (cluster, block, side, node, set) sorted by cluster, block and side."""
+
+    def run(batches):
+        held_key, held = None, {}
+        out: list[tuple[int, int]] = []
+
+        def close():
+            if len(held) > 1:
+                nodes, rows = list(held), list(held.values())
+                out.extend((nodes[i], nodes[j]) for i, j in joined([s for _, s in rows], np.array([side for side, _ in rows]), similarity))
+            held.clear()
+
+        def flush():
+            made = np.array(out, dtype=np.int64).reshape(-1, 2)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            values, sizes = batch.column(4).flatten().to_numpy(), batch.column(4).value_lengths().to_numpy()
+            ends = np.cumsum(sizes)
+            for k, (cluster, block, side, node) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
+                if (cluster, block) != held_key:
+                    close()
+                    held_key = (cluster, block)
+                # A node may come in several rows of one id and text.
+                held[node] = (side, values[ends[k] - sizes[k] : ends[k]])
+            if len(out) > 10_000:
+                yield flush()
+        close()
+        yield flush()
+
+    return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """The pairs (a, b) of at least the similarity."""
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    both = with_a.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    return both.filter(common * similarity.denominator >= (F.size("set_a") + F.size("set_b") - common) * similarity.numerator).select("a", "b")
+def verified(docs: DataFrame, clusters: DataFrame, width: int, similarity: Fraction, cluster: int, elements: int) -> DataFrame:
+    """(a, b) of at least the similarity that connect whatever is linked in a cluster of clusters (node, first, n, cluster)."""
+    parts = F.greatest(F.ceil(F.count("*") / cluster), F.ceil(F.sum("n") / elements))
+    large = written(clusters.groupBy("cluster").agg(parts.alias("blocks")).filter("blocks > 1").select((F.col("cluster") + 0).alias("__c"), "blocks"), "near-crowds")
+    none = large.isEmpty()
+    dealt = clusters.withColumn("blocks", F.lit(1).cast("long")) if none else clusters.join(large, F.col("cluster") == F.col("__c"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sets = sets_of(docs, dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))), width)
+    other = F.lit(0).cast("long") if none else F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    placed = sets.withColumn("other", other).select("cluster", (high * (high + 1) / 2 + low).cast("long").alias("block"), (F.col("mine") > F.col("other")).cast("long").alias("side"), "node", "set")
+    sorted_rows = placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "side")
+    return sorted_rows.mapInArrow(linked(similarity), "a bigint, b bigint")
 
 
-def links(docs: DataFrame, nodes: DataFrame, ring: Ring, width: int = WIDTH, similarity: Fraction = SIMILARITY, nearest: int = NEAREST, bucket: int = BUCKET) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, ring: Ring, width: int = WIDTH, similarity: Fraction = SIMILARITY, nearest: int = NEAREST, bucket: int = BUCKET, cluster: int = CLUSTER, elements: int = ELEMENTS) -> DataFrame:
     """(node, component) for nodes of nodes (node, first, n, ring) that link with others."""
     rows = on_ring(nodes, ring)
     large = written(key_counts(nodes, ring).filter(F.col("m") > bucket), "near-large")
@@ -324,10 +400,9 @@ def links(docs: DataFrame, nodes: DataFrame, ring: Ring, width: int = WIDTH, sim
         block = (high * (high + 1) / 2 + low).cast("long")
     placed = rows.select("key", block.alias("block"), "node", "n", "chain", *RANKS)
     dealt = placed.repartition("key", "block").sortWithinPartitions("key", "block")
-    pairs = written(dealt.mapInArrow(spanned(ring, similarity, nearest), "a bigint, b bigint").distinct(), "near-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
-    sets = written(sets_of(docs, wanted, width), "near-sets")
-    return connected_components(verified(pairs, sets, similarity))
+    met = connected_components(dealt.mapInArrow(spanned(ring, similarity, nearest), "a bigint, b bigint"))
+    clusters = written(nodes.select("node", "first", "n").join(met.withColumnRenamed("component", "cluster"), "node"), "near-clusters")
+    return connected_components(verified(docs, clusters, width, similarity, cluster, elements))
 
 
 def grouped(docs: DataFrame, id_column: str, text: str, width: int, similarity: Fraction, **options) -> DataFrame:
