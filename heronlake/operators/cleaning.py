@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from heronlake.functions import vocab as V
 from heronlake.functions.categories import with_category
-from heronlake.functions.entities import ENTITIES, clean_entities, clean_keywords, distinct_entities, fix_author, merge_bio
-from heronlake.functions.text import clean_content, count_words
+from heronlake.functions.entities import ENTITIES, clean_entities, clean_keywords, distinct_entities, fix_author
+from heronlake.functions.text import clean_content, count_words, trimmed
 from heronlake.functions.times import time_fields
 from heronlake.operators.dedup import first_wins, merge_fold, near_dup_groups, not_yet_done
 
@@ -99,7 +99,7 @@ def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | No
     kept = [c for c in rows.columns if c != "entities"]
     content = F.col("content") if chars is None else F.substring("content", 1, chars)
     cut = rows.select(F.struct(*kept).alias("row"), F.coalesce("title", F.lit("")).alias("t"), (F.lit("") if title_only else F.coalesce(content, F.lit(""))).alias("c"))
-    kind = pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())]))
+    kind = pa.list_(pa.struct([("text", pa.string()), ("type", pa.string())]))
 
     def safely(text: str) -> list[tuple[str, str]] | None:
         try:
@@ -119,19 +119,33 @@ def recognise_entities(articles: DataFrame, tagger: Tagger, done: DataFrame | No
                 batch = whole.slice(at, 500)
                 found = [tag_all(batch.column(i).to_pylist()) for i in (1, 2)]
                 failed = [sum(x is None for x in pair) for pair in zip(*found, strict=True)]
-                # Tokens outside of entities end one, and are told by that alone.
-                tags = [pa.array([[{"token": a if b != "O" else "", "tag": b} for a, b in _ends(x or [])] for x in side], kind) for side in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *tags, pa.array(failed, pa.int32())], names=["row", "t", "c", "failed"])
+                merged = [[{"text": a, "type": b} for a, b in dict.fromkeys(e for x in pair for e in _merged(x or []))] for pair in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, kind), pa.array(failed, pa.int32())], names=["row", "found", "failed"])
 
     row = cut.schema["row"].dataType.simpleString()
-    tagged = cut.mapInArrow(run, f"row {row}, t array<struct<token:string,tag:string>>, c array<struct<token:string,tag:string>>, failed int")
-    found = distinct_entities(F.concat(merge_bio(F.col("t")), merge_bio(F.col("c"))))
+    tagged = cut.mapInArrow(run, f"row {row}, found array<struct<text:string,type:string>>, failed int")
+    bare = F.transform("found", lambda e: F.struct(trimmed(e["text"]).alias("text"), e["type"].alias("type")))
+    found = distinct_entities(F.filter(bare, lambda e: F.length(e["text"]).between(*V.NER_LENGTHS) & (e["type"] != "")))
     return tagged.select("row.*", found.alias("entities"), *([F.col("failed").alias(errors)] if errors else []))
 
 
-def _ends(tagged: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """The tokens of entities, and one O of each run of those outside: all that merging them takes."""
-    return [x for i, x in enumerate(tagged) if x[1] != "O" or (i and tagged[i - 1][1] != "O")]
+def _merged(tagged: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(text, type) of entities as `merge_bio` has them, before it trims and sifts: in time that grows with their number."""
+    out, words, kind = [], [], ""
+    for token, tag in tagged:
+        if tag == "O":
+            if words:
+                out.append((" ".join(words), kind))
+            words, kind = [], ""
+        elif tag and tag.startswith(("B-", "I-")):
+            own = tag[2:1002]
+            if tag[0] == "I" and own == kind:
+                words.append(token)
+            else:
+                if words:
+                    out.append((" ".join(words), kind))
+                words, kind = [token], own
+    return [*out, (" ".join(words), kind)] if words else out
 
 
 def clean_article_entities(articles: DataFrame) -> DataFrame:

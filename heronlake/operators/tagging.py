@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Characters of labelled texts in a shard, about, and of texts that are decoded side by side.
 SHARD_CHARS, SIDE_CHARS = 1 << 20, 1 << 19
+#: Tokens of a sentence that is long.
+LONG = 256
 SLOTS = 1 << 16
 #: Features of a token as itself, and as the neighbour on either side.
 OWN, AROUND = 11, 2
@@ -231,7 +233,7 @@ def _learn(shard: dict, model: np.ndarray, tags: list[str], shards: int, order:
     shards: cells of the model that change, by how much (once), and the sum of that change over the sentences from it on.
 
     Sentences are decoded in blocks: those up to the first that is wrong have been decoded by the model that they meet one by
-    one, and the others are decoded again after it has learned."""
+    one, and the others are decoded again after it has learned. Long sentences are blocks of their own, so they are decoded once."""
     number = {t: k for k, t in enumerate(tags)}
     to = np.array([number[t] for t in shard["kinds"]])
     n, lengths = len(shard["lengths"]), shard["lengths"].astype(np.int64)
@@ -247,13 +249,15 @@ def _learn(shard: dict, model: np.ndarray, tags: list[str], shards: int, order:
     model, late = model.astype(float), np.zeros(model.shape, dtype=np.int64)
     changed = np.zeros_like(late)
     k, most = 0, 16
+    lone = np.append(np.flatnonzero(lengths > LONG), n)
     while k < n:
-        stop = min(n, k + most)
+        next_lone = lone[np.searchsorted(lone, k)]
+        stop = k + 1 if next_lone == k else min(next_lone, k + most)
         span = slice(ends[k] - lengths[k], ends[stop - 1])
         path = _decode(_sum(model, own[span]) + _sum(model, first[span]) + _sum(model, last[span]), lengths[k:stop], model[SLOTS:])
         wrong = np.flatnonzero(path != truth[span])
         if not len(wrong):
-            k, most = stop, min(2 * most, 2048)
+            k, most = stop, min(2 * most, 2048) if stop - k == most else most
             continue
         w = int(np.searchsorted(ends, span.start + wrong[0], side="right"))
         mine = slice(ends[w] - lengths[w], ends[w])
@@ -266,7 +270,7 @@ def _learn(shard: dict, model: np.ndarray, tags: list[str], shards: int, order:
             np.add.at(changed, cells, sign)
             np.add.at(late, cells, sign * (n - w))
             np.add.at(model, cells, sign * shards)
-        most = min(max(16, 2 * (w + 1 - k)), 2048)
+        most = most if next_lone == k else min(max(16, 2 * (w + 1 - k)), 2048)
         k = w + 1
     cells = np.flatnonzero((changed != 0) | (late != 0))
     return cells, changed.ravel()[cells], late.ravel()[cells]

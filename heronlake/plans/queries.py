@@ -386,7 +386,7 @@ def ner_learned(s: SparkSession, d: str) -> DataFrame:
     """Entities of whole articles by a tagger that learned from the titles of other ones."""
     rows = A.articles(s, d)
     tagger = tagging.train(rows.filter(_learns()))
-    found = cleaning.recognise_entities(rows.filter(~_learns()), tagger, chars=None, errors="failed")
+    found = cleaning.recognise_entities(rows.filter(~_learns()).select("id", "title", "content"), tagger, chars=None, errors="failed")
     return found.select("id", _joined(F.transform("entities", lambda e: F.concat_ws("/", e["text"], e["type"]))).alias("entities"), "failed")
 
 
